@@ -62,3 +62,12 @@ FOREST_TITLES = {
     "is_high_risk_merchant": "High-risk merchant flag",
     "is_emulator_device": "Emulator device",
 }
+
+# Model explanations: value texts. {} takes the formatted value.
+VALUE_TEXTS = {
+    "txns_last_24h": "{} transactions in last 24h",
+    "declined_txns_last_24h": "{} declined transactions",
+    "merchant_fraud_rate_30d": "{}% historical fraud rate",
+    "is_high_risk_merchant": "Merchant risk tier: {}",
+    "is_emulator_device": "Emulator detected: {}",
+}

@@ -10,6 +10,7 @@ from tollgate.operators import risk_history as history
 from tollgate.operators.card_activity import add_card_activity
 from tollgate.operators.enrichment import enrich_transactions
 from tollgate.operators.risk_history import add_risk_history
+from tollgate.operators.rules import score_by_rules
 from tollgate.operators.staging import stage_transactions
 from tollgate.plans import fixtures
 from tollgate.schemas import CARD_ACTIVITY, RISK_HISTORY
@@ -65,3 +66,13 @@ def stage_table(spark: SparkSession, sf_dir: str, stage: str) -> DataFrame:
         write_and_read(df, path)
         _written[key] = path
     return spark.read.parquet(_written[key])
+
+
+def flagship(spark: SparkSession, sf_dir: str, top_n: int = 100) -> DataFrame:
+    """The riskiest transactions by rule score, from raw text to ranked rows."""
+    risk = add_all_features(enriched(spark, sf_dir))
+    scored = score_by_rules(risk).select(
+        "txn_id_clean", "card_id_clean", "merchant_id_clean", "txn_ts", "amount",
+        "txns_last_24h", "declined_txns_last_24h", "merchant_fraud_rate_30d", "risk_score", "risk_band",
+    )
+    return scored.orderBy(F.desc("risk_score"), "txn_id_clean").limit(top_n)

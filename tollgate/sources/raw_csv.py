@@ -52,6 +52,12 @@ def read_raw(spark: SparkSession, path: str, table: str, missing_tokens: bool =
     ])
 
 
+def write_raw(df: DataFrame, path: str) -> None:
+    """Text columns as CSV with a header, spaces kept."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
 def reload_raw(spark: SparkSession, paths: dict[str, str], database: str) -> DataFrame:
     """Replace the raw tables by the files at ``paths`` and report stored and read rows.
 
