@@ -9,12 +9,17 @@ from tollgate.functions.wording import BAND_MARKS, NOT_AVAILABLE
 
 
 def fixed(value: Column, digits: int) -> Column:
-    """A plain number with a fixed count of decimals."""
-    return F.format_string(f"%.{digits}f", F.bround(value.cast("double"), digits))
+    """A plain number with a fixed count of decimals; NULL stays NULL, -0.001 is "-0.00"."""
+    return F.concat(F.when(value < 0, "-").otherwise(""), _digits(value, digits))
 
 
 def signed(value: Column, digits: int) -> Column:
-    return F.format_string(f"%+.{digits}f", F.bround(value.cast("double"), digits))
+    return F.concat(F.when(value < 0, "-").otherwise("+"), _digits(value, digits))
+
+
+def _digits(value: Column, digits: int) -> Column:
+    text = F.format_string(f"%.{digits}f", F.bround(F.abs(value.cast("double")), digits))
+    return F.when(value.isNotNull(), text)
 
 
 def currency(amount: Column) -> Column:

@@ -350,9 +350,9 @@ wide AS (SELECT {group}, CASE WHEN low = high THEN low - 0.5 ELSE low END AS low
       AS width FROM edges),
 placed AS (SELECT {group}, CAST(least(floor((v - low) / width), 49) AS BIGINT) AS bin, count(*) AS rows
     FROM shown JOIN wide USING ({group}) GROUP BY ALL)
-SELECT {group}, g.bin, round(low + g.bin * width, 6) AS bin_start, round(low + (g.bin + 1) * width, 6) AS bin_end,
+SELECT {group}, bin, round(low + bin * width, 6) AS bin_start, round(low + (bin + 1) * width, 6) AS bin_end,
   coalesce(rows, 0) AS rows
-FROM wide, (SELECT unnest(range(50)) AS bin) g LEFT JOIN placed USING ({group}, bin)"""
+FROM wide CROSS JOIN (SELECT unnest(range(50)) AS bin) g LEFT JOIN placed USING ({group}, bin)"""
 
 
 def signal_sample(value: str, where: str) -> str:
@@ -380,7 +380,7 @@ cells AS (
   FROM scored WHERE is_fraud IS NOT NULL)"""
 
 IMPUTED = "imputed AS (SELECT txn_id_clean, " + ", ".join(
-    f"CASE WHEN {c} THEN 1.0 ELSE 0.0 END AS {c}" if c.startswith("is_")
+    f"CASE WHEN {c} THEN 1.0::DOUBLE ELSE 0.0 END AS {c}" if c.startswith("is_")
     else f"CAST(coalesce({c}, (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM risk)) AS DOUBLE) AS {c}"
     for c in MODEL_FEATURES
 ) + " FROM risk)"

@@ -47,7 +47,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 ID = "txn_id_clean"
-EXTRACT_TARGET = 5_000
+EXTRACT_TARGET = 8_000
 SIGNAL_SAMPLE = 1_500
 VIEW = {"channel": "WEB", "date_start": "2024-01-05", "date_end": "2024-01-25"}
 
