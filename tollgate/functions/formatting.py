@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tollgate.functions.numbers import half_even
 from tollgate.functions.wording import BAND_MARKS, NOT_AVAILABLE
 
 
@@ -18,7 +19,7 @@ def signed(value: Column, digits: int) -> Column:
 
 
 def _digits(value: Column, digits: int) -> Column:
-    text = F.format_string(f"%.{digits}f", F.bround(F.abs(value.cast("double")), digits))
+    text = F.format_string(f"%.{digits}f", half_even(F.abs(value.cast("double")), digits))
     return F.when(value.isNotNull(), text)
 
 

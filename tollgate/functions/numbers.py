@@ -8,9 +8,15 @@ from pyspark.sql import functions as F
 STEPS_PER_DOUBLING = 4096
 
 
+def half_even(value: Column, digits: int) -> Column:
+    """Round a DOUBLE half to even the way array libraries do: scale, round, scale back."""
+    scale = float(10 ** digits)
+    return F.rint(value * scale) / scale
+
+
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     """Share in percent, rounded half to even; NULL for an empty whole."""
-    return F.bround(part / F.nullif(whole, F.lit(0)) * 100, digits)
+    return half_even(part / F.nullif(whole, F.lit(0)) * 100, digits)
 
 
 def clip(value: Column, low: float, high: float) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tollgate.functions.numbers import half_even
 from tollgate.operators import ranking
 
 THRESHOLD = 0.5
@@ -163,8 +164,8 @@ def band_performance(df: DataFrame) -> DataFrame:
     known, fraud = F.count("is_fraud"), F.count_if(F.col("is_fraud"))
     return df.where(F.col("risk_band").isNotNull()).groupBy("risk_band").agg(
         known.alias("total"), fraud.alias("fraud_count"),
-        F.bround(fraud / F.nullif(known, F.lit(0)), 4).alias("fraud_rate"),
-        F.bround(F.avg("risk_score"), 4).alias("avg_risk_score"),
+        half_even(fraud / F.nullif(known, F.lit(0)), 4).alias("fraud_rate"),
+        half_even(F.avg("risk_score"), 4).alias("avg_risk_score"),
     ).orderBy("risk_band")
 
 

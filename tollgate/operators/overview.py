@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.functions.numbers import percent
+from tollgate.functions.numbers import half_even, percent
 from tollgate.operators.ranking import exact_quantiles
 
 BANDS = ["LOW", "MEDIUM", "HIGH"]
@@ -70,8 +70,8 @@ def filtered_statistics(df: DataFrame, filters: Column) -> DataFrame:
     figures = df.agg(
         rows.alias("filtered_rows"), all_rows.alias("total_rows"), (rows - all_rows).alias("rows_delta"),
         fraud.alias("fraud_count"), non_fraud.alias("non_fraud_count"),
-        F.bround(rate, 2).alias("fraud_pct"), percent(non_fraud, rows).alias("non_fraud_pct"),
-        F.bround(rate_all, 2).alias("fraud_pct_all"), F.bround(rate - rate_all, 2).alias("fraud_pct_delta"),
+        half_even(rate, 2).alias("fraud_pct"), percent(non_fraud, rows).alias("non_fraud_pct"),
+        half_even(rate_all, 2).alias("fraud_pct_all"), half_even(rate - rate_all, 2).alias("fraud_pct_delta"),
         *[count.alias(f"{band.lower()}_count") for band, count in bands.items()],
         *[percent(count, rows).alias(f"{band.lower()}_pct") for band, count in bands.items()],
         F.avg(F.when(inside, F.col("risk_score"))).alias("risk_score_avg"),

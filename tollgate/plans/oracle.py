@@ -39,7 +39,7 @@ def show(names) -> str:
         elif name in TIMES:
             items.append(f"strftime({name}, '%Y-%m-%d %H:%M:%S') AS {name}")
         elif name in FRACTIONS:
-            items.append(f"round(CAST({name} AS DOUBLE), 6) AS {name}")
+            items.append(f"floor((CAST({name} AS DOUBLE)) * 1e6 + 0.5) / 1e6 AS {name}")
         elif name in ("txn_hour", "is_emulator"):
             items.append(f"CAST({name} AS BIGINT) AS {name}")
         else:
@@ -122,9 +122,9 @@ def _activity(source: str) -> str:
     CASE WHEN b.txn_ts IS NOT NULL THEN coalesce(sum(b.amount) OVER {frame(24)}, 0) END AS amt_last_24h,
     CASE WHEN b.txn_ts IS NOT NULL THEN count(*) FILTER (b.is_declined) OVER {frame(24)} END
       AS declined_txns_last_24h,
-    round(CAST(b.amount AS DOUBLE) / nullif(
+    (round(CAST(b.amount AS DOUBLE) / nullif(
       CAST(sum(b.amount) OVER (PARTITION BY b.card_id_clean) AS DOUBLE)
-      / count(b.amount) OVER (PARTITION BY b.card_id_clean), 0), 6) AS amount_vs_card_avg,
+      / count(b.amount) OVER (PARTITION BY b.card_id_clean), 0), 6) + 0.0) AS amount_vs_card_avg,
     (SELECT t.merchants FROM met t WHERE t.card_id_clean = b.card_id_clean
        AND t.first_seen_ts <= b.txn_ts AND t.first_seen_ts >= b.txn_ts - INTERVAL 24 HOUR
      ORDER BY t.first_seen_ts DESC LIMIT 1) AS distinct_merchants_last_24h
@@ -317,8 +317,8 @@ pareto AS (
   WINDOW o AS (ORDER BY total_fraud_txns DESC, md5(merchant_id_clean), merchant_id_clean ROWS UNBOUNDED PRECEDING))"""
 
 PARETO_COLUMNS = (
-    "merchant_id_clean, total_txns, total_fraud_txns, round(fraud_rate, 6) AS fraud_rate, "
-    "round(cumulative_fraud_pct, 6) AS cumulative_fraud_pct, merchant_rank"
+    "merchant_id_clean, total_txns, total_fraud_txns, floor((fraud_rate) * 1e6 + 0.5) / 1e6 AS fraud_rate, "
+    "floor((cumulative_fraud_pct) * 1e6 + 0.5) / 1e6 AS cumulative_fraud_pct, merchant_rank"
 )
 
 
@@ -328,10 +328,10 @@ shown AS (SELECT CASE WHEN is_fraud THEN 'Fraud' ELSE 'Legitimate' END AS {group
     CAST({value} AS DOUBLE) AS v FROM {source} WHERE is_fraud IS NOT NULL AND {value} IS NOT NULL AND {where}),
 quarters AS (SELECT {group}, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
     quantile_cont(v, 0.75) AS q3 FROM shown GROUP BY ALL)
-SELECT {group}, count(*) AS rows, round(min(v), 6) AS min,
-  round(min(v) FILTER (v >= q1 - 1.5 * (q3 - q1)), 6) AS whisker_low, round(any_value(q1), 6) AS q1,
-  round(any_value(median), 6) AS median, round(any_value(q3), 6) AS q3,
-  round(max(v) FILTER (v <= q3 + 1.5 * (q3 - q1)), 6) AS whisker_high, round(max(v), 6) AS max,
+SELECT {group}, count(*) AS rows, floor((min(v)) * 1e6 + 0.5) / 1e6 AS min,
+  floor((min(v) FILTER (v >= q1 - 1.5 * (q3 - q1))) * 1e6 + 0.5) / 1e6 AS whisker_low, floor((any_value(q1)) * 1e6 + 0.5) / 1e6 AS q1,
+  floor((any_value(median)) * 1e6 + 0.5) / 1e6 AS median, floor((any_value(q3)) * 1e6 + 0.5) / 1e6 AS q3,
+  floor((max(v) FILTER (v <= q3 + 1.5 * (q3 - q1))) * 1e6 + 0.5) / 1e6 AS whisker_high, floor((max(v)) * 1e6 + 0.5) / 1e6 AS max,
   count(*) FILTER (v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)) AS outliers
 FROM shown JOIN quarters USING ({group}) GROUP BY {group}"""
 
@@ -350,7 +350,7 @@ wide AS (SELECT {group}, CASE WHEN low = high THEN low - 0.5 ELSE low END AS low
       AS width FROM edges),
 placed AS (SELECT {group}, CAST(least(floor((v - low) / width), 49) AS BIGINT) AS bin, count(*) AS rows
     FROM shown JOIN wide USING ({group}) GROUP BY ALL)
-SELECT {group}, bin, round(low + bin * width, 6) AS bin_start, round(low + (bin + 1) * width, 6) AS bin_end,
+SELECT {group}, bin, floor((low + bin * width) * 1e6 + 0.5) / 1e6 AS bin_start, floor((low + (bin + 1) * width) * 1e6 + 0.5) / 1e6 AS bin_end,
   coalesce(rows, 0) AS rows
 FROM wide CROSS JOIN (SELECT unnest(range(50)) AS bin) g LEFT JOIN placed USING ({group}, bin)"""
 
@@ -538,7 +538,7 @@ FROM risk WHERE merchant_id_clean IS NOT NULL AND merchant_risk_tier IS NOT NULL
 ORDER BY fraud_count DESC, merchant_id, risk_tier LIMIT 20""")
     sql["h04_top_cards"] = on("scored", """SELECT card_id_clean AS card_id,
   count(*) FILTER (is_fraud) AS fraud_count, count(is_fraud) AS total_count,
-  round(CAST(coalesce(sum(amount), 0) AS DOUBLE), 6) AS total_amount, round(avg(risk_score), 6) AS avg_risk_score,
+  floor((CAST(coalesce(sum(amount), 0) AS DOUBLE)) * 1e6 + 0.5) / 1e6 AS total_amount, floor((avg(risk_score)) * 1e6 + 0.5) / 1e6 AS avg_risk_score,
   round_even(count(*) FILTER (is_fraud) / nullif(count(is_fraud), 0) * 100, 2) AS fraud_rate
 FROM scored WHERE card_id_clean IS NOT NULL GROUP BY ALL ORDER BY fraud_count DESC, card_id LIMIT 20""")
     sql["h05_top_transactions"] = on("scored", f"""SELECT txn_id_clean AS transaction_id, {show(['risk_score'])}, is_fraud,
@@ -551,7 +551,7 @@ FROM scored WHERE card_id_clean IS NOT NULL GROUP BY ALL ORDER BY fraud_count DE
   count(*) FILTER (is_fraud) AS fraud_count, count(*) FILTER (NOT is_fraud) AS non_fraud_count,
   round_even(count(*) FILTER (is_fraud) / count(*) * 100, 2) AS fraud_pct,
   strftime(min(txn_date), '%Y-%m-%d') AS date_min, strftime(max(txn_date), '%Y-%m-%d') AS date_max,
-  round(CAST(sum(amount) AS DOUBLE) / count(amount), 6) AS amount_avg, round(CAST(sum(amount) AS DOUBLE), 6) AS amount_sum,
+  floor((CAST(sum(amount) AS DOUBLE) / count(amount)) * 1e6 + 0.5) / 1e6 AS amount_avg, floor((CAST(sum(amount) AS DOUBLE)) * 1e6 + 0.5) / 1e6 AS amount_sum,
   count(DISTINCT merchant_risk_tier) AS tiers, count(DISTINCT channel_std) AS channels,
   count(DISTINCT country_std) AS countries FROM view""", f"view AS (SELECT * FROM risk WHERE {VIEW})")
     bands = ", ".join(
@@ -566,10 +566,10 @@ FROM scored WHERE card_id_clean IS NOT NULL GROUP BY ALL ORDER BY fraud_count DE
   round_even(count(*) FILTER (NOT is_fraud) / count(*) * 100, 2) AS non_fraud_pct,
   round_even(any_value(f) / any_value(n) * 100, 2) AS fraud_pct_all,
   round_even(count(*) FILTER (is_fraud) / count(*) * 100 - any_value(f) / any_value(n) * 100, 2) AS fraud_pct_delta,
-  {bands}, round(avg(risk_score), 6) AS risk_score_avg,
-  round(CAST(sum(amount) AS DOUBLE), 6) AS amount_sum, round(CAST(sum(amount) AS DOUBLE) / count(amount), 6) AS amount_avg,
-  round(CAST(max(amount) AS DOUBLE), 6) AS amount_max, round(CAST(min(amount) AS DOUBLE), 6) AS amount_min,
-  round(quantile_cont(CAST(amount AS DOUBLE), 0.5), 6) AS amount_median
+  {bands}, floor((avg(risk_score)) * 1e6 + 0.5) / 1e6 AS risk_score_avg,
+  floor((CAST(sum(amount) AS DOUBLE)) * 1e6 + 0.5) / 1e6 AS amount_sum, floor((CAST(sum(amount) AS DOUBLE) / count(amount)) * 1e6 + 0.5) / 1e6 AS amount_avg,
+  floor((CAST(max(amount) AS DOUBLE)) * 1e6 + 0.5) / 1e6 AS amount_max, floor((CAST(min(amount) AS DOUBLE)) * 1e6 + 0.5) / 1e6 AS amount_min,
+  floor((quantile_cont(CAST(amount AS DOUBLE), 0.5)) * 1e6 + 0.5) / 1e6 AS amount_median
 FROM (SELECT * FROM scored WHERE {VIEW}), (SELECT count(*) AS n, count(*) FILTER (is_fraud) AS f FROM scored)""")
     sql["i03_value_breakdown"] = on("risk", " UNION ALL ".join(
         f"""SELECT '{c}' AS category, {c} AS category_value, count(*) AS row_count,
@@ -596,10 +596,10 @@ FROM (VALUES ('LOW'), ('MEDIUM'), ('HIGH')) b(risk_band) LEFT JOIN scored s ON s
     sql["j01_rule_score"] = on("scored", f"SELECT txn_id_clean, {show(['rule_score'])} FROM scored")
     sql["j02_risk_band"] = on("scored", f"SELECT txn_id_clean, {show(['risk_score'])}, risk_band FROM scored")
     sql["j08_score_dispatch"] = sql["j02_risk_band"]
-    sql["j03_imputation"] = on("risk", "SELECT txn_id_clean, " + ", ".join(f"round({c}, 6) AS {c}" for c in MODEL_FEATURES)
+    sql["j03_imputation"] = on("risk", "SELECT txn_id_clean, " + ", ".join(f"floor(({c}) * 1e6 + 0.5) / 1e6 AS {c}" for c in MODEL_FEATURES)
                                + " FROM imputed", IMPUTED)
     sql["j04_feature_moments"] = on("risk", "SELECT " + ", ".join(
-        f"round(avg({c}), 6) AS {c}_mean, round(stddev_pop({c}), 6) AS {c}_std" for c in MODEL_FEATURES
+        f"floor((avg({c})) * 1e6 + 0.5) / 1e6 AS {c}_mean, floor((stddev_pop({c})) * 1e6 + 0.5) / 1e6 AS {c}_std" for c in MODEL_FEATURES
     ) + " FROM imputed", IMPUTED)
     sql["j12_without_model"] = on("risk", "SELECT txn_id_clean, CAST(0.5 AS DOUBLE) AS risk_score, 'MEDIUM' AS risk_band FROM risk")
     sql["j13_training_sample"] = on("risk", f"""SELECT txn_id_clean, is_fraud FROM ordered, sizes
@@ -607,11 +607,11 @@ WHERE n <= 2000 OR place <= CASE WHEN is_fraud THEN fraud_rows WHEN NOT is_fraud
         f"""sizes AS (SELECT count(*) AS n, least(greatest(300,
     floor(least(count(*), 4000) * (count(*) FILTER (is_fraud) / count(*)))), count(*) FILTER (is_fraud)) AS fraud_rows FROM risk),
 ordered AS (SELECT *, row_number() OVER (PARTITION BY is_fraud ORDER BY {HASH}) AS place FROM risk)""")
-    sql["j18_scenario_prior"] = on("enr", """SELECT txn_id_clean, round(least(0.003
+    sql["j18_scenario_prior"] = on("enr", """SELECT txn_id_clean, floor((least(0.003
   + CASE WHEN amount > 10000 THEN 0.03 ELSE 0 END + CASE WHEN amount > 50000 THEN 0.07 ELSE 0 END
   + CASE upper(merchant_risk_tier) WHEN 'HIGH' THEN 0.04 WHEN 'MEDIUM' THEN 0.01 ELSE 0 END
   + CASE WHEN is_emulator = 1 THEN 0.03 ELSE 0 END
-  + CASE WHEN country_std <> 'IN' THEN 0.02 ELSE 0 END, 0.3)::DOUBLE, 6) AS fraud_prior FROM enr""")
+  + CASE WHEN country_std <> 'IN' THEN 0.02 ELSE 0 END, 0.3)::DOUBLE) * 1e6 + 0.5) / 1e6 AS fraud_prior FROM enr""")
 
     # explanations
     sql["k01_rule_explanation"] = on("risk", rules("velocity amount merchant emulator rate declines"))
@@ -631,29 +631,29 @@ ordered AS (SELECT *, row_number() OVER (PARTITION BY is_fraud ORDER BY {HASH})
 totals AS (SELECT count(*) AS n, count(*) FILTER (is_fraud) AS f, count(*) - CAST(ceil(count(*) * 0.2) AS BIGINT) AS train FROM known),
 sizes AS (SELECT train, train * f // n + CASE WHEN train * f % n > train * (n - f) % n THEN 1 ELSE 0 END AS fraud_train FROM totals),
 ordered AS (SELECT *, row_number() OVER (PARTITION BY is_fraud ORDER BY {HASH}) AS place FROM known)""")
-    sql["l02_classification_report"] = on("scored", """SELECT 'Legitimate' AS class_name, round(p0, 6) AS precision, round(r0, 6) AS recall,
-  round(f0, 6) AS f1_score, n0 AS support FROM measures
-UNION ALL SELECT 'Fraud', round(p1, 6), round(r1, 6), round(f1, 6), n1 FROM measures
-UNION ALL SELECT 'accuracy', NULL, NULL, round(accuracy, 6), n0 + n1 FROM measures
-UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f0 + f1) / 2, 6), n0 + n1 FROM measures
-UNION ALL SELECT 'weighted avg', round((p0 * n0 + p1 * n1) / (n0 + n1), 6), round((r0 * n0 + r1 * n1) / (n0 + n1), 6),
-  round((f0 * n0 + f1 * n1) / (n0 + n1), 6), n0 + n1 FROM measures""", CONFUSION, """
+    sql["l02_classification_report"] = on("scored", """SELECT 'Legitimate' AS class_name, floor((p0) * 1e6 + 0.5) / 1e6 AS precision, floor((r0) * 1e6 + 0.5) / 1e6 AS recall,
+  floor((f0) * 1e6 + 0.5) / 1e6 AS f1_score, n0 AS support FROM measures
+UNION ALL SELECT 'Fraud', floor((p1) * 1e6 + 0.5) / 1e6, floor((r1) * 1e6 + 0.5) / 1e6, floor((f1) * 1e6 + 0.5) / 1e6, n1 FROM measures
+UNION ALL SELECT 'accuracy', NULL, NULL, floor((accuracy) * 1e6 + 0.5) / 1e6, n0 + n1 FROM measures
+UNION ALL SELECT 'macro avg', floor(((p0 + p1) / 2) * 1e6 + 0.5) / 1e6, floor(((r0 + r1) / 2) * 1e6 + 0.5) / 1e6, floor(((f0 + f1) / 2) * 1e6 + 0.5) / 1e6, n0 + n1 FROM measures
+UNION ALL SELECT 'weighted avg', floor(((p0 * n0 + p1 * n1) / (n0 + n1)) * 1e6 + 0.5) / 1e6, floor(((r0 * n0 + r1 * n1) / (n0 + n1)) * 1e6 + 0.5) / 1e6,
+  floor(((f0 * n0 + f1 * n1) / (n0 + n1)) * 1e6 + 0.5) / 1e6, n0 + n1 FROM measures""", CONFUSION, """
 rates AS (SELECT tn + fp AS n0, tp + fn AS n1, coalesce(tn / nullif(tn + fn, 0), 0) AS p0, coalesce(tn / nullif(tn + fp, 0), 0) AS r0,
   coalesce(tp / nullif(tp + fp, 0), 0) AS p1, coalesce(tp / nullif(tp + fn, 0), 0) AS r1,
   (tn + tp) / (tn + fp + fn + tp) AS accuracy FROM cells),
 measures AS (SELECT *, coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0) AS f0, coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0) AS f1 FROM rates)""")
-    sql["l03_roc_auc"] = on("scored", """SELECT round(sum(CAST(neg AS DOUBLE) * (tp - pos + pos / 2))
-  / (any_value(all_pos) * any_value(all_neg)), 6) AS roc_auc FROM steps""", STEPS)
+    sql["l03_roc_auc"] = on("scored", """SELECT floor((sum(CAST(neg AS DOUBLE) * (tp - pos + pos / 2))
+  / (any_value(all_pos) * any_value(all_neg))) * 1e6 + 0.5) / 1e6 AS roc_auc FROM steps""", STEPS)
     sql["l04_confusion_matrix"] = on("scored", """SELECT 'Legitimate' AS actual, 'Legitimate' AS predicted, tn AS row_count FROM cells
 UNION ALL SELECT 'Legitimate', 'Fraud', fp FROM cells UNION ALL SELECT 'Fraud', 'Legitimate', fn FROM cells
 UNION ALL SELECT 'Fraud', 'Fraud', tp FROM cells""", CONFUSION)
     sql["l05_roc_curve"] = on("scored", """SELECT CAST(NULL AS DOUBLE) AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr
-UNION ALL SELECT round(threshold, 6), round(fp / all_neg, 6), round(tp / all_pos, 6) FROM steps
+UNION ALL SELECT floor((threshold) * 1e6 + 0.5) / 1e6, floor((fp / all_neg) * 1e6 + 0.5) / 1e6, floor((tp / all_pos) * 1e6 + 0.5) / 1e6 FROM steps
 WHERE n = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg""", STEPS)
-    sql["l06_precision_recall_curve"] = on("scored", """SELECT round(threshold, 6) AS threshold, round(tp / (tp + fp), 6) AS precision,
-  round(tp / all_pos, 6) AS recall FROM steps UNION ALL SELECT NULL, 1.0, 0.0""", STEPS)
-    sql["l06_best_f1"] = on("scored", """SELECT round(threshold, 6) AS best_threshold, round(f1, 6) AS best_f1,
-  round(p, 6) AS precision_at_best, round(r, 6) AS recall_at_best
+    sql["l06_precision_recall_curve"] = on("scored", """SELECT floor((threshold) * 1e6 + 0.5) / 1e6 AS threshold, floor((tp / (tp + fp)) * 1e6 + 0.5) / 1e6 AS precision,
+  floor((tp / all_pos) * 1e6 + 0.5) / 1e6 AS recall FROM steps UNION ALL SELECT NULL, 1.0, 0.0""", STEPS)
+    sql["l06_best_f1"] = on("scored", """SELECT floor((threshold) * 1e6 + 0.5) / 1e6 AS best_threshold, floor((f1) * 1e6 + 0.5) / 1e6 AS best_f1,
+  floor((p) * 1e6 + 0.5) / 1e6 AS precision_at_best, floor((r) * 1e6 + 0.5) / 1e6 AS recall_at_best
 FROM (SELECT *, 2 * p * r / (p + r) AS f1 FROM (SELECT threshold, tp / (tp + fp) AS p, tp / all_pos AS r FROM steps WHERE tp > 0))
 ORDER BY f1 DESC, threshold LIMIT 1""", STEPS)
     sql["l07_band_performance"] = on("scored", """SELECT risk_band, count(is_fraud) AS total, count(*) FILTER (is_fraud) AS fraud_count,
@@ -661,13 +661,13 @@ ORDER BY f1 DESC, threshold LIMIT 1""", STEPS)
   round_even(avg(risk_score), 4) AS avg_risk_score FROM scored GROUP BY risk_band""")
     sql["l08_score_histogram"] = on("scored", "", bins("risk_score", "class_name", "scored", "true", False))
     sql["l09_score_boxes"] = on("scored", "", boxes("risk_score", "class_name", "scored", "true"))
-    sql["l10_score_description"] = on("scored", """SELECT count(risk_score) AS count, round(avg(risk_score), 6) AS mean,
-  round(stddev_samp(risk_score), 6) AS std, round(min(risk_score), 6) AS min, round(quantile_cont(risk_score, 0.25), 6) AS q1,
-  round(quantile_cont(risk_score, 0.5), 6) AS median, round(quantile_cont(risk_score, 0.75), 6) AS q3,
-  round(max(risk_score), 6) AS max FROM scored""")
+    sql["l10_score_description"] = on("scored", """SELECT count(risk_score) AS count, floor((avg(risk_score)) * 1e6 + 0.5) / 1e6 AS mean,
+  floor((stddev_samp(risk_score)) * 1e6 + 0.5) / 1e6 AS std, floor((min(risk_score)) * 1e6 + 0.5) / 1e6 AS min, floor((quantile_cont(risk_score, 0.25)) * 1e6 + 0.5) / 1e6 AS q1,
+  floor((quantile_cont(risk_score, 0.5)) * 1e6 + 0.5) / 1e6 AS median, floor((quantile_cont(risk_score, 0.75)) * 1e6 + 0.5) / 1e6 AS q3,
+  floor((max(risk_score)) * 1e6 + 0.5) / 1e6 AS max FROM scored""")
     sql["l11_fraud_rate"] = on("risk", """SELECT count(*) AS row_count, count(*) FILTER (is_fraud) AS fraud_count,
   count(*) FILTER (NOT is_fraud) AS legitimate_count,
-  round(count(*) FILTER (is_fraud) / count(is_fraud) * 100, 6) AS fraud_rate_pct FROM risk""")
+  floor((count(*) FILTER (is_fraud) / count(is_fraud) * 100) * 1e6 + 0.5) / 1e6 AS fraud_rate_pct FROM risk""")
 
     # profiling and concentration
     keys = ["txn_id_clean", "txn_ts", "amount", "is_fraud", "txns_last_24h", "amt_last_24h", "distinct_merchants_last_24h",
@@ -693,17 +693,17 @@ FROM missing WHERE null_count > 0 ORDER BY null_count DESC, column_name LIMIT 10
     sql["m07_amount_ratio_histogram"] = on(
         "risk", "", bins("amount_vs_card_avg", "transaction_type", "risk", "amount_vs_card_avg < 10", True))
     sql["m08_merchant_totals"] = on("risk", """SELECT merchant_id_clean, total_txns, total_fraud_txns,
-  round(fraud_rate, 6) AS fraud_rate FROM merchant_totals""", PARETO)
+  floor((fraud_rate) * 1e6 + 0.5) / 1e6 AS fraud_rate FROM merchant_totals""", PARETO)
     sql["m09_pareto"] = on("risk", f"SELECT {PARETO_COLUMNS} FROM pareto", PARETO)
     sql["m10_top_merchants"] = on("risk", f"SELECT {PARETO_COLUMNS} FROM pareto WHERE merchant_rank <= 20", PARETO)
     sql["m10_top_share"] = on("risk", """SELECT CAST(sum(total_fraud_txns) FILTER (merchant_rank <= 20) AS BIGINT) AS top_fraud_txns,
-  round(sum(total_fraud_txns) FILTER (merchant_rank <= 20) / sum(total_fraud_txns) * 100, 6) AS top_fraud_pct FROM pareto""", PARETO)
+  floor((sum(total_fraud_txns) FILTER (merchant_rank <= 20) / sum(total_fraud_txns) * 100) * 1e6 + 0.5) / 1e6 AS top_fraud_pct FROM pareto""", PARETO)
     sql["m11_concentration"] = on("risk", """SELECT count(*) AS merchants, count(*) FILTER (cumulative_fraud_pct <= 80) AS p80_merchants,
   max(merchant_rank) FILTER (cumulative_fraud_pct <= 80) AS p80_rank,
-  round(max(cumulative_fraud_pct) FILTER (cumulative_fraud_pct <= 80), 6) AS p80_share_pct,
-  round(count(*) FILTER (cumulative_fraud_pct <= 80) / count(*) * 100, 6) AS p80_merchant_pct,
-  round(max(cumulative_fraud_pct) FILTER (merchant_rank <= 10), 6) AS top_10_pct,
-  round(max(cumulative_fraud_pct) FILTER (merchant_rank <= 50), 6) AS top_50_pct FROM pareto""", PARETO)
+  floor((max(cumulative_fraud_pct) FILTER (cumulative_fraud_pct <= 80)) * 1e6 + 0.5) / 1e6 AS p80_share_pct,
+  floor((count(*) FILTER (cumulative_fraud_pct <= 80) / count(*) * 100) * 1e6 + 0.5) / 1e6 AS p80_merchant_pct,
+  floor((max(cumulative_fraud_pct) FILTER (merchant_rank <= 10)) * 1e6 + 0.5) / 1e6 AS top_10_pct,
+  floor((max(cumulative_fraud_pct) FILTER (merchant_rank <= 50)) * 1e6 + 0.5) / 1e6 AS top_50_pct FROM pareto""", PARETO)
 
     # quality checks
     sql["n01_row_parity"] = on("feat", """SELECT (SELECT count(*) FROM enr) AS rows_before, count(*) AS rows_after,
@@ -713,7 +713,7 @@ FROM missing WHERE null_count > 0 ORDER BY null_count DESC, column_name LIMIT 10
         f"missing AS ({missing(CARD_ACTIVITY, 'feat')})")
 
     def mean(column: str) -> str:
-        return f"round(CAST(sum({column}) AS DOUBLE) / count({column}), 6) AS avg_{column}"
+        return f"floor((CAST(sum({column}) AS DOUBLE) / count({column})) * 1e6 + 0.5) / 1e6 AS avg_{column}"
 
     sql["n04_card_activity_statistics"] = on("feat", f"""SELECT count(*) AS row_count, {mean('txns_last_24h')},
   max(txns_last_24h) AS max_txns_last_24h, {mean('amt_last_24h')}, {mean('amount_vs_card_avg')},

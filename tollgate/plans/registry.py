@@ -58,12 +58,16 @@ def query(function: Query) -> Query:
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Plain types for comparison: text, BIGINT, BOOLEAN, rounded DOUBLE."""
+    """Plain types for comparison: text, BIGINT, BOOLEAN, DOUBLE at six decimals.
+
+    The decimals are cut by arithmetic both engines do alike; their round functions
+    settle decimal ties differently.
+    """
 
     def convert(field: T.StructField):
         column, kind = F.col(f"`{field.name}`"), field.dataType
         if isinstance(kind, (T.DecimalType, T.DoubleType)):
-            column = F.round(column.cast("double"), 6)
+            column = F.floor(column.cast("double") * 1e6 + 0.5) / 1e6
         elif isinstance(kind, T.IntegerType):
             column = column.cast("bigint")
         elif isinstance(kind, (T.DateType, T.TimestampNTZType, T.TimestampType)):
