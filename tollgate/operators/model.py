@@ -118,7 +118,9 @@ def fit(df: DataFrame, with_forest: bool = True, seed: int = SEED) -> ScoringMod
     numbers = impute(df, features).where(F.col("is_fraud").isNotNull()).select(
         "txn_id_clean", *features, F.col("is_fraud").cast("double").alias("label")
     )
-    # Training passes over these rows many times: a written table survives a lost executor.
+    # Training passes over these rows many times: a written table survives a lost executor,
+    # and even parts keep every core busy.
+    numbers = numbers.repartition(spark.sparkContext.defaultParallelism)
     numbers = write_and_read(numbers, f"{shared_folder(spark)}/training-{uuid4().hex}")
     facts = numbers.agg(
         F.count(F.lit(1)).alias("rows"), F.sum("label").alias("fraud"),
@@ -152,25 +154,24 @@ def _with_numbers(df: DataFrame, features: list[str]) -> DataFrame:
     return impute(copies, [f"n_{c}" for c in features])
 
 
-def _probability(model, df: DataFrame, output: str) -> DataFrame:
-    scored = model.transform(df)
-    made = [model.getRawPredictionCol(), model.getProbabilityCol(), model.getPredictionCol()]
-    return scored.withColumn(output, vector_to_array(model.getProbabilityCol())[1]).drop(*made)
-
-
 def model_scores(df: DataFrame, model: ScoringModel) -> DataFrame:
-    """Add ``lr_score`` and, with a forest, ``rf_score``."""
+    """Add ``lr_score`` and, with a forest, ``rf_score``.
+
+    The regression is plain column arithmetic, which stays in generated code; only the
+    forest goes through the Spark ML model.
+    """
     inputs = [f"n_{c}" for c in model.features]
     scored = standardise(_with_numbers(df, model.features), inputs, model.means, model.deviations)
-    z_names = [f"z_{c}" for c in inputs]
-    scored = VectorAssembler(inputCols=z_names, outputCol="scaled").transform(scored)
-    scored = _probability(model.regression, scored, "lr_score")
-    added = ["lr_score"]
-    if model.forest is not None:
-        scored = VectorAssembler(inputCols=inputs, outputCol="inputs").transform(scored)
-        scored = _probability(model.forest, scored, "rf_score")
-        added.append("rf_score")
-    return scored.select(*df.columns, *added)
+    margin = F.lit(model.intercept)
+    for name, coefficient in zip(inputs, model.coefficients):
+        margin = margin + F.col(f"z_{name}") * F.lit(coefficient)
+    scored = scored.withColumn("lr_score", 1 / (1 + F.exp(-margin)))
+    if model.forest is None:
+        return scored.select(*df.columns, "lr_score")
+    assembled = VectorAssembler(inputCols=inputs, outputCol="inputs").transform(scored)
+    forest = model.forest.transform(assembled)
+    probability = vector_to_array(model.forest.getProbabilityCol())[1]
+    return forest.select(*df.columns, "lr_score", probability.alias("rf_score"))
 
 
 def score(df: DataFrame, model: ScoringModel) -> DataFrame:
@@ -213,12 +214,11 @@ def score_transactions(df: DataFrame, model_path: str | None = None) -> DataFram
 
 def score_at_most(df: DataFrame, model: ScoringModel, max_rows: int = 3000) -> DataFrame:
     """Score ``max_rows`` rows (exactly, chosen by hashed id); the rest keep the placeholder."""
-    scored = score(df, model)
     everything = F.lit("all")
     quota = df.sparkSession.range(1).select(everything.alias("_stratum"), F.lit(max_rows).cast("bigint").alias("take"))
-    split = split_by_quota(scored.withColumn("_stratum", everything), quota, "_stratum")
-    kept = F.when(F.col("taken"), F.col("risk_score")).otherwise(PLACEHOLDER_SCORE)
-    return with_band(split.withColumn("risk_score", kept)).select(*df.columns, "risk_score", "risk_band")
+    split = split_by_quota(df.withColumn("_stratum", everything), quota, "_stratum").drop("_stratum")
+    chosen = score(split.where("taken").drop("taken"), model)
+    return chosen.unionByName(placeholder_score(split.where(~F.col("taken")).drop("taken")))
 
 
 def save_model(model: ScoringModel, path: str) -> None:

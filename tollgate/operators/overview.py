@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,12 +87,9 @@ def value_breakdown(df: DataFrame, columns: list[str] | None = None) -> DataFram
     columns = CATEGORIES if columns is None else columns
     counts = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
     total = counts.select(F.sum("rows")).scalar()
-    parts = [
-        counts.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("category_value"))
-        .agg(F.sum("rows").alias("row_count")).withColumn("category", F.lit(c))
-        for c in columns
-    ]
-    listed = reduce(DataFrame.unionByName, parts)
+    pairs = F.array(*[F.struct(F.lit(c).alias("category"), F.col(c).alias("category_value")) for c in columns])
+    listed = counts.select("rows", F.inline(pairs)).where(F.col("category_value").isNotNull())
+    listed = listed.groupBy("category", "category_value").agg(F.sum("rows").alias("row_count"))
     return listed.select(
         "category", "category_value", "row_count", percent(F.col("row_count"), total).alias("row_pct")
     ).orderBy("category", F.desc("row_count"), "category_value")

@@ -2,9 +2,10 @@
 
 The hash is md5 of the key and a seed, so a rerun, another cluster size or another
 engine picks the same rows. No stratum is sorted as a whole: counts per hash prefix say
-in which prefix the n-th row lies, everything below it is taken by a filter, and only
-that one prefix (a millionth of the stratum) is put in order. Rows that are exact copies
-are counted, not sorted, so copies cannot pile up in one task.
+in which prefix the n-th row lies, first among 4,096 prefixes, then among 65,536 inside
+that one, so the counts stay small however large the table is. Rows below the prefix are
+taken by a filter, and only its own rows (one in 2^28 of the stratum) are put in order.
+Exact copies are counted, not sorted, so copies cannot pile up in one task.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PREFIX_DIGITS = 5
+FIRST_DIGITS = 3
+NEXT_DIGITS = 4
 COPIES_PER_CHUNK = 100_000
 
 
@@ -46,16 +48,10 @@ def split_by_quota(df: DataFrame, quotas: DataFrame, stratum: str, key: str = "t
     """
     columns = df.columns
     hashed = df.withColumn("_hash", hash_order(key, seed))
-    hashed = hashed.withColumn("_prefix", F.substring("_hash", 1, PREFIX_DIGITS))
-
-    earlier = Window.partitionBy(stratum).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
-    volume = hashed.groupBy(stratum, "_prefix").agg(F.count(F.lit(1)).alias("_rows"))
-    volume = volume.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-    edges = (
-        volume.join(F.broadcast(quotas), stratum)
-        .where((F.col("_before") < F.col("take")) & (F.col("take") <= F.col("_before") + F.col("_rows")))
-        .select(stratum, F.col("_prefix").alias("_edge"), (F.col("take") - F.col("_before")).alias("_need"))
-    )
+    hashed = hashed.withColumn("_prefix", F.substring("_hash", 1, FIRST_DIGITS + NEXT_DIGITS))
+    first = _edge(hashed, F.substring("_hash", 1, FIRST_DIGITS), quotas, stratum)
+    inside = hashed.join(F.broadcast(first), stratum).where(F.col("_hash").startswith(F.col("_edge")))
+    edges = _edge(inside, F.col("_prefix"), first.select(stratum, F.col("_need").alias("take")), stratum)
     limits = quotas.join(F.broadcast(edges), stratum, "left")
 
     placed = hashed.join(F.broadcast(limits), stratum, "left")
@@ -82,6 +78,17 @@ def split_by_quota(df: DataFrame, quotas: DataFrame, stratum: str, key: str = "t
     return clear.select(*columns, "taken").unionByName(_unfold(ranked).select(*columns, "taken"))
 
 
+def _edge(hashed: DataFrame, prefix: Column, quotas: DataFrame, stratum: str) -> DataFrame:
+    """Per stratum the prefix in which its ``take``-th row lies and how many rows to take there."""
+    earlier = Window.partitionBy(stratum).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    volume = hashed.groupBy(stratum, prefix.alias("_piece")).agg(F.count(F.lit(1)).alias("_rows"))
+    volume = volume.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    reached = (F.col("_before") < F.col("take")) & (F.col("take") <= F.col("_before") + F.col("_rows"))
+    return volume.join(F.broadcast(quotas), stratum).where(reached).select(
+        stratum, F.col("_piece").alias("_edge"), (F.col("take") - F.col("_before")).alias("_need")
+    )
+
+
 def _unfold(df: DataFrame) -> DataFrame:
     """Repeat each row ``_n`` times, in chunks that can be spread over tasks."""
     size = F.lit(COPIES_PER_CHUNK)

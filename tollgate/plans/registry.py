@@ -131,10 +131,13 @@ def a01_csv_scan(spark, sf):
 
 @query
 def a06_load_reconciliation(spark, sf):
-    tables = _raw_tables(spark, sf)
-    paths = {name: _as_csv(spark, name, df) for name, df in tables.items()}
-    loaded = {name: raw_csv.read_raw(spark, path, name) for name, path in paths.items()}
-    return plain(raw_csv.load_report(tables, loaded))
+    stored, loaded = {}, {}
+    for name, df in _raw_tables(spark, sf).items():
+        path = _as_csv(spark, name, df)
+        rows = raw_csv.read_raw(spark, path, name)
+        loaded[name] = raw_csv.store_counted(rows, lambda out: out.write.parquet(f"{path}-stored"))
+        stored[name] = spark.read.parquet(f"{path}-stored")
+    return plain(raw_csv.load_report(stored, loaded))
 
 
 @query

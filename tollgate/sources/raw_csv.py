@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.schemas import RAW_COLUMNS, raw_schema
@@ -58,40 +59,44 @@ def write_raw(df: DataFrame, path: str) -> None:
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
+def store_counted(df: DataFrame, save: Callable[[DataFrame], None]) -> int:
+    """Write a frame and count its rows in the same pass."""
+    seen = Observation()
+    save(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return seen.get["rows"]
+
+
 def reload_raw(spark: SparkSession, paths: dict[str, str], database: str) -> DataFrame:
     """Replace the raw tables by the files at ``paths`` and report stored and read rows.
 
     A table without a path, or whose path is missing, ends up empty.
     """
-    read: dict[str, DataFrame] = {}
+    loaded = {}
     for table in RAW_COLUMNS:
-        if table in paths:
-            read[table] = read_raw(spark, paths[table], table)
-        else:
-            read[table] = spark.createDataFrame([], raw_schema(table))
-        read[table].write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{table}")
-    stored = {table: spark.table(f"{database}.{table}") for table in RAW_COLUMNS}
-    return load_report(stored, read)
+        rows = (
+            read_raw(spark, paths[table], table) if table in paths
+            else spark.createDataFrame([], raw_schema(table))
+        )
+        name = f"{database}.{table}"
+        loaded[table] = store_counted(rows, lambda df: df.write.mode("overwrite").format("parquet").saveAsTable(name))
+    return load_report({table: spark.table(f"{database}.{table}") for table in RAW_COLUMNS}, loaded)
 
 
 def append_raw(spark: SparkSession, path: str, table: str, database: str) -> int:
     """Add one file to a raw table; returns the rows read."""
-    df = read_raw(spark, path, table)
-    df.write.mode("append").format("parquet").saveAsTable(f"{database}.{table}")
-    return df.count()
+    name = f"{database}.{table}"
+    rows = read_raw(spark, path, table)
+    return store_counted(rows, lambda df: df.write.mode("append").format("parquet").saveAsTable(name))
 
 
-def load_report(stored: dict[str, DataFrame], loaded: dict[str, DataFrame]) -> DataFrame:
+def load_report(stored: dict[str, DataFrame], loaded: dict[str, int]) -> DataFrame:
     """Rows stored and rows loaded, per table."""
-
-    def counts(frames: dict[str, DataFrame], name: str) -> DataFrame:
-        parts = [df.agg(F.count(F.lit(1)).alias(name)).withColumn("table_name", F.lit(table))
-                 for table, df in sorted(frames.items())]
-        return reduce(DataFrame.unionByName, parts)
-
-    report = counts(stored, "stored_rows").join(counts(loaded, "loaded_rows"), "table_name", "left")
-    loaded_rows = F.coalesce("loaded_rows", F.lit(0))
-    return report.select(
-        "table_name", "stored_rows", loaded_rows.alias("loaded_rows"),
-        (F.col("stored_rows") == loaded_rows).alias("matches"),
-    ).orderBy("table_name")
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("stored_rows")).select(
+            F.lit(table).alias("table_name"), "stored_rows",
+            F.lit(loaded.get(table, 0)).cast("bigint").alias("loaded_rows"),
+        )
+        for table, df in stored.items()
+    ]
+    report = reduce(DataFrame.unionByName, parts)
+    return report.withColumn("matches", F.col("stored_rows") == F.col("loaded_rows")).orderBy("table_name")
