@@ -77,9 +77,8 @@ def filtered_statistics(df: DataFrame, filters: Column) -> DataFrame:
         (F.sum(amount).cast("double") / F.nullif(F.count(amount), F.lit(0))).alias("amount_avg"),
         F.max(amount).alias("amount_max"), F.min(amount).alias("amount_min"),
     )
-    median = exact_quantiles(df.where(inside), "amount", {"amount_median": 0.5})
-    one = F.lit(1)
-    return figures.withColumn("_one", one).join(median.withColumn("_one", one), "_one", "left").drop("_one")
+    median = exact_quantiles(df.where(inside), "amount", {"amount_median": 0.5}).scalar()
+    return figures.withColumn("amount_median", median)
 
 
 def value_breakdown(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -109,15 +109,14 @@ def box_summary(df: DataFrame, value: str, by: str) -> DataFrame:
 def describe(df: DataFrame, value: str) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles, maximum as one row."""
     counts = value_counts(df, value)
-    quarters = quantiles_of_counts(counts, QUARTILES)
+    quarters = quantiles_of_counts(counts, QUARTILES).select(F.struct(*QUARTILES)).scalar()
     number = F.col(value).cast("double")
     moments = df.agg(
         F.count(value).alias("count"), F.avg(number).alias("mean"), F.stddev_samp(number).alias("std"),
         F.min(number).alias("min"), F.max(number).alias("max"),
     )
-    one = F.lit(1).alias("_one")
-    return moments.withColumn("_one", one).join(quarters.withColumn("_one", one), "_one").select(
-        "count", "mean", "std", "min", "q1", "median", "q3", "max"
+    return moments.select(
+        "count", "mean", "std", "min", *[quarters.getField(name).alias(name) for name in QUARTILES], "max"
     )
 
 
