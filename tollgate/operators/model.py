@@ -80,13 +80,17 @@ def batch_medians(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def impute(df: DataFrame, features: list[str]) -> DataFrame:
-    """Features as numbers without gaps: medians of this batch for numbers, 0 for flags."""
+    """Features as numbers without gaps: medians of this batch for numbers, 0 for flags.
+
+    The medians (one number per feature) are computed when this is called. As literals
+    they keep a subquery plan out of the model functions that tasks receive.
+    """
     kinds = {field.name: field.dataType for field in df.schema.fields}
     numeric = [c for c in features if isinstance(kinds[c], T.NumericType)]
     filled: dict[str, Column] = {}
     if numeric:
-        medians = batch_medians(df, numeric).select(F.struct(*numeric)).scalar()
-        filled |= {c: F.coalesce(F.col(c).cast("double"), medians.getField(c)) for c in numeric}
+        medians = batch_medians(df, numeric).first()
+        filled |= {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in numeric}
     for c in features:
         if isinstance(kinds[c], T.BooleanType):
             filled[c] = F.coalesce(F.col(c), F.lit(False)).cast("double")
