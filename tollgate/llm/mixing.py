@@ -120,9 +120,11 @@ def slots(plan: DataFrame, block: int = BLOCK, per_shard: int = SLOTS_PER_SHARD)
         "_from": F.coalesce(F.sum("slots").over(before), F.lit(0)),
         "_all": F.sum("slots").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
     }).where("slots > 0")
-    # A source's slots are unfolded in chunks, so that no task unfolds a whole source.
+    # A source's slots are unfolded in chunks, so that no task unfolds a whole source. The number of tasks
+    # is given: the chunks look small before they are unfolded.
+    tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = laid.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slots") - 1, F.lit(CHUNK).cast("bigint"))))
-    spread = chunks.repartition(F.col("rank"), F.col("_chunk"))
+    spread = chunks.repartition(tasks, "rank", "_chunk")
     each = spread.withColumn("k", F.explode(F.sequence(F.col("_chunk"), F.least(F.col("_chunk") + CHUNK, F.col("slots")) - 1)))
     position = permuted(F.col("_from") + F.col("k"), F.col("_all"), F.lit("positions"))
     each = each.withColumns({
@@ -161,7 +163,8 @@ def mix(docs: DataFrame, block: int = BLOCK, weights: list[float] = WEIGHTS, mos
     facts = plan.select(F.col("source").alias("_source"), "rank", "source_size", "target")
     ranked = placed.join(facts, placed["source"].eqNullSafe(facts["_source"])).drop("_source")
     parts = block_parts(ranked, block)
-    joined = parts.join(slots(plan, block, per_shard), ["rank", "block"], "left")
+    # There are as many slots as blocks; the optimizer sees only the few rows they are unfolded from.
+    joined = parts.join(slots(plan, block, per_shard).hint("merge"), ["rank", "block"], "left")
     used = F.when(F.col("used") > F.col("_in_block"), F.least(F.col("n_words"), F.col("used") - F.col("_in_block")))
     return joined.select(
         "shard", "slot", F.col("_in_block").alias("in_block"), "epoch", "doc_id", "source", "size", "start", "source_size", "target",
