@@ -115,6 +115,11 @@ def _estimates(rows: DataFrame, z: list[Column], by: list[str], weight: Column |
     return _factor(out).select(*by, "n", *[f"m{i}" for i in range(P)], *_factors(), "log_det")
 
 
+def _small(df: DataFrame, name: str) -> DataFrame:
+    """Store a table with a row or a few per cell in one file; its size then shows that it can be broadcast."""
+    return stored(df.repartition(1), name)
+
+
 def _factors() -> list[str]:
     return [f"w{i}{j}" for i in range(P) for j in range(i + 1)]
 
@@ -145,10 +150,10 @@ def _distance() -> Column:
 
 def _starts(rows: DataFrame) -> DataFrame:
     """Three robust starts per cell: medians with diagonal scatter, wrapped scores, spatial signs."""
-    medians = stored(rows.groupBy("cell").agg(
+    medians = _small(rows.groupBy("cell").agg(
         *[F.percentile(F.round(x, 2), F.lit(0.5)).alias(f"d{i}") for i, x in enumerate(VECTOR)]), "medians")
     centred = rows.join(medians, "cell")
-    spreads = stored(centred.groupBy("cell").agg(
+    spreads = _small(centred.groupBy("cell").agg(
         *[F.first(f"d{i}").alias(f"d{i}") for i in range(P)],
         *[F.greatest(1.4826 * F.percentile(F.round(F.abs(F.col(x) - F.col(f"d{i}")), 2), F.lit(0.5)), F.lit(FLOOR[i])).alias(f"e{i}")
           for i, x in enumerate(VECTOR)]), "spreads")
@@ -178,16 +183,16 @@ def _starts(rows: DataFrame) -> DataFrame:
 
 def robust_estimates(rows: DataFrame) -> DataFrame:
     """Per ``cell`` the location and scatter of smallest determinant, over the rows of a stored table."""
-    estimates = stored(_starts(rows), "mcd")
+    estimates = _small(_starts(rows), "mcd")
     step = F.round(32 * F.log(F.col("_d") + 1e-6))
     for _ in range(STEPS):
         near = rows.join(estimates, "cell").select("cell", "start", *VECTOR, _distance().alias("_d")).withColumn("_d", step)
-        edges = stored(near.groupBy("cell", "start").agg(F.percentile("_d", F.lit(SHARE)).alias("_edge")), "mcd-edges")
+        edges = _small(near.groupBy("cell", "start").agg(F.percentile("_d", F.lit(SHARE)).alias("_edge")), "mcd-edges")
         inside = near.join(edges, ["cell", "start"])
-        estimates = stored(_estimates(
+        estimates = _small(_estimates(
             inside, [F.col(x) for x in VECTOR], ["cell", "start"], F.col("_d") <= F.col("_edge")), "mcd")
     chosen = F.min_by(F.struct(*[c for c in estimates.columns if c not in ("cell", "start")]), F.struct("log_det", "start"))
-    return stored(estimates.groupBy("cell").agg(chosen.alias("_best")).select("cell", "_best.*"), "mcd-best")
+    return _small(estimates.groupBy("cell").agg(chosen.alias("_best")).select("cell", "_best.*"), "mcd-best")
 
 
 def judge_quality(docs: DataFrame, cutoff: float = CUTOFF, min_rows: int = MIN_ROWS) -> DataFrame:
