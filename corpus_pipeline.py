@@ -1,11 +1,26 @@
-"""The training-data pipeline: documents go through the stages in order."""
+"""The training-data pipeline: documents go through the stages in order.
+
+Every stage gets what the one before kept, as written Parquet. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tollgate.llm import mixing, secrets
+from tollgate.llm import bpe_codec, jaccard_join, language_id, mixing, secrets
 from tollgate.llm.common import stored, table
+from tollgate.llm.queries import WORD_TOKENIZER
+
+
+def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is rejected go: no text, no letters, or far from every language learned."""
+    return language_id.accepted(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked documents stays, the one with the smallest id."""
+    return jaccard_join.one_of_each(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,9 +33,17 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return mixing.mixed_documents(docs)
 
 
-STAGES = [("secret_scan", secret_scan), ("source_mixing", source_mixing)]
+def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text, with digests of the ids and of the decoded tokens."""
+    return bpe_codec.round_trip(docs, public_tokenizers.path(WORD_TOKENIZER), keep_ids=True)
+
+
+STAGES = [
+    ("language_filter", language_filter), ("near_duplicates", near_duplicates), ("secret_scan", secret_scan),
+    ("source_mixing", source_mixing), ("bpe_encoding", bpe_encoding),
+]
 
-#: The first stage learns a classifier, which SQL cannot express; tests compare with a brute-force version.
+#: The first stage learns a classifier, which SQL cannot express; a test compares with a brute-force version.
 ORACLE_SQL = None
 
 

@@ -260,10 +260,10 @@ def _id_kind(docs: DataFrame) -> str:
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id and ``ids`` of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+    shared = docs.sparkSession.sparkContext.broadcast(vars(read_vocabulary(path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(Vocabulary(**shared.value))
         for batch in batches:
             ids = [np.frombuffer(b"".join(encoder.encode(t.as_py())), "<u4").astype("int32") for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
@@ -273,10 +273,10 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     """doc_id and ``text`` from ``ids``; null ids give the empty text."""
-    shared = encoded.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+    shared = encoded.sparkSession.sparkContext.broadcast(vars(read_vocabulary(path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = text_decoder(shared.value)
+        decoder = text_decoder(Vocabulary(**shared.value))
         for batch in batches:
             texts = [decoder.feed(ids.as_py() or []) + decoder.finish() for ids in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
@@ -284,30 +284,36 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {_id_kind(encoded)}, text string")
 
 
-def round_trip(docs: DataFrame, path: str) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
     """Encode and decode every whole text: token count, digest of the ids, digest of the decoded tokens.
 
-    Ids go to the digest and to the decoder piece by piece and are not kept.
+    Ids go to the digest and to the decoder piece by piece; with ``keep_ids`` they come out as ``ids`` as well.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+    shared = docs.sparkSession.sparkContext.broadcast(vars(read_vocabulary(path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = Encoder(shared.value), token_decoder(shared.value)
+        vocabulary = Vocabulary(**shared.value)
+        encoder, decoder = Encoder(vocabulary), token_decoder(vocabulary)
         for batch in batches:
-            counts, ids_digests, text_digests = [], [], []
+            counts, ids_digests, text_digests, kept = [], [], [], []
             for text in batch.column("text"):
-                n, ids_digest, text_digest = 0, hashlib.sha256(), hashlib.sha256()
+                n, ids_digest, text_digest, own = 0, hashlib.sha256(), hashlib.sha256(), []
                 for packed in encoder.encode(text.as_py()):
                     n += len(packed) // 4
                     ids_digest.update(packed)
+                    if keep_ids:
+                        own.append(packed)
                     text_digest.update(decoder.feed(np.frombuffer(packed, "<u4").tolist()).encode())
                 text_digest.update(decoder.finish().encode())
                 counts.append(n)
                 ids_digests.append(ids_digest.hexdigest())
                 text_digests.append(text_digest.hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(text_digests, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    layout = f"doc_id {_id_kind(docs)}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+                kept.append(np.frombuffer(b"".join(own), "<u4").astype(np.int32))
+            columns = {"doc_id": batch.column("doc_id"), "n_tokens": pa.array(counts, pa.int64()),
+                       "ids_sha256": pa.array(ids_digests, pa.string()), "decoded_sha256": pa.array(text_digests, pa.string())}
+            if keep_ids:
+                columns["ids"] = pa.array(kept, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_pydict(columns)
+
+    layout = f"doc_id {_id_kind(docs)}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
     return docs.select("doc_id", whole("text").alias("text")).mapInArrow(run, layout)

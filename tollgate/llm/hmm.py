@@ -160,10 +160,11 @@ def _expected(model: Model, classes: np.ndarray, lengths: np.ndarray) -> tuple[n
 
 def _round(blocks: DataFrame, model: Model) -> Model:
     """One Baum-Welch round: expected counts of every block, added up by class."""
-    shared = blocks.sparkSession.sparkContext.broadcast(model)
+    shared = blocks.sparkSession.sparkContext.broadcast(vars(model))
     names = [f"s{i}" for i in range(STATES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current = Model(**shared.value)
         total = np.zeros((CLASSES + STATES + 1, STATES))
         for batch in batches:
             for row in batch.to_pylist():
@@ -171,7 +172,7 @@ def _round(blocks: DataFrame, model: Model) -> Model:
                 classes = np.frombuffer(row["classes"], "<u2")[np.frombuffer(row["tokens"], "<i4")]
                 chosen = classes[np.repeat(train, lengths)]
                 if len(chosen):
-                    emissions, moves, starts = _expected(shared.value, chosen, lengths[train])
+                    emissions, moves, starts = _expected(current, chosen, lengths[train])
                     total[:CLASSES] += emissions.T
                     total[CLASSES:CLASSES + STATES] += moves
                     total[-1] += starts
@@ -238,10 +239,10 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     # Each block gets the counts of its own words: a list as long as the block's word list.
     known = listed.select("block", "at", "word").join(counts, "word").groupBy("block").agg(
         F.collect_list(F.struct("at", "c")).alias("known"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(**shared.value)
         share = np.log10(np.maximum(model.share, 1e-300))
         for batch in batches:
             for i in range(len(batch)):

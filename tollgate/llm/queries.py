@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm import fingerprint, mixing, quality, secrets
+from tollgate.llm import (
+    bpe_codec, fingerprint, hmm, jaccard_join, language_id, mixing, oracle, quality, secrets, token_counts, warc,
+)
 from tollgate.llm.common import table
 
+WORD_TOKENIZER = "word_bpe_49k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
+
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.words_taken(table(spark, sf_dir, "documents"))
@@ -19,6 +25,33 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf_dir, "documents"))
 
 
+def op3_hidden_markov_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
+def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_components(table(spark, sf_dir, "documents"))
+
+
+def op7_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    archive = warc.new_archive(pages)
+    warc.write_archive(pages, archive)
+    return warc.read_archive(spark, archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_TOKENIZER))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = secrets.scan(docs, secrets.new_ledger(docs))
@@ -36,9 +69,11 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_source_mixing, op2_quality_rules, op9_secret_scan, op10_fingerprints)
+    f.__name__: f for f in (
+        op1_source_mixing, op2_quality_rules, op3_hidden_markov_model, op4_bpe_round_trip, op5_language_id,
+        op6_jaccard_join, op7_warc_archive, op8_token_counts, op9_secret_scan, op10_fingerprints)
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)
