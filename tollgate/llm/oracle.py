@@ -17,11 +17,11 @@ FROM p JOIN f USING (digest)
 
 JACCARD = f"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{SPACE}'), x -> x <> '') AS ws
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{SPACE}'), lambda x: x <> '') AS ws
   FROM documents
 ), s AS (
   SELECT doc_id, CASE WHEN len(ws) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(ws) - 2), i -> array_to_string(ws[i:i + 3], ' '))) END AS sh FROM w
+    ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS sh FROM w
 ), t AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS token FROM s),
 shared AS (
   SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, count(*) AS c
@@ -40,7 +40,7 @@ def _secret_rules() -> str:
         pattern = "[0-9a-f]{32,}" if rule.kind == "hex" else rule.pattern
         rows.append(f"""
   SELECT doc_id, {rank} AS rank, '{rule.kind}' AS kind, found, gaps, {rule.group} AS grp,
-    list_filter(range(1, len(found) + 1), i -> length(regexp_extract(found[i], '{pattern.replace("'", "''")}', {rule.group})) >= {rule.least}) AS long
+    list_filter(range(1, len(found) + 1), lambda i: length(regexp_extract(found[i], '{pattern.replace("'", "''")}', {rule.group})) >= {rule.least}) AS long
   FROM (SELECT doc_id, regexp_extract_all(t, '{pattern.replace("'", "''")}') AS found,
           string_split_regex(t, '{pattern.replace("'", "''")}') AS gaps FROM d)""")
     return " UNION ALL ".join(rows)
@@ -49,7 +49,7 @@ def _secret_rules() -> str:
 SECRETS = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), m AS ({_secret_rules()}), spans AS (
   SELECT doc_id, rank, kind,
-    list_sum(list_transform(gaps[1:i], g -> length(g))) + coalesce(list_sum(list_transform(found[1:i - 1], g -> length(g))), 0) AS start,
+    list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda g: length(g))), 0) AS start,
     length(found[i]) AS size
   FROM (SELECT *, unnest(long) AS i FROM m)
 ), named AS (
