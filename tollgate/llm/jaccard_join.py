@@ -202,11 +202,12 @@ def link_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, join: Join = Join()) -> DataFrame:
-    """The documents, one of each group: the one whose id names the component. Repeated rows of it become one.
+    """The documents, one of each group: the one whose id names the component.
 
-    Texts without words stay, each.
+    Texts without words stay, each; so do the rows of a component without any id, and rows that repeat the kept id.
     """
     found = link_components(docs, join).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    keep = found.withColumnRenamed("doc_id", "_keep")
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_keep"))).drop("_keep")
-    return kept.select(*docs.columns)
+    # The row travels as one value, so its columns cannot clash with those added here.
+    boxed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("own"))
+    kept = boxed.join(found.select(F.col("doc_id").alias("keep")), F.col("own").eqNullSafe(F.col("keep")))
+    return kept.select("row.*")

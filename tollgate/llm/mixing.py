@@ -184,17 +184,16 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     A document that an epoch takes whole keeps its text. ``n_chars``, if there, follows the text. Documents without
     a word taken are left out. Rows that agree in doc_id, source and text count as one document here.
     """
-    key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("source", F.lit("\x00")), F.col("_text")]
-    one = docs.withColumn("_text", F.coalesce(F.xxhash64("text"), F.lit(0))).withColumn("_key", F.xxhash64(*key))
-    one = one.dropDuplicates(["_key"])
-    used = mix(one.select(F.col("_key").alias("doc_id"), "source", "text")).where("words_used > 0")
-    takes = used.groupBy(F.col("doc_id").alias("_key"), "epoch").agg(
-        F.sum("words_used").alias("_n"), F.any_value("size").alias("_size"),
-        F.sort_array(F.collect_list(F.struct("first_word", "words_used"))).alias("_ranges"))
-    joined = one.join(takes, "_key")
-    cut = let(words(whole("text")), lambda w: F.array_join(F.flatten(F.transform(
-        F.col("_ranges"), lambda r: F.slice(w, (r["first_word"] + 1).cast("int"), r["words_used"].cast("int")))), " "))
-    out = joined.withColumn("text", F.when(F.col("_n") == F.col("_size"), F.col("text")).otherwise(cut))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast("bigint"))
-    return out.select(*docs.columns)
+    text = F.coalesce(F.xxhash64("text"), F.lit(0))
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("source", F.lit("\x00")), text)
+    # The row travels as one value, so its columns cannot clash with those added here.
+    one = docs.select(F.struct(*docs.columns).alias("row"), key.alias("key")).dropDuplicates(["key"])
+    used = mix(one.select(F.col("key").alias("doc_id"), F.col("row.source").alias("source"), F.col("row.text").alias("text")))
+    takes = used.where("words_used > 0").groupBy(F.col("doc_id").alias("key"), "epoch").agg(
+        F.sum("words_used").alias("n"), F.any_value("size").alias("size"),
+        F.sort_array(F.collect_list(F.struct("first_word", "words_used"))).alias("ranges"))
+    cut = let(words(whole(F.col("row.text"))), lambda w: F.array_join(F.flatten(F.transform(
+        F.col("ranges"), lambda r: F.slice(w, (r["first_word"] + 1).cast("int"), r["words_used"].cast("int")))), " "))
+    out = one.join(takes, "key").withColumn("text", F.when(F.col("n") == F.col("size"), F.col("row.text")).otherwise(cut))
+    changed = {"text": F.col("text"), "n_chars": F.char_length("text").cast("bigint")}
+    return out.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -142,21 +142,23 @@ def redact(docs: DataFrame, ledger: str, mark: str = "[SECRET]") -> DataFrame:
 
     Rows without findings keep their text, null included; ``n_chars`` follows the text where it is replaced.
     """
-    found = scan(docs, ledger).where(F.size("findings") > 0).groupBy("blob").agg(F.any_value("findings").alias("_found"))
-    marked = address(docs).join(found, "blob", "left")
+    found = scan(docs, ledger).where(F.size("findings") > 0).groupBy("blob").agg(F.any_value("findings").alias("found"))
+    # The row travels as one value, so its columns cannot clash with those added here.
+    boxed = docs.select(F.struct(*docs.columns).alias("row"), F.sha2(whole("text"), 256).alias("blob"))
+    marked = boxed.join(found, "blob", "left")
+    text = F.col("row.text")
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
 
     def cut(state: Column, span: Column) -> Column:
         clear = F.when(span["start"] >= state["at"], F.concat(
-            state["out"], F.substring(F.col("text"), (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int")),
+            state["out"], F.substring(text, (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int")),
             F.lit(mark))).otherwise(state["out"])
         return F.struct(clear.alias("out"), F.greatest(state["at"], span["stop"]).alias("at"))
 
-    end = F.aggregate("_found", start, cut)
-    cleaned = F.when(F.col("_found").isNull(), F.col("text")).otherwise(
-        let(end, lambda e: F.concat(e["out"], F.substring(F.col("text"), (e["at"] + 1).cast("int"), F.lit(2**31 - 1)))))
-    out = marked.withColumn("text", cleaned)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_found").isNull(), F.col("n_chars")).otherwise(
-            F.char_length("text").cast("bigint")))
-    return out.select(*docs.columns)
+    cleaned = let(F.aggregate("found", start, cut), lambda e: F.concat(
+        e["out"], F.substring(text, (e["at"] + 1).cast("int"), F.lit(2**31 - 1))))
+    out = marked.withColumn("cleaned", F.when(F.col("found").isNotNull(), cleaned))
+    changed = {"text": F.col("cleaned"), "n_chars": F.char_length("cleaned").cast("bigint")}
+    return out.select(*[
+        (F.when(F.col("cleaned").isNotNull(), changed[c]).otherwise(F.col(f"row.`{c}`")) if c in changed else F.col(f"row.`{c}`")).alias(c)
+        for c in docs.columns])
