@@ -7,7 +7,7 @@ texts that fill the same bins copy alike. The low four bits of a hash of each bi
 hexadecimal digit, are stored (a value that many bins of a short text share thus gives them unrelated
 digits); equal digits by chance (1 in 16) are taken out of the likeness.
 
-Words are lower-cased in A-Z. A text of fewer than five words is one shingle; a text without words, or null,
+Words are lower-cased. A text of fewer than five words is one shingle; a text without words, or null,
 has the empty fingerprint, which is like another empty one (1) and unlike all others (0).
 """
 
@@ -16,27 +16,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import ascii_lower, let, shingles, stored, whole
+from tollgate.llm.common import let, shingles, stored, whole
 
 SHINGLE = 5
 BINS = 256
 BITS = 4
-#: A bin's value lies above the bin number: 40 bits, the largest of which says that the bin is empty.
-VALUE_BITS = 40
-EMPTY = 2**VALUE_BITS - 1
-#: Bins asked in turns; what still has no answer (less than one bin in 10^4 texts of one
-#: shingle) copies its nearest filled bin to the right.
-TURNS = [(1, 6), (7, 40), (41, 2500)]
+#: The largest hash of a bin, below its top bits, marks the bin's end.
+LAST = 2**56 - 1
+#: Bins asked one by one, then in turns; what still has no answer (a bin in thousands of texts
+#: of one shingle) copies its nearest filled bin to the right.
+ONE_BY_ONE = 8
+TURNS = [(9, 48), (49, 300), (301, 2500)]
 
 
 def _bins(hashes: Column) -> Column:
-    """The smallest value of every bin, in order of bins: sort (bin, value) and keep the first of each."""
-    keyed = F.transform(hashes, lambda h: F.shiftleft(F.pmod(h, F.lit(BINS)), VALUE_BITS)
-                        + F.least(F.shiftrightunsigned(h, 64 - VALUE_BITS), F.lit(EMPTY - 1)))
-    ends = F.array(*[F.lit((b << VALUE_BITS) + EMPTY) for b in range(BINS)])
-    firsts = let(F.sort_array(F.concat(keyed, ends)), lambda s: F.filter(s, lambda x, i: (i == 0) | (
-        F.shiftrightunsigned(F.get(s, i - 1), VALUE_BITS) != F.shiftrightunsigned(x, VALUE_BITS))))
-    return F.transform(firsts, lambda x: x.bitwiseAND(F.lit(EMPTY)))
+    """The smallest hash of every bin, null where there is none, in order of bins.
+
+    The top eight bits of a hash name its bin, so sorted hashes lie bin by bin. One end mark a bin is
+    sorted in with them; the first entry of a bin is its smallest hash, or the mark.
+    """
+    marks = F.split(F.lit(",".join(str((b << 56) + LAST) for b in range(-128, 128))), ",").cast("array<bigint>")
+    firsts = let(F.sort_array(F.concat(hashes, marks)), lambda s: F.concat(F.slice(s, 1, 1), F.filter(
+        s, lambda x, i: F.shiftright(F.get(s, i - 1), 56) != F.shiftright(x, 56))))
+    return F.transform(firsts, lambda x: F.when(x.bitwiseAND(F.lit(LAST)) != LAST, x))
 
 
 def _asked(i: Column, turn: Column) -> Column:
@@ -44,16 +46,15 @@ def _asked(i: Column, turn: Column) -> Column:
 
 
 def _densified(bins: Column) -> Column:
-    def answer(i: Column) -> Column:
-        found = [
-            F.get(F.filter(F.sequence(F.lit(first), F.lit(last)), lambda t: F.get(bins, _asked(i, t)) != EMPTY), 0)
-            for first, last in TURNS
-        ]
-        nearest = F.get(F.filter(F.sequence(F.lit(1), F.lit(BINS)), lambda t: F.get(bins, ((i + t) % BINS).cast("int")) != EMPTY), 0)
-        return F.coalesce(*[F.when(t.isNotNull(), F.get(bins, _asked(i, t))) for t in found], F.get(bins, ((i + nearest) % BINS).cast("int")))
+    def answer(i: Column) -> list[Column]:
+        direct = [F.get(bins, _asked(i, F.lit(t))) for t in range(1, ONE_BY_ONE + 1)]
+        later = [F.get(F.filter(F.transform(F.sequence(F.lit(first), F.lit(last)), lambda t: F.get(bins, _asked(i, t))),
+                                lambda v: v.isNotNull()), 0) for first, last in TURNS]
+        nearest = F.get(F.filter(F.transform(F.sequence(F.lit(1), F.lit(BINS)), lambda t: F.get(bins, ((i + t) % BINS).cast("int"))),
+                                 lambda v: v.isNotNull()), 0)
+        return [*direct, *later, nearest]
 
-    full = F.transform(bins, lambda x, i: F.when(x != EMPTY, x).otherwise(answer(i)))
-    return F.when(F.array_contains(bins, F.lit(EMPTY)), full).otherwise(bins)
+    return F.transform(bins, lambda x, i: F.coalesce(x, *answer(i)))
 
 
 def fingerprint(text: Column) -> Column:
@@ -65,7 +66,7 @@ def fingerprint(text: Column) -> Column:
         return F.array_join(F.transform(low, lambda x, i: F.substr(
             digits, F.pmod(F.xxhash64(x, i), F.lit(2**BITS)).cast("int") + 1, F.lit(1))), "")
 
-    return let(shingles(ascii_lower(text), SHINGLE), lambda h: F.when(F.size(h) == 0, F.lit("")).otherwise(packed(h)))
+    return let(shingles(F.lower(text), SHINGLE), lambda h: F.when(F.size(h) == 0, F.lit("")).otherwise(packed(h)))
 
 
 def likeness(left: Column, right: Column) -> Column:
@@ -110,22 +111,22 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     last, and by digest among equal ids; rows equal in both are one document and get equal results.
     """
     text = whole("text")
-    base = docs.select("doc_id", text.alias("text"), F.char_length(text).cast("bigint").alias("n_chars"), F.concat_ws(
+    own = docs.select("doc_id", text.alias("text"), F.char_length(text).cast("bigint").alias("n_chars"), F.concat_ws(
         ":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.sha2(text, 256)).alias("key"))
-    keys = base.select("doc_id", "key", "n_chars").distinct()
-    linked = next_in_order(keys, [F.desc_nulls_last("doc_id"), F.asc("key")])
+    linked = next_in_order(own.select("doc_id", "key", "n_chars").distinct(), [F.desc_nulls_last("doc_id"), F.asc("key")])
     before = linked.select(F.col("next").alias("key"), F.col("key").alias("_to"), F.floor(F.col("n_chars") / 3).alias("_need"))
+    own = own.withColumn("fingerprint", fingerprint(F.col("text")))
     # Every document tells the one before it: its fingerprint and as much of its text as that one needs.
-    own = base.select("doc_id", "key", "n_chars", "text", fingerprint(F.col("text")).alias("fingerprint"))
-    told = own.dropDuplicates(["key"]).join(before, "key").select(
-        F.col("_to").alias("key"), F.col("fingerprint").alias("_next"),
-        F.substring("text", F.lit(1), F.col("_need").cast("int")).alias("_head"))
-    both = own.join(told, "key")
+    # Both sides use all columns of ``own``, so that it is computed and shuffled by key once.
+    told = own.join(before, "key").select(
+        F.col("_to").alias("key"), F.col("fingerprint").alias("_next"), F.col("doc_id").alias("next_doc_id"),
+        F.substring("text", F.lit(1), F.least("_need", "n_chars").cast("int")).alias("_head"))
+    both = own.join(told.dropDuplicates(["key"]), "key")
     kept = F.substring("text", F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 3)).cast("int"))
     edited = both.withColumn("_edited", F.concat(kept, F.col("_head"))).select(
-        "doc_id", "n_chars", "fingerprint", "_next", F.sha2("_edited", 256).alias("edited_sha256"),
+        "doc_id", "n_chars", "fingerprint", "_next", "next_doc_id", F.sha2("_edited", 256).alias("edited_sha256"),
         fingerprint(F.col("_edited")).alias("edited_fingerprint"))
     return edited.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("_next")).alias("near_next"))
+        likeness(F.col("fingerprint"), F.col("_next")).alias("near_next"), "next_doc_id")
