@@ -49,12 +49,14 @@ def write_archive(pages: DataFrame, path: str, least: int = LEAST) -> None:
     addressed = pages.select(
         "page_id", "url", payload.alias("payload"), F.sha2(payload, 256).alias("digest"),
         F.octet_length(payload).cast("bigint").alias("length"))
-    first = addressed.groupBy("digest").agg(
-        F.min("page_id").alias("_first"), F.count_if(F.col("page_id").isNull()).alias("_nulls"))
-    # The bytes of a digest come from its first page; the page is part of the key, so copies spread over the tasks.
-    source = addressed.select(F.col("digest").alias("_digest"), "page_id", "payload")
-    bytes_once = first.join(source, (F.col("digest") == F.col("_digest")) & F.col("_first").eqNullSafe(F.col("page_id")))
-    bytes_once.dropDuplicates(["digest"]).select("digest", F.encode("payload", "UTF-8").alias("payload")).write.parquet(f"{path}/payloads")
+    first = addressed.groupBy("digest").agg(F.min("page_id").alias("_first"))
+    # The bytes of a digest come from its first page; the page is part of the key, so copies spread over the
+    # tasks, and a repeated first page is dropped where the join has put it.
+    place = F.coalesce(F.col("page_id").cast("string"), F.lit("-"))
+    source = addressed.select("digest", place.alias("place"), "payload")
+    holder = first.select("digest", F.coalesce(F.col("_first").cast("string"), F.lit("-")).alias("place"))
+    bytes_once = source.join(holder, ["digest", "place"]).dropDuplicates(["digest", "place"])
+    bytes_once.select("digest", F.encode("payload", "UTF-8").alias("payload")).write.parquet(f"{path}/payloads")
 
     narrow = addressed.select("page_id", "url", "digest", "length").join(first.select("digest", "_first"), "digest")
     revisit = (F.col("length") >= least) & ~F.col("page_id").eqNullSafe(F.col("_first"))
