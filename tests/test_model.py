@@ -2,6 +2,7 @@ import itertools
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tollgate.operators import forest_shap, model, model_texts
@@ -60,7 +61,7 @@ def test_save_load_and_feature_check(spark, table, fitted, tmp_path):
     assert model.load_model(spark, path, MODEL_FEATURES) is None
     model.save_model(fitted, path)
     loaded = model.load_model(spark, path, list(reversed(MODEL_FEATURES)))
-    assert loaded.coefficients == fitted.coefficients and loaded.background == fitted.background
+    assert loaded.coefficients == fitted.coefficients and loaded.trees == fitted.trees
     before, after = model.score(table, fitted), model.score(table, loaded)
     assert before.exceptAll(after).isEmpty()
     assert model.load_model(spark, path, MODEL_FEATURES[:3]) is None
@@ -93,10 +94,53 @@ def test_regression_only_and_placeholder(table, fitted):
     assert alone.exceptAll(lr).isEmpty()
 
 
-def test_score_at_most(table, fitted):
-    scored = model.score_at_most(table, fitted, 100)
-    assert scored.count() == 3000
-    assert scored.where("risk_score <> 0.5").count() <= 100 and scored.where("risk_score = 0.5").count() >= 2900
+def test_forest_scores_after_an_observation(spark, table):
+    """A session that has observed rows still scores with a freshly fitted forest."""
+    seen = Observation()
+    table.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("overwrite").save()
+    assert seen.get["rows"] == 3000
+    fresh = model.fit(table, trees=3)
+    assert len(fresh.trees) == 3
+    model.score(table, fresh).write.format("noop").mode("overwrite").save()
+
+
+def test_forest_score_equals_spark_ml(table, tmp_path):
+    """The arrays give what the ML library's own forest gives."""
+    from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from tollgate.operators.forest import forest_score, trees_of
+
+    filled = model.impute(table.where("is_fraud is not null"), MODEL_FEATURES).withColumn("label", F.col("is_fraud").cast("double"))
+    inputs = VectorAssembler(inputCols=MODEL_FEATURES, outputCol="inputs").transform(filled)
+    forest = RandomForestClassifier(featuresCol="inputs", labelCol="label", numTrees=5, seed=1).fit(inputs)
+    trees = trees_of(table.sparkSession, forest)
+    own = forest_score(table.sparkSession, trees, MODEL_FEATURES)
+    forest.write().save(str(tmp_path / "forest"))
+    loaded = RandomForestClassificationModel.load(str(tmp_path / "forest"))
+    rows = loaded.transform(inputs).select(own.alias("own"), vector_to_array(F.col("probability"))[1].alias("theirs")).collect()
+    assert max(abs(r["own"] - r["theirs"]) for r in rows) < 1e-9
+
+
+def test_training_needs_both_classes(table):
+    with pytest.raises(ValueError, match="both classes"):
+        model.fit(table.where("not is_fraud"))
+    assert model.score_transactions(table.where("not is_fraud")).count() > 0
+
+
+def test_vectors_explained_are_bounded_by_the_forest(spark, table, fitted):
+    """Ten times more distinct rates give the same intervals."""
+    from tollgate.operators.forest import thresholds_of
+
+    limits = thresholds_of(fitted.trees, len(fitted.features))
+    rates = limits[MODEL_FEATURES.index("merchant_fraud_rate_30d")]
+    assert 0 < len(rates) <= 31
+    many = table.withColumn("merchant_fraud_rate_30d", F.rand(1))
+    explained = forest_shap.add_forest_contributions(many, fitted)
+    combinations = explained.select("forest_base", *[f"forest_{f}" for f in MODEL_FEATURES]).distinct().count()
+    assert combinations <= np.prod([len(edges) + 1 for edges in limits])
+    assert many.select("merchant_fraud_rate_30d").distinct().count() == 3000
 
 
 def test_model_tables(spark, fitted):

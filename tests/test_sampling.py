@@ -14,13 +14,13 @@ def labelled(spark, fraud, other, unknown=0):
     return spark.createDataFrame(rows, "txn_id_clean string, is_fraud boolean")
 
 
-def quota(spark, *pairs):
-    return spark.createDataFrame(pairs, "is_fraud boolean, take long")
+def quota(*pairs):
+    return lambda counts: dict(pairs)
 
 
 def test_takes_the_first_rows_in_hash_order(spark):
     df = labelled(spark, 40, 200)
-    split = sampling.split_by_quota(df, quota(spark, (True, 7), (False, 33)), "is_fraud").collect()
+    split = sampling.split_by_quota(df, quota((True, 7), (False, 33)), "is_fraud").collect()
     assert len(split) == 240
     for label, prefix, n, take in [(True, "t", 40, 7), (False, "u", 200, 33)]:
         names = sorted((f"{prefix}{i}" for i in range(n)), key=lambda x: hashlib.md5(f"{x}|42".encode()).hexdigest())
@@ -29,7 +29,7 @@ def test_takes_the_first_rows_in_hash_order(spark):
 
 @pytest.mark.parametrize("take,expected", [(0, 0), (1, 1), (1000, 30), (30, 30)])
 def test_quota_bounds(spark, take, expected):
-    split = sampling.split_by_quota(labelled(spark, 30, 5), quota(spark, (True, take)), "is_fraud")
+    split = sampling.split_by_quota(labelled(spark, 30, 5), quota((True, take)), "is_fraud")
     counts = Counter((r["is_fraud"], r["taken"]) for r in split.collect())
     assert counts[(True, True)] == expected and counts[(False, True)] == 0 and sum(counts.values()) == 35
 
@@ -38,7 +38,7 @@ def test_exact_copies_are_split_to_the_row(spark):
     # Half of all rows are copies of one row, spread over chunks.
     copies = spark.range(250_000).select(F.lit("same").alias("txn_id_clean"), F.lit(False).alias("is_fraud"))
     df = copies.unionByName(labelled(spark, 0, 50))
-    split = sampling.split_by_quota(df, quota(spark, (False, 123_456)), "is_fraud")
+    split = sampling.split_by_quota(df, quota((False, 123_456)), "is_fraud")
     counts = {r["taken"]: r["count"] for r in split.groupBy("taken").count().collect()}
     assert counts == {True: 123_456, False: 250_050 - 123_456}
 
@@ -74,14 +74,36 @@ def test_train_test_split_sizes(spark, fraud, other, expected):
     assert dict(Counter((r["split"], r["is_fraud"]) for r in split.collect())) == expected
 
 
-def test_training_sample_branches(spark):
+def test_training_sample(spark):
     df = labelled(spark, 40, 160, 10)
     count = lambda **k: Counter(r["is_fraud"] for r in sampling.training_sample(df, **k).collect())
-    assert count() == {True: 40, False: 160, None: 10}
-    assert count(keep_all_up_to=50, max_rows=100, min_fraud=5) == {True: 19, False: 81}
-    assert count(keep_all_up_to=50, max_rows=100, min_fraud=1000) == {True: 40, False: 60}
-    no_fraud = labelled(spark, 0, 80, 20)
-    assert sampling.training_sample(no_fraud, keep_all_up_to=50, max_rows=60).count() == 60
+    assert count() == {True: 40, False: 160}
+    assert count(max_rows=100, min_fraud=5) == {True: 20, False: 80}
+    assert count(max_rows=100, min_fraud=1000) == {True: 40, False: 60}
+    assert sampling.training_sample(labelled(spark, 0, 80, 20), max_rows=60).count() == 60
+    assert sampling.training_sample(labelled(spark, 0, 0, 20)).count() == 0
+
+
+def test_a_third_without_an_id_is_split_to_the_row(spark):
+    """Rows that share a missing id but differ elsewhere are parted by the hash of all columns."""
+    plain = spark.range(40_000).select(F.concat(F.lit("t"), "id").alias("txn_id_clean"), F.lit(False).alias("is_fraud"), F.col("id").alias("n"))
+    bare = spark.range(20_000).select(F.lit(None).cast("string").alias("txn_id_clean"), F.lit(False).alias("is_fraud"), F.col("id").alias("n"))
+    df = plain.unionByName(bare)
+    first = hashlib.md5(b"|42").hexdigest()[:7]
+    ahead = sum(hashlib.md5(f"t{i}|42".encode()).hexdigest()[:7] < first for i in range(40_000))
+    split = sampling.split_by_quota(df, quota((False, ahead + 7_000)), "is_fraud")
+    counts = Counter((r["txn_id_clean"] is None, r["taken"]) for r in split.collect())
+    assert counts[(True, True)] == 7_000 and counts[(False, True)] == ahead and sum(counts.values()) == 60_000
+    again = sampling.split_by_quota(df.repartition(5), quota((False, ahead + 7_000)), "is_fraud")
+    assert split.where("taken").exceptAll(again.where("taken")).isEmpty()
+
+
+def test_a_split_reads_its_rows_twice(spark, tmp_path):
+    """Counting is done when the plan is made; the plan itself reads all rows once and the edge pieces once."""
+    path = str(tmp_path / "rows")
+    labelled(spark, 300, 3_000).write.parquet(path)
+    plan = sampling.train_test_split(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 2 and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_extract_plan(spark):

@@ -158,6 +158,10 @@ def add_card_activity(df: DataFrame) -> DataFrame:
     return joined.select(*df.columns, *CARD_ACTIVITY)
 
 
-def add_card_activity_to_sample(df: DataFrame, rows: int = 10_000) -> DataFrame:
-    """The same features on the first ``rows`` transactions by id: a pre-flight build."""
-    return add_card_activity(df.orderBy("txn_id_clean", "txn_ts", "amount").limit(rows))
+def add_card_activity_to_sample(df: DataFrame, card_share: float, seed: int = 42) -> DataFrame:
+    """The same features on a share of the cards, chosen by hash: a pre-flight build.
+
+    Cards are taken whole, so their features are those of the full build; rows without a card count as one card.
+    """
+    place = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(CARD), F.lit("")), F.lit(f"|{seed}"))), 1, 7), 16, 10)
+    return add_card_activity(df.where(place.cast("bigint") < F.lit(round(card_share * 16**7))))

@@ -9,7 +9,6 @@ from tollgate.functions.numbers import percent
 from tollgate.operators.sampling import budgeted_sample, class_counts, hash_order, sample_budget
 from tollgate.schemas import EXTRACT_COLUMNS
 
-TARGET_ROWS = 400_000
 SEED = 42
 
 
@@ -17,7 +16,7 @@ def extract_projection(df: DataFrame) -> DataFrame:
     return df.select(EXTRACT_COLUMNS)
 
 
-def extract_plan(df: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
+def extract_plan(df: DataFrame, target_rows: int) -> DataFrame:
     """Available rows per class and how many the extract will take."""
     taken = sample_budget(target_rows)
     return class_counts(df).select(
@@ -26,7 +25,7 @@ def extract_plan(df: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
     )
 
 
-def build_extract(df: DataFrame, target_rows: int = TARGET_ROWS, seed: int = SEED) -> DataFrame:
+def build_extract(df: DataFrame, target_rows: int, seed: int = SEED) -> DataFrame:
     """Every fraud row and a sample of the others, 17 columns."""
     return budgeted_sample(extract_projection(df), target_rows, seed=seed)
 

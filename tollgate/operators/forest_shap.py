@@ -2,16 +2,17 @@
 
 Values are exact for the path-dependent expectation: where a feature is unknown, a
 split passes a row on to both sides in proportion to the training weight there. With
-five features there are 32 subsets, so each tree is walked once for all of them. Rows
-with equal features share one result: distinct vectors are spread over the tasks, and
-the results are joined back. Only the trees (trees x 2^depth nodes) are broadcast.
+five features there are 32 subsets, so each tree is walked once for all of them. A
+forest sees only between which of its thresholds a value lies, so values are replaced by
+interval numbers: with at most 31 thresholds per number and one per flag there are at
+most 32^3 x 2^2 combinations however large the table is. They are spread over the tasks,
+and the results are joined back. Only the trees (trees x 2^depth nodes) are broadcast.
 """
 
 from __future__ import annotations
 
 import sys
 from math import factorial
-from uuid import uuid4
 
 import numpy as np
 import pandas as pd
@@ -21,9 +22,9 @@ from pyspark.sql import functions as F
 
 from tollgate.functions import wording as w
 from tollgate.functions.formatting import fixed
+from tollgate.operators.forest import as_arrays, thresholds_of
 from tollgate.operators.model import ScoringModel
 from tollgate.operators.model_texts import FLAGS, direction, feature_value, in_order, texts_above
-from tollgate.sources.shared import shared_folder
 
 # Executors need not have this package installed: the functions below travel by value.
 register_pickle_by_value(sys.modules[__name__])
@@ -32,28 +33,6 @@ SHAP_FLOOR = 0.01
 ROWS_AT_ONCE = 512
 
 
-def forest_nodes(df: DataFrame, model: ScoringModel) -> list[dict[str, np.ndarray]]:
-    """The trees as arrays, from the data a saved forest holds."""
-    path = f"{shared_folder(df.sparkSession)}/forest-{uuid4().hex}"
-    model.forest.write().overwrite().save(path)
-    stored = df.sparkSession.read.parquet(f"{path}/data").select(
-        "treeID", "nodeData.id", "nodeData.leftChild", "nodeData.rightChild",
-        F.col("nodeData.split.featureIndex").alias("feature"),
-        F.try_element_at("nodeData.split.leftCategoriesOrThreshold", F.lit(1)).alias("threshold"),
-        F.aggregate("nodeData.impurityStats", F.lit(0.0), lambda a, x: a + x).alias("weight"),
-        F.element_at("nodeData.impurityStats", 2).alias("fraud_weight"),
-    ).toPandas()
-    trees = []
-    for _, tree in stored.sort_values(["treeID", "id"]).groupby("treeID"):
-        trees.append({
-            "left": tree["leftChild"].to_numpy(), "right": tree["rightChild"].to_numpy(),
-            "feature": tree["feature"].to_numpy(), "threshold": tree["threshold"].to_numpy(),
-            "weight": tree["weight"].to_numpy(),
-            "value": (tree["fraud_weight"] / tree["weight"]).to_numpy(),
-        })
-    return trees
-
-
 def subset_expectations(trees: list[dict[str, np.ndarray]], rows: np.ndarray) -> np.ndarray:
     """Expected forest output per row and subset of known features (bit i = feature i)."""
     features = rows.shape[1]
@@ -93,26 +72,34 @@ def shapley_values(expectations: np.ndarray, features: int) -> np.ndarray:
 def add_forest_contributions(df: DataFrame, model: ScoringModel) -> DataFrame:
     """Add ``forest_base`` and ``forest_<feature>``; they add up to the forest's probability."""
     features = model.features
-    trees = df.sparkSession.sparkContext.broadcast(forest_nodes(df, model))
+    spark = df.sparkSession
+    limits = thresholds_of(model.trees, len(features))
+    shared = spark.sparkContext.broadcast((model.trees, limits))
     outputs = ["forest_base", *[f"forest_{f}" for f in features]]
-    values = {f"_v{i}": feature_value(df, f) for i, f in enumerate(features)}
-    keyed = df.withColumns(values)
+    # The number of the forest's thresholds below a value is all that the forest sees of it.
+    intervals = {
+        f"_v{i}": sum((F.when(feature_value(df, f) > limit, 1).otherwise(0) for limit in limits[i]), F.lit(0))
+        for i, f in enumerate(features)
+    }
+    keyed = df.withColumns(intervals)
 
     def explain(batches):
+        trees, edges = shared.value
+        arrays = as_arrays(trees)
         for batch in batches:
             for start in range(0, len(batch), ROWS_AT_ONCE):
-                part = batch.iloc[start:start + ROWS_AT_ONCE]
-                shap = shapley_values(subset_expectations(trees.value, part.to_numpy()), len(features))
-                yield pd.concat(
-                    [part.reset_index(drop=True), pd.DataFrame(shap, columns=outputs)], axis=1
-                )
-
-    layout = ", ".join(f"{name} double" for name in [*values, *outputs])
-    # The vectors are small but costly: spread them by count, not by bytes.
-    spark = df.sparkSession
+                part = batch.iloc[start:start + ROWS_AT_ONCE].reset_index(drop=True)
+                # Any value of an interval stands for it: its upper end, or one beyond the last threshold.
+                values = np.column_stack([
+                    np.append(edge, (edge[-1] if edge else 0.0) + 1.0)[part[f"_v{i}"].to_numpy()] for i, edge in enumerate(edges)])
+                shap = shapley_values(subset_expectations(arrays, values), len(edges))
+                yield pd.concat([part, pd.DataFrame(shap, columns=outputs)], axis=1)
+
+    layout = ", ".join([*[f"{name} int" for name in intervals], *[f"{name} double" for name in outputs]])
+    # The combinations are few but costly: spread them by count, not by bytes.
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    explained = keyed.select(*values).distinct().repartition(tasks).mapInPandas(explain, layout)
-    return keyed.join(explained, list(values), "left").select(*df.columns, *outputs)
+    explained = keyed.select(*intervals).distinct().repartition(tasks).mapInPandas(explain, layout)
+    return keyed.join(explained, list(intervals), "left").select(*df.columns, *outputs)
 
 
 def explain_by_forest(df: DataFrame, model: ScoringModel) -> DataFrame:

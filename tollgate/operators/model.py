@@ -8,60 +8,48 @@ the executors; scoring is one partitioned pass over all rows.
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, replace
 from uuid import uuid4
 
-from pyspark.ml.classification import (
-    LogisticRegression,
-    LogisticRegressionModel,
-    RandomForestClassificationModel,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tollgate.operators.forest import Tree, forest_score, trees_of
 from tollgate.operators.ranking import exact_quantiles
 from tollgate.operators.rules import score_by_rules, with_band
-from tollgate.operators.sampling import split_by_quota
 from tollgate.schemas import MODEL_FEATURES
-from tollgate.sources.raw_csv import path_exists
-from tollgate.sources.shared import shared_folder, write_and_read
+from tollgate.sources.shared import path_exists, remove_folder, shared_folder, write_and_read
 
 # Model settings.
 MODEL_VERSION = "1.0"
 ENSEMBLE_WEIGHTS = {"lr": 0.5, "rf": 0.5}
 LR_ITERATIONS = 1000
 RF_TREES = 100
-RF_TREES_LARGE = 50
-RF_LARGE_ROWS = 100_000
 RF_DEPTH = 10
 RF_MIN_SPLIT = 50
 SEED = 42
-BACKGROUND_ROWS = 1000
+# The forest depends on how its rows are dealt; a fixed number of parts makes it the same on every cluster.
+FIT_PARTS = 64
 PLACEHOLDER_SCORE = 0.5
 
 
 @dataclass
 class ScoringModel:
-    """A fitted ensemble; ``forest`` is None for a logistic-regression-only model."""
+    """A fitted ensemble in plain numbers; ``trees`` is None for a regression-only model.
+
+    Features are standardised over all training rows, so their background mean is 0.
+    """
 
     features: list[str]
     means: list[float]
     deviations: list[float]
-    background: list[float]
-    regression: LogisticRegressionModel
-    forest: RandomForestClassificationModel | None = None
-
-    @property
-    def coefficients(self) -> list[float]:
-        return [float(c) for c in self.regression.coefficients]
-
-    @property
-    def intercept(self) -> float:
-        return float(self.regression.intercept)
+    coefficients: list[float]
+    intercept: float
+    trees: list[Tree] | None = None
+    importances: list[float] | None = None
 
 
 def available_features(df: DataFrame) -> list[str]:
@@ -80,17 +68,13 @@ def batch_medians(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def impute(df: DataFrame, features: list[str]) -> DataFrame:
-    """Features as numbers without gaps: medians of this batch for numbers, 0 for flags.
-
-    The medians (one number per feature) are computed when this is called. As literals
-    they keep a subquery plan out of the model functions that tasks receive.
-    """
+    """Features as numbers without gaps: medians of this batch for numbers, 0 for flags."""
     kinds = {field.name: field.dataType for field in df.schema.fields}
     numeric = [c for c in features if isinstance(kinds[c], T.NumericType)]
     filled: dict[str, Column] = {}
     if numeric:
-        medians = batch_medians(df, numeric).first()
-        filled |= {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in numeric}
+        medians = batch_medians(df, numeric).select(F.struct(*numeric)).scalar()
+        filled |= {c: F.coalesce(F.col(c).cast("double"), medians.getField(c)) for c in numeric}
     for c in features:
         if isinstance(kinds[c], T.BooleanType):
             filled[c] = F.coalesce(F.col(c), F.lit(False)).cast("double")
@@ -115,41 +99,43 @@ def standardise(df: DataFrame, features: list[str], means: list[float], deviatio
     })
 
 
-def fit(df: DataFrame, with_forest: bool = True, seed: int = SEED) -> ScoringModel:
+def fit(df: DataFrame, with_forest: bool = True, seed: int = SEED, trees: int = RF_TREES) -> ScoringModel:
     """Train on the labelled rows of ``df``; both classes get equal total weight."""
     spark = df.sparkSession
     features = available_features(df)
     numbers = impute(df, features).where(F.col("is_fraud").isNotNull()).select(
         "txn_id_clean", *features, F.col("is_fraud").cast("double").alias("label")
     )
-    # Training passes over these rows many times: a written table survives a lost executor,
-    # and even parts keep every core busy.
-    numbers = numbers.repartition(spark.sparkContext.defaultParallelism)
-    numbers = write_and_read(numbers, f"{shared_folder(spark)}/training-{uuid4().hex}")
+    # Training passes over these rows many times: a written table survives a lost executor.
+    folder = f"{shared_folder(spark)}/training-{uuid4().hex}"
+    numbers = write_and_read(numbers.repartition(FIT_PARTS, *numbers.columns), folder)
     facts = numbers.agg(
         F.count(F.lit(1)).alias("rows"), F.sum("label").alias("fraud"),
         *[F.avg(c).alias(f"{c}_mean") for c in features], *[F.stddev_pop(c).alias(f"{c}_std") for c in features],
     ).first()
-    rows, fraud = facts["rows"], facts["fraud"]
+    rows, fraud = facts["rows"], facts["fraud"] or 0
+    if not 0 < fraud < rows:
+        raise ValueError(f"training needs labelled rows of both classes; found {fraud:.0f} fraud rows of {rows}")
     means = [facts[f"{c}_mean"] for c in features]
     deviations = [facts[f"{c}_std"] for c in features]
-    weight = F.when(F.col("label") == 1, rows / (2 * fraud)).otherwise(rows / (2 * max(rows - fraud, 1)))
+    weight = F.when(F.col("label") == 1, rows / (2 * fraud)).otherwise(rows / (2 * (rows - fraud)))
     z_names = [f"z_{c}" for c in features]
     training = standardise(numbers, features, means, deviations).withColumn("weight", weight)
-    background = training.orderBy("txn_id_clean").limit(BACKGROUND_ROWS).agg(*[F.avg(z).alias(z) for z in z_names]).first()
 
     regression = LogisticRegression(
         featuresCol="scaled", labelCol="label", weightCol="weight", maxIter=LR_ITERATIONS,
         regParam=1.0 / rows, standardization=False,
     ).fit(VectorAssembler(inputCols=z_names, outputCol="scaled").transform(training))
-    forest = None
+    found = ScoringModel(features, means, deviations, [float(c) for c in regression.coefficients], float(regression.intercept))
     if with_forest:
         forest = RandomForestClassifier(
             featuresCol="inputs", labelCol="label", weightCol="weight", seed=seed, maxDepth=RF_DEPTH,
-            numTrees=RF_TREES_LARGE if rows > RF_LARGE_ROWS else RF_TREES,
-            minInstancesPerNode=RF_MIN_SPLIT // 2, featureSubsetStrategy="sqrt",
+            numTrees=trees, minInstancesPerNode=RF_MIN_SPLIT // 2, featureSubsetStrategy="sqrt",
         ).fit(VectorAssembler(inputCols=features, outputCol="inputs").transform(training))
-    return ScoringModel(features, means, deviations, [background[z] for z in z_names], regression, forest)
+        found.trees = trees_of(spark, forest)
+        found.importances = [float(v) for v in forest.featureImportances.toArray()]
+    remove_folder(spark, folder)
+    return found
 
 
 def _with_numbers(df: DataFrame, features: list[str]) -> DataFrame:
@@ -161,8 +147,8 @@ def _with_numbers(df: DataFrame, features: list[str]) -> DataFrame:
 def model_scores(df: DataFrame, model: ScoringModel) -> DataFrame:
     """Add ``lr_score`` and, with a forest, ``rf_score``.
 
-    The regression is plain column arithmetic, which stays in generated code; only the
-    forest goes through the Spark ML model.
+    The regression is plain column arithmetic, which stays in generated code; the forest
+    walks its arrays in Arrow batches.
     """
     inputs = [f"n_{c}" for c in model.features]
     scored = standardise(_with_numbers(df, model.features), inputs, model.means, model.deviations)
@@ -170,19 +156,16 @@ def model_scores(df: DataFrame, model: ScoringModel) -> DataFrame:
     for name, coefficient in zip(inputs, model.coefficients):
         margin = margin + F.col(f"z_{name}") * F.lit(coefficient)
     scored = scored.withColumn("lr_score", 1 / (1 + F.exp(-margin)))
-    if model.forest is None:
+    if model.trees is None:
         return scored.select(*df.columns, "lr_score")
-    assembled = VectorAssembler(inputCols=inputs, outputCol="inputs").transform(scored)
-    forest = model.forest.transform(assembled)
-    probability = vector_to_array(model.forest.getProbabilityCol())[1]
-    return forest.select(*df.columns, "lr_score", probability.alias("rf_score"))
+    return scored.select(*df.columns, "lr_score", forest_score(df.sparkSession, model.trees, inputs).alias("rf_score"))
 
 
 def score(df: DataFrame, model: ScoringModel) -> DataFrame:
     """Add ``risk_score`` (mean of both models, or the regression alone) and ``risk_band``."""
     scored = model_scores(df, model)
     combined = F.col("lr_score")
-    if model.forest is not None:
+    if model.trees is not None:
         combined = F.col("lr_score") * ENSEMBLE_WEIGHTS["lr"] + F.col("rf_score") * ENSEMBLE_WEIGHTS["rf"]
     return with_band(scored.withColumn("risk_score", combined)).select(*df.columns, "risk_score", "risk_band")
 
@@ -195,16 +178,20 @@ def score_with_regression(df: DataFrame, model: ScoringModel | None) -> DataFram
     """Logistic-regression score; 0.5 without a model or without features."""
     if model is None or not available_features(df):
         return placeholder_score(df)
-    alone = ScoringModel(model.features, model.means, model.deviations, model.background, model.regression)
-    return score(df, alone)
+    return score(df, replace(model, trees=None, importances=None))
 
 
 def has_fraud_label(df: DataFrame) -> bool:
-    return "is_fraud" in df.columns and not df.where(F.col("is_fraud")).isEmpty()
+    if "is_fraud" not in df.columns:
+        return False
+    return not df.where(F.col("is_fraud")).isEmpty() and not df.where(~F.col("is_fraud")).isEmpty()
 
 
 def score_transactions(df: DataFrame, model_path: str | None = None) -> DataFrame:
-    """Score with the saved model, else train (and save) one, else fall back to the rules."""
+    """Score with the saved model, else train (and save) one, else fall back to the rules.
+
+    Training needs labelled rows of both classes.
+    """
     features = available_features(df)
     if not features:
         return score_by_rules(df)
@@ -216,26 +203,11 @@ def score_transactions(df: DataFrame, model_path: str | None = None) -> DataFram
     return score(df, model) if model else score_by_rules(df)
 
 
-def score_at_most(df: DataFrame, model: ScoringModel, max_rows: int = 3000) -> DataFrame:
-    """Score ``max_rows`` rows (exactly, chosen by hashed id); the rest keep the placeholder."""
-    everything = F.lit("all")
-    quota = df.sparkSession.range(1).select(everything.alias("_stratum"), F.lit(max_rows).cast("bigint").alias("take"))
-    split = split_by_quota(df.withColumn("_stratum", everything), quota, "_stratum").drop("_stratum")
-    chosen = score(split.where("taken").drop("taken"), model)
-    return chosen.unionByName(placeholder_score(split.where(~F.col("taken")).drop("taken")))
-
-
 def save_model(model: ScoringModel, path: str) -> None:
+    """One text row: the numbers of a model are few."""
+    facts = asdict(model) | {"version": MODEL_VERSION, "weights": ENSEMBLE_WEIGHTS}
     spark = SparkSession.getActiveSession()
-    model.regression.write().overwrite().save(f"{path}/regression")
-    if model.forest is not None:
-        model.forest.write().overwrite().save(f"{path}/forest")
-    facts = {
-        "features": model.features, "means": model.means, "deviations": model.deviations,
-        "background": model.background, "has_forest": model.forest is not None,
-        "version": MODEL_VERSION, "weights": ENSEMBLE_WEIGHTS,
-    }
-    spark.createDataFrame([(json.dumps(facts),)], "value string").write.mode("overwrite").text(f"{path}/facts")
+    spark.createDataFrame([(json.dumps(facts),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/facts")
 
 
 def load_model(spark: SparkSession, path: str, expected: list[str]) -> ScoringModel | None:
@@ -245,11 +217,7 @@ def load_model(spark: SparkSession, path: str, expected: list[str]) -> ScoringMo
     facts = json.loads(spark.read.text(f"{path}/facts").first()["value"])
     if set(facts["features"]) != set(expected):
         return None
-    forest = RandomForestClassificationModel.load(f"{path}/forest") if facts["has_forest"] else None
-    return ScoringModel(
-        facts["features"], facts["means"], facts["deviations"], facts["background"],
-        LogisticRegressionModel.load(f"{path}/regression"), forest,
-    )
+    return ScoringModel(**{k: v for k, v in facts.items() if k not in ("version", "weights")})
 
 
 def retrain(df: DataFrame, path: str, force: bool = False) -> bool:
@@ -279,7 +247,7 @@ def model_info(spark: SparkSession, model: ScoringModel | None) -> DataFrame:
 
 def forest_importances(spark: SparkSession, model: ScoringModel) -> DataFrame:
     ranked = sorted(
-        zip(model.features, model.forest.featureImportances.toArray()), key=lambda pair: (-pair[1], pair[0])
+        zip(model.features, model.importances), key=lambda pair: (-pair[1], pair[0])
     )
     rows = [(position + 1, f, float(v)) for position, (f, v) in enumerate(ranked)]
     return spark.createDataFrame(rows, "importance_rank int, feature string, importance double")

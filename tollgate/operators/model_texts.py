@@ -52,14 +52,13 @@ def add_contributions(df: DataFrame, model: ScoringModel) -> DataFrame:
     """Add ``base_value`` and ``shap_<feature>`` in log-odds.
 
     For a linear model the Shapley value of a feature is its coefficient times the
-    distance from the background mean; base and contributions add up to the log-odds.
+    distance from the background mean, the mean of all training rows; base and
+    contributions add up to the log-odds.
     """
-    base = model.intercept + sum(c * b for c, b in zip(model.coefficients, model.background))
-    columns = {"base_value": F.lit(base)}
-    parts = zip(model.features, model.coefficients, model.means, model.deviations, model.background)
-    for feature, coefficient, mean, deviation, background in parts:
+    columns = {"base_value": F.lit(model.intercept)}
+    for feature, coefficient, mean, deviation in zip(model.features, model.coefficients, model.means, model.deviations):
         z = (feature_value(df, feature) - F.lit(mean)) / F.lit(deviation if deviation else 1.0)
-        columns[f"shap_{feature}"] = (z - F.lit(background)) * F.lit(coefficient)
+        columns[f"shap_{feature}"] = z * F.lit(coefficient)
     return df.withColumns(columns)
 
 

@@ -17,7 +17,6 @@ KEY_COLUMNS = [
     "txns_last_24h", "amt_last_24h", "distinct_merchants_last_24h",
     "card_txn_count_30d", "card_fraud_rate_30d", "merchant_txn_count_30d", "merchant_fraud_rate_30d",
 ]
-SAMPLE_ROWS = 15_000
 RATIO_CEILING = 10
 
 
@@ -82,7 +81,7 @@ def signal_rows(df: DataFrame, signal: str) -> DataFrame:
     return df.where(SIGNALS[signal]).where(F.col("is_fraud").isNotNull())
 
 
-def signal_sample(df: DataFrame, signal: str, rows: int = SAMPLE_ROWS, seed: int = 42) -> DataFrame:
+def signal_sample(df: DataFrame, signal: str, rows: int, seed: int = 42) -> DataFrame:
     """A class-proportional sample of the rows that carry a signal, with its class name."""
     sample = proportional_sample(signal_rows(df, signal), rows, seed=seed)
     return sample.withColumn("transaction_type", class_name(F.col("is_fraud")))

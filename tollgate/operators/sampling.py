@@ -1,22 +1,32 @@
 """Exact, repeatable samples: the first n rows of each stratum in the order of a hashed key.
 
 The hash is md5 of the key and a seed, so a rerun, another cluster size or another
-engine picks the same rows. No stratum is sorted as a whole: counts per hash prefix say
-in which prefix the n-th row lies, first among 4,096 prefixes, then among 65,536 inside
-that one, so the counts stay small however large the table is. Rows below the prefix are
-taken by a filter, and only its own rows (one in 2^28 of the stratum) are put in order.
-Exact copies are counted, not sorted, so copies cannot pile up in one task.
+engine picks the same rows. No stratum is sorted as a whole. Counts per hash prefix say
+in which prefix the n-th row lies; where many rows lie there, longer prefixes inside it
+are counted, at last of a hash of all columns, which parts rows that share a key or
+have none. The counts are a few thousand numbers, and the edges they give, one per
+stratum, are plain filters: one pass decides all rows, and only the few rows on an edge
+are put in order. Exact copies are counted, not sorted, so copies cannot pile up in one task.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-FIRST_DIGITS = 3
-NEXT_DIGITS = 4
+#: Hash digits counted at a time: of the key's hash, then of the hash of all columns.
+LEVELS = [("_key", 3), ("_key", 7), ("_all", 3), ("_all", 7)]
+KEY_DIGITS = 7
+#: An edge piece with at most so many rows is put in order as it is.
+ORDERED_ROWS = 10_000
 COPIES_PER_CHUNK = 100_000
 
+Counts = dict[object, int]
+
 
 def hash_order(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.coalesce(F.col(key), F.lit("")), F.lit(f"|{seed}")))
@@ -31,62 +41,103 @@ def class_counts(df: DataFrame, label: str = "is_fraud") -> DataFrame:
     )
 
 
-def _quotas(counts: DataFrame, fraud_take: Column, non_fraud_take: Column, label: str) -> DataFrame:
-    both = F.array(
-        F.struct(F.lit(True).alias(label), fraud_take.cast("bigint").alias("take")),
-        F.struct(F.lit(False).alias(label), non_fraud_take.cast("bigint").alias("take")),
-    )
-    return counts.select(F.inline(both))
+@dataclass
+class _Edge:
+    """Where a stratum's last taken row lies: hash prefixes, and how many rows to take inside them."""
+
+    take: int
+    rows: int = 0
+    prefixes: tuple[tuple[str, str], ...] = ()
 
 
-def split_by_quota(df: DataFrame, quotas: DataFrame, stratum: str, key: str = "txn_id_clean",
+def split_by_quota(df: DataFrame, quotas: Callable[[Counts], Counts], stratum: str, key: str = "txn_id_clean",
                    seed: int = 42) -> DataFrame:
-    """Add ``taken``: true for exactly ``take`` rows of each stratum (all, if it has fewer).
+    """Add ``taken``: true for exactly the quota of rows of each stratum (all, if it has fewer).
 
-    ``quotas`` has one row per stratum (a handful): its value and ``take``. Rows of a
-    stratum without a quota are not taken.
+    ``quotas`` gets the rows per stratum (a handful of values) and gives the rows to take.
+    Rows of a stratum without a quota are not taken. The order is the first digits of the key's hash, then the hash of
+    all columns.
     """
     columns = df.columns
-    hashed = df.withColumn("_hash", hash_order(key, seed))
-    hashed = hashed.withColumn("_prefix", F.substring("_hash", 1, FIRST_DIGITS + NEXT_DIGITS))
-    first = _edge(hashed, F.substring("_hash", 1, FIRST_DIGITS), quotas, stratum)
-    inside = hashed.join(F.broadcast(first), stratum).where(F.col("_hash").startswith(F.col("_edge")))
-    edges = _edge(inside, F.col("_prefix"), first.select(stratum, F.col("_need").alias("take")), stratum)
-    limits = quotas.join(F.broadcast(edges), stratum, "left")
-
-    placed = hashed.join(F.broadcast(limits), stratum, "left")
-    verdict = (
-        F.when(F.coalesce("take", F.lit(0)) <= 0, False)
-        .when(F.col("_edge").isNull(), True)
-        .when(F.col("_prefix") < F.col("_edge"), True)
-        .when(F.col("_prefix") > F.col("_edge"), False)
-    )
-    clear = placed.withColumn("taken", verdict).where(F.col("taken").isNotNull())
-
-    on_edge = placed.where(verdict.isNull()).groupBy(*columns, "_hash", "_need").agg(
-        F.count(F.lit(1)).alias("_copies")
-    )
+    everything = F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+    hashed = df.withColumns({"_key": F.substring(hash_order(key, seed), 1, KEY_DIGITS), "_all": everything})
+    pieces = _counted(hashed, stratum, *LEVELS[0])
+    totals: Counts = {}
+    for value, _, rows in pieces:
+        totals[value] = totals.get(value, 0) + rows
+    takes = {value: min(take, totals.get(value, 0)) for value, take in quotas(totals).items()}
+    edges = {value: _Edge(take, totals[value]) for value, take in takes.items() if 0 < take < totals[value]}
+    _move_edges(edges, pieces, LEVELS[0][0])
+    for name, digits in LEVELS[1:]:
+        wide = {value: edge for value, edge in edges.items() if edge.rows > ORDERED_ROWS}
+        if not wide:
+            break
+        inside = hashed.where(_any(F.col(stratum).eqNullSafe(value) & _on_edge(edge) for value, edge in wide.items()))
+        _move_edges(wide, _counted(inside, stratum, name, digits), name)
+
+    whole = [value for value, take in takes.items() if take == totals.get(value, 0)]
+    taken, on_edge = _any(F.col(stratum).eqNullSafe(value) for value in whole), F.lit(False)
+    for value, edge in edges.items():
+        here = F.col(stratum).eqNullSafe(value)
+        taken = taken | (here & _before(edge))
+        on_edge = on_edge | (here & _on_edge(edge))
+    clear = hashed.where(~on_edge).withColumn("taken", taken)
+    if not edges:
+        return clear.select(*columns, "taken")
+
+    need = F.coalesce(*[F.when(F.col(stratum).eqNullSafe(value), F.lit(edge.take)) for value, edge in edges.items()])
+    copies = hashed.where(on_edge).groupBy(*columns, "_key", "_all").agg(F.count(F.lit(1)).alias("_copies"))
     others = [F.col(c).asc_nulls_first() for c in columns if c != stratum]
-    ahead = Window.partitionBy(stratum).orderBy("_hash", *others).rowsBetween(Window.unboundedPreceding, -1)
-    room = F.col("_need") - F.coalesce(F.sum("_copies").over(ahead), F.lit(0))
-    taken = F.greatest(F.least(F.col("_copies"), room), F.lit(0))
+    ahead = Window.partitionBy(stratum).orderBy("_key", "_all", *others).rowsBetween(Window.unboundedPreceding, -1)
+    room = need - F.coalesce(F.sum("_copies").over(ahead), F.lit(0))
+    count = F.greatest(F.least(F.col("_copies"), room), F.lit(0))
     parts = F.array(
-        F.struct(F.lit(True).alias("taken"), taken.alias("_n")),
-        F.struct(F.lit(False).alias("taken"), (F.col("_copies") - taken).alias("_n")),
+        F.struct(F.lit(True).alias("taken"), count.alias("_n")),
+        F.struct(F.lit(False).alias("taken"), (F.col("_copies") - count).alias("_n")),
     )
-    ranked = on_edge.withColumn("_parts", parts).select(*columns, F.inline("_parts")).where("_n > 0")
+    ranked = copies.withColumn("_parts", parts).select(*columns, F.inline("_parts")).where("_n > 0")
     return clear.select(*columns, "taken").unionByName(_unfold(ranked).select(*columns, "taken"))
 
 
-def _edge(hashed: DataFrame, prefix: Column, quotas: DataFrame, stratum: str) -> DataFrame:
-    """Per stratum the prefix in which its ``take``-th row lies and how many rows to take there."""
-    earlier = Window.partitionBy(stratum).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    volume = hashed.groupBy(stratum, prefix.alias("_piece")).agg(F.count(F.lit(1)).alias("_rows"))
-    volume = volume.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-    reached = (F.col("_before") < F.col("take")) & (F.col("take") <= F.col("_before") + F.col("_rows"))
-    return volume.join(F.broadcast(quotas), stratum).where(reached).select(
-        stratum, F.col("_piece").alias("_edge"), (F.col("take") - F.col("_before")).alias("_need")
-    )
+def _any(conditions) -> Column:
+    out = F.lit(False)
+    for condition in conditions:
+        out = out | condition
+    return out
+
+
+def _counted(df: DataFrame, stratum: str, name: str, digits: int) -> list[tuple]:
+    """Rows per stratum and hash prefix, in order: 16^3 or 16^4 numbers for each of a handful of strata."""
+    found = df.groupBy(stratum, F.substring(name, 1, digits).alias("_piece")).agg(F.count(F.lit(1)).alias("_rows"))
+    return sorted((tuple(row) for row in found.collect()), key=lambda row: row[1])
+
+
+def _move_edges(edges: dict[object, _Edge], pieces: list[tuple], name: str) -> None:
+    """Narrow each edge to the prefix that holds its last taken row."""
+    for value, edge in edges.items():
+        seen = 0
+        for _, piece, rows in (p for p in pieces if p[0] == value):
+            if seen + rows >= edge.take:
+                earlier = tuple(p for p in edge.prefixes if p[0] != name)
+                edge.prefixes, edge.take, edge.rows = (*earlier, (name, piece)), edge.take - seen, rows
+                break
+            seen += rows
+
+
+def _on_edge(edge: _Edge) -> Column:
+    out = F.lit(True)
+    for name, prefix in edge.prefixes:
+        out = out & F.col(name).startswith(prefix)
+    return out
+
+
+def _before(edge: _Edge) -> Column:
+    """Rows ahead of the edge piece."""
+    out, same = F.lit(False), F.lit(True)
+    for name, prefix in edge.prefixes:
+        out = out | (same & (F.substring(name, 1, len(prefix)) < prefix))
+        same = same & F.col(name).startswith(prefix)
+    return out
 
 
 def _unfold(df: DataFrame) -> DataFrame:
@@ -100,8 +151,10 @@ def _unfold(df: DataFrame) -> DataFrame:
 
 def budgeted_sample(df: DataFrame, target_rows: int, label: str = "is_fraud", seed: int = 42) -> DataFrame:
     """All fraud rows plus non-fraud rows up to ``target_rows``; unknown labels are left out."""
-    counts = class_counts(df, label)
-    quotas = _quotas(counts, F.col("fraud_count"), sample_budget(target_rows), label)
+    def quotas(rows: Counts) -> Counts:
+        fraud = rows.get(True, 0)
+        return {True: fraud, False: max(target_rows - fraud, 0)}
+
     split = split_by_quota(df.where(F.col(label).isNotNull()), quotas, label, seed=seed)
     return split.where("taken").drop("taken")
 
@@ -114,14 +167,12 @@ def sample_budget(target_rows: int) -> Column:
 
 def proportional_sample(df: DataFrame, rows: int, label: str = "is_fraud", seed: int = 42) -> DataFrame:
     """``rows`` labelled rows that keep the class ratio; the fraud share is rounded down."""
-    known = df.where(F.col(label).isNotNull())
-    counts = class_counts(known, label)
-    share = F.col("fraud_count") / F.nullif(F.col("total_count"), F.lit(0))
-    fraud = F.coalesce(F.floor(F.lit(rows) * share), F.lit(0))
-    quotas = _quotas(
-        counts, F.least(fraud, F.col("fraud_count")), F.least(F.lit(rows) - fraud, F.col("non_fraud_count")), label
-    )
-    split = split_by_quota(known, quotas, label, seed=seed)
+    def quotas(counts: Counts) -> Counts:
+        total = counts.get(True, 0) + counts.get(False, 0)
+        fraud = math.floor(rows * (counts.get(True, 0) / total)) if total else 0
+        return {True: fraud, False: rows - fraud}
+
+    split = split_by_quota(df.where(F.col(label).isNotNull()), quotas, label, seed=seed)
     return split.where("taken").drop("taken")
 
 
@@ -131,51 +182,31 @@ def train_test_split(df: DataFrame, test_share: float = 0.2, label: str = "is_fr
     The test part is the ceiling of its share. Training rows go to the classes in
     proportion, a left-over row to the class with the larger remainder.
     """
-    known = df.where(F.col(label).isNotNull())
-    counts = class_counts(known, label)
-    sized = counts.withColumn(
-        "train", F.col("total_count") - F.ceil(F.col("total_count") * F.lit(test_share))
-    )
-    total = F.nullif(F.col("total_count"), F.lit(0))
-    sized = sized.withColumns({
-        "fraud_part": F.col("train") * F.col("fraud_count") % total,
-        "other_part": F.col("train") * F.col("non_fraud_count") % total,
-    })
-    sized = sized.withColumn(
-        "fraud_train",
-        (F.col("train") * F.col("fraud_count") - F.col("fraud_part")) / total
-        + F.when(F.col("fraud_part") > F.col("other_part"), 1).otherwise(0),
-    )
-    quotas = _quotas(sized, F.col("fraud_train"), F.col("train") - F.col("fraud_train"), label)
-    split = split_by_quota(known, quotas, label, seed=seed)
+    def quotas(counts: Counts) -> Counts:
+        fraud, other = counts.get(True, 0), counts.get(False, 0)
+        total = fraud + other
+        if not total:
+            return {}
+        train = total - math.ceil(total * test_share)
+        more = train * fraud % total > train * other % total
+        fraud_train = train * fraud // total + more
+        return {True: fraud_train, False: train - fraud_train}
+
+    split = split_by_quota(df.where(F.col(label).isNotNull()), quotas, label, seed=seed)
     return split.select(*df.columns, F.when(F.col("taken"), "train").otherwise("test").alias("split"))
 
 
-def training_sample(df: DataFrame, keep_all_up_to: int = 50_000, max_rows: int = 100_000,
-                    min_fraud: int = 1_000, label: str = "is_fraud", seed: int = 42) -> DataFrame:
-    """Rows to train on: everything when small, else a class-proportional sample.
+def training_sample(df: DataFrame, max_rows: int = 100_000, min_fraud: int = 1_000, label: str = "is_fraud",
+                    seed: int = 42) -> DataFrame:
+    """Labelled rows to fit a model on: all of them, or a class-proportional sample of ``max_rows``.
 
-    The sample has at least ``min_fraud`` fraud rows if there are that many; without any
-    fraud it is drawn from all rows.
+    The sample has at least ``min_fraud`` fraud rows if there are that many.
     """
-    counts = class_counts(df, label)
-    rows, fraud = F.col("total_count"), F.col("fraud_count")
-    size = F.least(rows, F.lit(max_rows))
-    share = F.floor(size * (fraud / F.nullif(rows, F.lit(0))))
-    fraud_take = F.least(F.greatest(F.lit(min_fraud), share), fraud)
-    small = rows <= keep_all_up_to
-    quota = F.array(
-        F.struct(F.lit("fraud").alias("_stratum"), F.when(small, fraud).otherwise(fraud_take).alias("take")),
-        F.struct(F.lit("other").alias("_stratum"),
-                 F.when(small, F.col("non_fraud_count"))
-                 .otherwise(F.least(size - fraud_take, F.col("non_fraud_count"))).alias("take")),
-        F.struct(F.lit("unknown").alias("_stratum"), F.when(small, rows).otherwise(F.lit(0)).alias("take")),
-        F.struct(F.lit("any").alias("_stratum"), F.when(small, rows).otherwise(size).alias("take")),
-    )
-    quotas = counts.select(F.inline(quota))
-    has_fraud = df.select(F.count_if(F.col(label)) > 0).scalar()
-    stratum = (
-        F.when(~has_fraud, "any").when(F.col(label), "fraud").when(~F.col(label), "other").otherwise("unknown")
-    )
-    split = split_by_quota(df.withColumn("_stratum", stratum), quotas, "_stratum", seed=seed)
-    return split.where("taken").select(df.columns)
+    def quotas(counts: Counts) -> Counts:
+        fraud, total = counts.get(True, 0), counts.get(True, 0) + counts.get(False, 0)
+        size = min(total, max_rows)
+        taken = min(max(min_fraud, math.floor(size * (fraud / total))), fraud) if total else 0
+        return {True: taken, False: size - taken}
+
+    split = split_by_quota(df.where(F.col(label).isNotNull()), quotas, label, seed=seed)
+    return split.where("taken").drop("taken")

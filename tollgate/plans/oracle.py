@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from tollgate.functions import wording as w
 from tollgate.plans import fixtures
-from tollgate.plans.registry import EXTRACT_TARGET, SIGNAL_SAMPLE
+from tollgate.plans.registry import CARD_SHARE, EXTRACT_TARGET, SIGNAL_SAMPLE
 from tollgate.schemas import (
     CARD_ACTIVITY,
     EXTRACT_COLUMNS,
@@ -443,13 +443,9 @@ FROM stg s LEFT JOIN cards k ON s.card_id_clean = k.card_id""")
         "merchants AS distinct_merchants_last_24h FROM met")
     sql["d09_missing_time_mask"] = on(
         "feat", f"SELECT txn_id_clean, {show(CARD_ACTIVITY)} FROM feat WHERE txn_ts IS NULL")
-    subset = "enr AS (SELECT * FROM every_row ORDER BY txn_id_clean NULLS FIRST, txn_ts NULLS FIRST, amount NULLS FIRST LIMIT 10000)"
-    sql["d10_activity_on_sample"] = (
-        "WITH " + ",\n".join([
-            PARTS["raw"], PARTS["merchants"], PARTS["devices"], PARTS["cards"], PARTS["stg"],
-            PARTS["enr"].replace("\nenr AS (", "\nevery_row AS ("), subset, PARTS["met"], PARTS["feat"],
-        ]) + f"\nSELECT txn_id_clean, {show(CARD_ACTIVITY)} FROM feat"
-    )
+    # Features of the full build, of the chosen cards only: cards are complete.
+    sql["d10_activity_on_sample"] = on("feat", f"""SELECT txn_id_clean, {show(CARD_ACTIVITY)} FROM feat
+WHERE CAST('0x' || substring(md5(coalesce(card_id_clean, '') || '|42'), 1, 7) AS BIGINT) < {round(CARD_SHARE * 16**7)}""")
     sql["d_card_features_table"] = on("feat", f"SELECT txn_id_clean, {show(['txn_ts', 'amount', *CARD_ACTIVITY])} FROM feat")
 
     # risk history
@@ -603,10 +599,11 @@ FROM (VALUES ('LOW'), ('MEDIUM'), ('HIGH')) b(risk_band) LEFT JOIN scored s ON s
     ) + " FROM imputed", IMPUTED)
     sql["j12_without_model"] = on("risk", "SELECT txn_id_clean, CAST(0.5 AS DOUBLE) AS risk_score, 'MEDIUM' AS risk_band FROM risk")
     sql["j13_training_sample"] = on("risk", f"""SELECT txn_id_clean, is_fraud FROM ordered, sizes
-WHERE n <= 2000 OR place <= CASE WHEN is_fraud THEN fraud_rows WHEN NOT is_fraud THEN least(n, 4000) - fraud_rows ELSE 0 END""",
-        f"""sizes AS (SELECT count(*) AS n, least(greatest(300,
-    floor(least(count(*), 4000) * (count(*) FILTER (is_fraud) / count(*)))), count(*) FILTER (is_fraud)) AS fraud_rows FROM risk),
-ordered AS (SELECT *, row_number() OVER (PARTITION BY is_fraud ORDER BY {HASH}) AS place FROM risk)""")
+WHERE place <= CASE WHEN is_fraud THEN fraud_rows ELSE least(n, 4000) - fraud_rows END""",
+        f"""known AS (SELECT * FROM risk WHERE is_fraud IS NOT NULL),
+sizes AS (SELECT count(*) AS n, least(greatest(300,
+    floor(least(count(*), 4000) * (count(*) FILTER (is_fraud) / count(*)))), count(*) FILTER (is_fraud)) AS fraud_rows FROM known),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY is_fraud ORDER BY {HASH}) AS place FROM known)""")
     sql["j18_scenario_prior"] = on("enr", """SELECT txn_id_clean, floor((least(0.003
   + CASE WHEN amount > 10000 THEN 0.03 ELSE 0 END + CASE WHEN amount > 50000 THEN 0.07 ELSE 0 END
   + CASE upper(merchant_risk_tier) WHEN 'HIGH' THEN 0.04 WHEN 'MEDIUM' THEN 0.01 ELSE 0 END

@@ -49,6 +49,7 @@ QUERIES: dict[str, Query] = {}
 ID = "txn_id_clean"
 EXTRACT_TARGET = 8_000
 SIGNAL_SAMPLE = 1_500
+CARD_SHARE = 0.25
 VIEW = {"channel": "WEB", "date_start": "2024-01-05", "date_end": "2024-01-25"}
 
 
@@ -327,7 +328,7 @@ def d09_missing_time_mask(spark, sf):
 
 @query
 def d10_activity_on_sample(spark, sf):
-    df = card_activity.add_card_activity_to_sample(enriched(spark, sf))
+    df = card_activity.add_card_activity_to_sample(enriched(spark, sf), CARD_SHARE)
     return plain(df.select(ID, *CARD_ACTIVITY))
 
 
@@ -660,16 +661,10 @@ def j12_without_model(spark, sf):
 
 @query
 def j13_training_sample(spark, sf):
-    df = sampling.training_sample(risk(spark, sf), keep_all_up_to=2_000, max_rows=4_000, min_fraud=300)
+    df = sampling.training_sample(risk(spark, sf), max_rows=4_000, min_fraud=300)
     return plain(df.select(ID, "is_fraud"))
 
 
-@query
-def j14_partial_scoring(spark, sf):
-    df = model.score_at_most(risk(spark, sf), fitted(spark, sf), 3_000)
-    return plain(df.select(ID, "risk_score", "risk_band"))
-
-
 @query
 def j15_coefficients(spark, sf):
     return plain(model.coefficient_table(spark, fitted(spark, sf)))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tollgate.schemas import EXTRACT_COLUMNS, EXTRACT_SCHEMA
-from tollgate.sources.raw_csv import MISSING_TOKENS, path_exists
+from tollgate.sources.raw_csv import MISSING_TOKENS
+from tollgate.sources.shared import path_exists
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.schemas import RAW_COLUMNS, raw_schema
+from tollgate.sources.shared import path_exists
 
 # Text a CSV reader in the reference environment takes as missing.
 MISSING_TOKENS = [
@@ -19,16 +19,6 @@ MISSING_TOKENS = [
 CSV_FILES = "*.[cC][sS][vV]"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path)
-        return True
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-
-
 def read_raw(spark: SparkSession, path: str, table: str, missing_tokens: bool = True,
              multiline: bool = False) -> DataFrame:
     """Every CSV file of a folder (or one file) as text columns.
