@@ -39,7 +39,8 @@ def words(text: Column) -> Column:
 
 
 def ascii_lower(text: Column) -> Column:
-    return F.translate(text, UPPER, LOWER)
+    """Lower case of A-Z alone; for a text of one-byte characters that is plain lower case."""
+    return F.when(F.char_length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
 def word_runs(tokens: Column, count: Column, length: int) -> Column:

@@ -12,10 +12,10 @@ Prefixes are extended by 30 % so that they reach p. A set whose rare shingles re
 pairs is heavy; only heavy sets look for partners through pairs, so unrelated light texts with a common
 passage never meet. A set that does not reach p with pairs either is indexed by its frequent shingles singly as well.
 
-Sets that share a key are compared with the smallest set of the key first. Most of a group of near copies is
-then one component, and only sets still in different components are compared further, so a large group costs about one
-comparison a member. A pair is first tested on the stored prefixes, which is exact in what it
-rejects (too many shingles of one are missing from the other); the rest is verified on the whole sets.
+All pairs of a small key are compared. In a large key all sets are compared with one pivot first; most of a group of
+near copies is then one component, and only sets still in different components are compared further, so a large group
+costs about one comparison a member. A pair is first tested on the stored prefixes, then on two bytes of every
+shingle; both tests are exact in what they reject. The rest is verified on the whole sets.
 
 Texts with equal sets are one node. Nodes and shingles are 64-bit hashes: of n different ones two are
 equal with a chance of about n^2 / 2^65.
@@ -28,6 +28,7 @@ equal sets; an empty table gives no rows; other columns are left out.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,31 +111,36 @@ def index_keys(prefixes: DataFrame, join: Join) -> DataFrame:
     counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = rows.join(counts, "token").select("node", "n", "p", "length", "at", "token", (F.col("df") >= join.frequent).alias("frequent"))
     keys = stored(_keys(shared, join), "join-keys")
-    useful = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.max("searches").alias("searched")).where("members > 1 and searched")
-    return stored(keys.join(useful.select("key"), "key"), "join-index")
+    # Keys with the same members, told by two hashes of them, ask the same; one of them is kept.
+    alike = [F.bit_xor(F.xxhash64(F.lit(k), "node", "searches")).alias(f"_alike{k}") for k in (0, 1)]
+    useful = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.max("searches").alias("searched"), *alike)
+    kept = useful.where("members > 1 and searched").groupBy("members", "_alike0", "_alike1").agg(F.min("key").alias("key"))
+    return stored(keys.join(kept.select("key", "members"), "key"), "join-index")
 
 
-def _pairs(index: DataFrame, labels: DataFrame, first: bool, join: Join) -> DataFrame:
-    """Pairs a < b to compare: with the key's pivot in the first round, all that are still apart afterwards.
+def _pairs(index: DataFrame, labels: DataFrame | None, join: Join) -> DataFrame:
+    """Pairs a < b to compare, of sizes that can link.
 
-    ``labels``: node and component; nodes without a row are their own component.
+    At first all pairs of a small key, and a large key's pivot with the others. Afterwards, with ``labels`` (node
+    and component; nodes without a row are their own component), pairs of large keys that are still apart.
     """
-    marked = index.join(labels, "node", "left").withColumn("component", F.coalesce("component", F.col("node")))
-    apart = marked.groupBy("key").agg(
-        F.min("component").alias("_low"), F.max("component").alias("_high"),
-        F.min_by(F.struct("node", "n", "component"), F.when(F.col("searches"), F.col("node"))).alias("_pivot")).where("_low <> _high")
-    if first:
-        met = marked.join(apart.select("key", "_pivot"), "key").select(
-            F.col("_pivot.node").alias("x"), F.col("_pivot.n").alias("nx"), F.col("_pivot.component").alias("cx"),
-            F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
+    large = index.where(F.col("members") >= join.frequent)
+    if labels is None:
+        small = index.where(F.col("members") < join.frequent)
+        left = small.where("searches").select("key", F.col("node").alias("x"), F.col("n").alias("nx"))
+        met = left.join(small.select("key", F.col("node").alias("y"), F.col("n").alias("ny")), "key").select("x", "nx", "y", "ny")
+        pivots = large.groupBy("key").agg(F.min_by(F.struct("node", "n"), F.when(F.col("searches"), F.col("node"))).alias("pivot"))
+        met = met.unionAll(large.join(pivots, "key").select(
+            F.col("pivot.node").alias("x"), F.col("pivot.n").alias("nx"), F.col("node").alias("y"), F.col("n").alias("ny")))
     else:
-        left = marked.where("searches").join(apart.select("key"), "key").select(
-            "key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-        right = marked.join(apart.select("key"), "key").select(
-            "key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
-        met = left.join(right, "key").drop("key")
+        marked = large.join(labels, "node", "left").withColumn("component", F.coalesce("component", F.col("node")))
+        apart = marked.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+        open_keys = marked.join(apart.select("key"), "key")
+        left = open_keys.where("searches").select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
+        right = open_keys.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
+        met = left.join(right, "key").where("cx <> cy").select("x", "nx", "y", "ny")
     sized = 100 * F.least("nx", "ny") >= join.percent * F.greatest("nx", "ny")
-    return met.where((F.col("cx") != F.col("cy")) & sized).select(
+    return met.where((F.col("x") != F.col("y")) & sized).select(
         F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -162,18 +168,40 @@ def _not_rejected(pairs: DataFrame, prefixes: DataFrame, join: Join) -> DataFram
         & (F.size("_b") - common <= _missing_limit(F.col("nb"), F.col("na"), join))).select("a", "b")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
-    """Pairs whose whole sets are similar enough. ``nodes``: node and the text that stands for it."""
+def _open(pairs: DataFrame, opened: list[DataFrame], docs: DataFrame, nodes: DataFrame, join: Join) -> None:
+    """Add to ``opened`` the whole sets of the nodes in ``pairs`` that it lacks. ``nodes``: node and the text that stands for it."""
     ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    opened = stored(ids.join(nodes, "node").select("node", "rep"), "opened")
-    texts = docs.select(F.col("doc_id").alias("_id"), "text").join(opened, F.col("_id").eqNullSafe(F.col("rep")))
-    whole_sets = texts.select(F.col("node"), _sets(texts, join).alias("set"))
-    # With repeated ids a text that is not the node's may come along.
-    whole_sets = stored(whole_sets.where(F.xxhash64("set") == F.col("node")).dropDuplicates(["node"]), "opened-sets")
+    for before in opened:
+        ids = ids.join(before.select("node"), "node", "left_anti")
+    wanted = stored(ids.join(nodes, "node").select("node", "rep"), "wanted")
+    texts = docs.select(F.col("doc_id").alias("_id"), "text").join(wanted, F.col("_id").eqNullSafe(F.col("rep")))
+    # Stored before the test, or the planner would join by it and take the sets of all texts.
+    sets = stored(texts.select("node", _sets(texts, join).alias("set")), "opened-sets")
+    # With repeated ids a text that is not the node's, or the same one again, may come along.
+    opened.append(sets.where(F.xxhash64("set") == F.col("node")).dropDuplicates(["node"]))
+
+
+def _beside(pairs: DataFrame, sets: DataFrame, value: Column) -> DataFrame:
     for side in "ab":
-        pairs = pairs.join(whole_sets.select(F.col("node").alias(side), F.col("set").alias(f"s{side}")), side)
+        pairs = pairs.join(sets.select(F.col("node").alias(side), F.size("set").alias(f"n{side}"), value.alias(f"s{side}")), side)
+    return pairs
+
+
+def _verified(pairs: DataFrame, opened: list[DataFrame], join: Join) -> DataFrame:
+    """Pairs whose whole sets are similar enough.
+
+    Two bytes of every shingle come first. Shingles that share their bytes count as common, so what
+    is too few then is too few for certain; only the others move their whole sets.
+    """
+    sets = reduce(DataFrame.unionAll, opened)
+    short = F.array_distinct(F.transform("set", lambda h: (F.pmod(h, F.lit(65536)) - 32768).cast("smallint")))
+    near = _beside(pairs, sets, short)
+    # A set may hold several shingles with the same bytes; those beyond the first are added on top.
+    common = F.size(F.array_intersect("sa", "sb")) + F.greatest(F.col("na") - F.size("sa"), F.col("nb") - F.size("sb"))
+    near = stored(near.where(100 * common >= join.percent * (F.col("na") + F.col("nb") - common)).select("a", "b"), "near-pairs")
+    exact = _beside(near, sets, F.col("set"))
     common = F.size(F.array_intersect("sa", "sb"))
-    return pairs.where(100 * common >= join.percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+    return exact.where(100 * common >= join.percent * (F.col("na") + F.col("nb") - common)).select("a", "b")
 
 
 def link_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
@@ -185,14 +213,13 @@ def link_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
     prefixes = own.join(reps, (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("rep")))
     prefixes = stored(prefixes.select("node", "n_shingles", "prefix").dropDuplicates(["node"]), "node-prefixes")
     index = index_keys(prefixes, join)
-    labels = docs.sparkSession.createDataFrame([], "node bigint, component bigint")
-    links = None
-    for first in (True, False):
-        pairs = stored(_pairs(index, labels, first, join), "pairs")
+    labels, links, opened = None, [], []
+    for _ in range(2):
+        pairs = stored(_pairs(index, labels, join), "pairs")
         hopeful = stored(_not_rejected(pairs, prefixes, join), "hopeful-pairs")
-        found = stored(_verified(hopeful, docs, nodes, join), "links")
-        links = found if links is None else links.unionAll(found)
-        labels = connected_components(links)
+        _open(hopeful, opened, docs, nodes, join)
+        links.append(stored(_verified(hopeful, opened, join), "links"))
+        labels = connected_components(reduce(DataFrame.unionAll, links))
     marked = own.select("doc_id", "n_shingles", "node").join(labels, "node", "left")
     marked = marked.withColumn("component", F.coalesce("component", "node"))
     # The node numbers are hashes; the smallest document id names the component.
