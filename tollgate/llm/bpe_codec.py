@@ -19,6 +19,7 @@ import codecs
 import hashlib
 import heapq
 import json
+import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -30,7 +31,11 @@ from pyspark.sql import DataFrame
 
 from tollgate.llm.common import whole
 
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
+#: A merge is one number, its rank above its token's id: numbers compare like ranks.
+ID_BITS = 20
+ID_MASK = (1 << ID_BITS) - 1
+NO_MERGE = 1 << 62
 #: Characters of a text that are handled at a time; cut at white space.
 PIECE = 1 << 16
 #: White space of the word pattern.
@@ -47,7 +52,7 @@ def byte_characters() -> list[str]:
 @dataclass
 class Vocabulary:
     tokens: list[str]
-    merges: dict[tuple[int, int], tuple[int, int]]
+    merges: dict[tuple[int, int], int]
     inner: list[int]
     last: list[int]
     special: dict[str, int]
@@ -95,48 +100,50 @@ def read_vocabulary(path: str) -> Vocabulary:
     for token, i in [*ids.items(), *special.items()]:
         tokens[i] = token
     pairs = [tuple(p) if isinstance(p, list) else tuple(p.split(" ")) for p in model["merges"]]
-    merges = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(pairs)}
+    merges = {(ids[a], ids[b]): rank << ID_BITS | ids[a + b] for rank, (a, b) in enumerate(pairs)}
     characters = byte_characters()
     return Vocabulary(tokens, merges, [ids[c] for c in characters], [ids[c + suffix] for c in characters], special,
                       sufficient_lookahead(pairs, suffix), suffix)
 
 
-def merged(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
+def merged(symbols: list[int], merges: dict[tuple[int, int], int]) -> list[int]:
     """All merges of a short chain, lowest rank first, leftmost first."""
-    while len(symbols) > 1:
-        best = min((merges[pair] for pair in zip(symbols, symbols[1:]) if pair in merges), default=None)
-        if best is None:
+    find = merges.get
+    waiting = [find(pair, NO_MERGE) for pair in zip(symbols, symbols[1:])]
+    while waiting:
+        best = min(waiting)
+        if best == NO_MERGE:
             break
-        out, i, n = [], 0, len(symbols)
-        while i < n:
-            if i + 1 < n and merges.get((symbols[i], symbols[i + 1])) == best:
-                out.append(best[1])
-                i += 2
-            else:
-                out.append(symbols[i])
-                i += 1
-        symbols = out
+        i = waiting.index(best)
+        new = best & ID_MASK
+        symbols[i] = new
+        del symbols[i + 1], waiting[i]
+        if i:
+            waiting[i - 1] = find((symbols[i - 1], new), NO_MERGE)
+        if i < len(waiting):
+            waiting[i] = find((new, symbols[i + 1]), NO_MERGE)
     return symbols
 
 
-def merged_long(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> tuple[list[int], list[int]]:
+def merged_long(symbols: list[int], merges: dict[tuple[int, int], int]) -> tuple[list[int], list[int]]:
     """The same for a long chain, with a heap; also where each token ends."""
     n = len(symbols)
     here, after, before = list(symbols), list(range(1, n + 1)), list(range(-1, n - 1))
-    heap = [(*merges[pair], i, pair) for i, pair in enumerate(zip(here, here[1:])) if pair in merges]
+    heap = [(merges[pair], i, pair) for i, pair in enumerate(zip(here, here[1:])) if pair in merges]
     heapq.heapify(heap)
     while heap:
-        _, new, i, pair = heapq.heappop(heap)
+        merge, i, pair = heapq.heappop(heap)
         j = after[i]
         if j >= n or (here[i], here[j]) != pair:
             continue
+        new = merge & ID_MASK
         here[i], here[j], after[i] = new, -1, after[j]
         if after[i] < n:
             before[after[i]] = i
             if (found := merges.get(key := (new, here[after[i]]))) is not None:
-                heapq.heappush(heap, (*found, i, key))
+                heapq.heappush(heap, (found, i, key))
         if before[i] >= 0 and (found := merges.get(key := (here[before[i]], new))) is not None:
-            heapq.heappush(heap, (*found, before[i], key))
+            heapq.heappush(heap, (found, before[i], key))
     starts = [i for i in range(n) if here[i] >= 0]
     return [here[i] for i in starts], [after[i] for i in starts]
 
@@ -176,18 +183,18 @@ class Encoder(dict):
         self.cut = regex.compile(rf"[{WHITE}]")
 
     def __missing__(self, word: str) -> bytes:
-        packed = b"".join(self.stream(word))
-        if len(word) < 64:
+        data = word.encode()
+        packed = b"".join(packed_ids(ids) for ids in self.stream(data))
+        if len(data) < 64:
             if len(self) >= REMEMBERED:
                 self.clear()
             self[word] = packed
         return packed
 
-    def stream(self, word: str) -> Iterator[bytes]:
-        data = word.encode()
+    def stream(self, data: bytes) -> Iterator[list[int]]:
         for start in range(0, len(data), 4096):
-            yield np.array(self.transducer.feed(data[start:start + 4096]), "<u4").tobytes()
-        yield np.array(self.transducer.finish(), "<u4").tobytes()
+            yield self.transducer.feed(data[start:start + 4096])
+        yield self.transducer.finish()
 
     def encode(self, text: str) -> Iterator[bytes]:
         """Packed ids of a text, piece by piece."""
@@ -201,11 +208,16 @@ class Encoder(dict):
             # Special strings stand at odd places.
             for i, part in enumerate(self.special.split(piece)):
                 if i % 2:
-                    yield np.array([self.vocabulary.special[part]], "<u4").tobytes()
+                    yield packed_ids([self.vocabulary.special[part]])
                 elif part:
                     yield b"".join(map(self.__getitem__, self.words.findall(normalised(part))))
 
 
+def packed_ids(ids: list[int]) -> bytes:
+    """Unsigned 32-bit numbers, lowest byte first."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def normalised(text: str) -> str:
     """Composed and lower-cased, each character by itself. White space separates words only and stays."""
     if text.isascii():
