@@ -85,3 +85,28 @@ def test_global_positions_with_most_rows_tied(spark):
     assert set(got["total_key"]) == {sum(s for _, s in rows)}
     part = ranking.global_positions(df, "score", "name", span=(30, 90)).toPandas().sort_values("position")
     assert list(part["name"]) == list(got["name"])[30:90]
+
+
+def test_a_third_of_copies_and_rows_without_an_id(spark):
+    """Copies are counted, and rows that share a missing id are cut by their other columns."""
+    copies = spark.range(3000).selectExpr("'same' as name", "7L as score", "0L as n")
+    bare = spark.range(3000).selectExpr("cast(null as string) as name", "7L as score", "id as n")
+    plain = spark.range(3000).selectExpr("concat('m', id) as name", "id % 9 as score", "id as n")
+    df = copies.unionByName(bare).unionByName(plain)
+    got = ranking.global_positions(df, "score", "name", piece_rows=50)
+    rows = got.toPandas().sort_values("position")
+    assert list(rows["position"]) == list(range(9000)) and rows["score"].is_monotonic_decreasing
+    assert list(rows["running_key"]) == list(rows["score"].cumsum())
+    part = ranking.global_positions(df.repartition(7), "score", "name", span=(2000, 5000), piece_rows=50).toPandas().sort_values("position")
+    assert part[["name", "n"]].astype(str).values.tolist() == rows[["name", "n"]].astype(str).values.tolist()[2000:5000]
+
+
+def test_crowded_values_are_cut_by_their_number(spark, monkeypatch):
+    """Values crowded within one piece are ordered in cells of a bounded size."""
+    monkeypatch.setattr(ranking, "PIECE_ROWS", 100)
+    df = spark.range(20_000).selectExpr("0.30000 + id * 1e-10 as x", "1L as rows")
+    got = ranking.running_totals(df, "x", ["rows"])
+    values = got.toPandas().sort_values("x")
+    assert list(values["before_rows"]) == list(range(20_000)) and set(values["total_rows"]) == {20_000}
+    cells = got._jdf.queryExecution().analyzed().toString()
+    assert "_cell" in cells

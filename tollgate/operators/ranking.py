@@ -1,9 +1,10 @@
 """Running totals, quantiles and histograms over a global order, without a one-task sort.
 
 Each function first adds equal values up (before the shuffle), so frequent values cost
-nothing, then orders the distinct values piece by piece: totals of the pieces (a few
-thousand rows, fixed by the range of the numbers) are summed in order and handed back
-to each piece as its offset.
+nothing, then orders the distinct values piece by piece: totals of the pieces are summed
+in order and handed back to each piece as its offset. Pieces are fixed by the range of the
+numbers (a few thousand); one that holds many values is cut again, into as many cells as
+its counted size asks for.
 """
 
 from __future__ import annotations
@@ -15,6 +16,12 @@ from pyspark.sql import functions as F
 
 from tollgate.functions.numbers import coarse_key
 
+#: About so many distinct values are put in order at a time.
+PIECE_ROWS = 50_000
+#: Hash digits of a piece of equal keys, and of its parts where many rows share them.
+FEW_DIGITS, KEY_DIGITS, ALL_DIGITS = 3, 7, 3
+COPIES_PER_CHUNK = 100_000
+
 
 def running_totals(df: DataFrame, key: str, sums: Sequence[str], by: Sequence[str] = (),
                    descending: bool = False) -> DataFrame:
@@ -22,19 +29,33 @@ def running_totals(df: DataFrame, key: str, sums: Sequence[str], by: Sequence[st
 
     ``df`` has one row per (by, key); ``by`` and ``key`` are not NULL.
     """
-    piece = coarse_key(F.col(key).cast("double"))
+    number = F.col(key).cast("double")
+    piece = coarse_key(number)
     df = df.withColumn("_piece", -piece if descending else piece)
-    pieces = df.groupBy(*by, "_piece").agg(*[F.sum(s).alias(f"_sum_{s}") for s in sums])
-    in_order = Window.partitionBy(*by).orderBy("_piece")
-    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.select(
+    ranges = df.groupBy(*by, "_piece").agg(
+        F.ceil(F.count(F.lit(1)) / PIECE_ROWS).alias("_cells"), F.min(number).alias("_low"), F.max(number).alias("_high"))
+    place = F.floor((number - F.col("_low")) / (F.col("_high") - F.col("_low")) * F.col("_cells"))
+    place = F.when(F.col("_high") > F.col("_low"), F.least(place, F.col("_cells") - 1)).otherwise(F.lit(0))
+    placed = df.join(ranges, [*by, "_piece"]).withColumn("_cell", -place if descending else place)
+
+    cells = placed.groupBy(*by, "_piece", "_cell").agg(*[F.sum(s).alias(f"_sum_{s}") for s in sums])
+    pieces = cells.groupBy(*by, "_piece").agg(*[F.sum(f"_sum_{s}").alias(f"_sum_{s}") for s in sums])
+    before = (Window.unboundedPreceding, -1)
+    between = Window.partitionBy(*by).orderBy("_piece").rowsBetween(*before)
+    inside = Window.partitionBy(*by, "_piece").orderBy("_cell").rowsBetween(*before)
+    piece_starts = pieces.select(
         *by, "_piece",
-        *[F.coalesce(F.sum(f"_sum_{s}").over(earlier), F.lit(0)).alias(f"_offset_{s}") for s in sums],
+        *[F.coalesce(F.sum(f"_sum_{s}").over(between), F.lit(0)).alias(f"_start_{s}") for s in sums],
         *[F.sum(f"_sum_{s}").over(Window.partitionBy(*by)).alias(f"total_{s}") for s in sums],
     )
+    offsets = cells.join(piece_starts, [*by, "_piece"]).select(
+        *by, "_piece", "_cell",
+        *[(F.col(f"_start_{s}") + F.coalesce(F.sum(f"_sum_{s}").over(inside), F.lit(0))).alias(f"_offset_{s}") for s in sums],
+        *[f"total_{s}" for s in sums],
+    )
     order = F.col(key).desc() if descending else F.col(key).asc()
-    within = Window.partitionBy(*by, "_piece").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    joined = df.join(offsets, [*by, "_piece"])
+    within = Window.partitionBy(*by, "_piece", "_cell").orderBy(order).rowsBetween(*before)
+    joined = placed.join(offsets, [*by, "_piece", "_cell"])
     return joined.select(
         *[c for c in df.columns if c != "_piece"],
         *[
@@ -152,21 +173,30 @@ def histogram(df: DataFrame, value: str, by: str, bins: int = 50, shared_edges:
 
 
 def global_positions(df: DataFrame, key: str, identity: str, descending: bool = True,
-                     span: tuple[int, int] | None = None, prefix_digits: int = 3) -> DataFrame:
-    """Number the rows (from 0) by ``key``, equal keys by the hash of ``identity``.
+                     span: tuple[int, int] | None = None, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """Number the rows (from 0) by ``key``, equal keys by hashes of ``identity`` and of all columns.
 
     Adds ``position``, ``running_key`` (keys added up to and including the row) and
     ``total_key``. Equal keys may be most of the data, so they are cut by hash prefix and
-    only each piece is put in order. With ``span`` only positions in [start, end) are
+    only each piece is put in order; a piece of more than ``piece_rows`` rows is cut again,
+    also by a hash of all columns, which parts rows that share an identity. Exact copies
+    are counted and unfolded at the end. With ``span`` only positions in [start, end) are
     returned: pieces outside it are dropped before any row is ordered.
     """
-    hashed = df.withColumn("_hash", F.md5(F.coalesce(F.col(identity).cast("string"), F.lit(""))))
-    hashed = hashed.withColumn("_prefix", F.substring("_hash", 1, prefix_digits))
-    pieces = hashed.groupBy(key, "_prefix").agg(F.count(F.lit(1)).alias("rows"))
+    everything = F.md5(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}))
+    hashed = df.withColumns({
+        "_id": F.substring(F.md5(F.coalesce(F.col(identity).cast("string"), F.lit(""))), 1, KEY_DIGITS), "_all": everything})
+    few = F.substring("_id", 1, FEW_DIGITS)
+    crowded = hashed.groupBy(key, few.alias("_few")).agg((F.count(F.lit(1)) > piece_rows).alias("_cut"))
+    hashed = hashed.withColumn("_few", few).join(crowded, [key, "_few"])
+    piece = F.when(F.col("_cut"), F.concat("_id", F.substring("_all", 1, ALL_DIGITS))).otherwise(F.col("_few"))
+    hashed = hashed.withColumn("_piece", piece).drop("_few", "_cut")
+
+    pieces = hashed.groupBy(key, "_piece").agg(F.count(F.lit(1)).alias("rows"))
     keys = pieces.groupBy(key).agg(F.sum("rows").alias("rows"))
     keys = running_totals(keys.withColumn("keys", F.col(key) * F.col("rows")), key, ["rows", "keys"],
                           descending=descending)
-    earlier = Window.partitionBy(key).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(key).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = pieces.withColumn("_in_key", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
     starts = starts.join(keys.drop("rows"), key).withColumn("_start", F.col("before_rows") + F.col("_in_key"))
     if span:
@@ -174,14 +204,21 @@ def global_positions(df: DataFrame, key: str, identity: str, descending: bool =
         inside = (F.col("_start") < end) & (F.col("_start") + F.col("rows") > begin)
         # A piece has at least one row, so at most end - begin + 1 pieces are left.
         starts = F.broadcast(starts.where(inside))
-    order = Window.partitionBy(key, "_prefix").orderBy("_hash", F.col(identity).asc_nulls_first())
-    placed = hashed.join(starts, [key, "_prefix"]).withColumn(
-        "position", F.col("_start") + F.row_number().over(order) - 1
-    )
+    facts = ["_start", "before_rows", "before_keys", "total_keys"]
+    distinct = hashed.join(starts.select(key, "_piece", *facts), [key, "_piece"]).groupBy(
+        *df.columns, "_piece", "_id", "_all", *facts).agg(F.count(F.lit(1)).alias("_copies"))
+    ahead = Window.partitionBy(key, "_piece").orderBy("_id", "_all").rowsBetween(Window.unboundedPreceding, -1)
+    placed = distinct.withColumn("_first", F.col("_start") + F.coalesce(F.sum("_copies").over(ahead), F.lit(0)))
+    first, stop = F.col("_first"), F.col("_first") + F.col("_copies")
     if span:
-        placed = placed.where(F.col("position").between(begin, end - 1))
-    ahead = F.col("position") - F.col("before_rows") + 1
+        first, stop = F.greatest(first, F.lit(begin)), F.least(stop, F.lit(end))
+    placed = placed.withColumns({"_from": first.cast("bigint"), "_to": stop.cast("bigint")}).where("_from < _to")
+    # Copies are unfolded in chunks, so that a row with very many is spread over tasks.
+    chunks = placed.withColumn("_chunk", F.explode(F.sequence(F.col("_from"), F.col("_to") - 1, F.lit(COPIES_PER_CHUNK).cast("bigint"))))
+    placed = chunks.withColumn("position", F.explode(F.sequence(
+        F.col("_chunk"), F.least(F.col("_chunk") + COPIES_PER_CHUNK, F.col("_to")) - 1)))
+    number = F.col("position") - F.col("before_rows") + 1
     return placed.select(
-        *df.columns, "position", (F.col("before_keys") + ahead * F.col(key)).alias("running_key"),
+        *df.columns, "position", (F.col("before_keys") + number * F.col(key)).alias("running_key"),
         F.col("total_keys").alias("total_key"),
     )

@@ -1,7 +1,7 @@
 """Transaction tables projected from the test tables.
 
-The same text runs on Spark and on DuckDB. source table is used whole. Keys that match no dimension come from the
-transaction side, and one merchant takes a third of all transactions.
+The same text runs on Spark and on DuckDB, and every source table is used whole. Keys that match no
+dimension come from the transaction side, and one merchant takes a third of all transactions.
 """
 
 from __future__ import annotations
@@ -59,6 +59,18 @@ select 'c_' || cast(c_custkey as string) as card_id, cast(400000 + c_custkey as
 from customer
 """
 
+RULE_HITS = """
+select 'tx_' || cast(event_id as string) as txn_id, 'rule_' || event_type as rule_name,
+  cast(event_id % 100 as string) as rule_score
+from events
+"""
+
+NOTES = """
+select 'tx_' || cast(o_orderkey as string) as txn_id, o_orderpriority as note_text,
+  substring(cast(o_orderdate as string), 1, 10) as created_at
+from orders
+"""
+
 # Typed, multi-year rows for the 30-day windows.
 LEDGER = """
 select 'tx_' || cast(l.l_orderkey as string) || '_' || cast(l.l_linenumber as string) as txn_id_clean,
@@ -101,3 +113,20 @@ def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _project(spark, sf_dir, LEDGER, "lineitem", "orders")
+
+
+def rule_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _project(spark, sf_dir, RULE_HITS, "events")
+
+
+def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _project(spark, sf_dir, NOTES, "orders")
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All six raw tables by name."""
+    return {
+        "raw_transactions": raw_transactions(spark, sf_dir), "raw_merchants": merchants(spark, sf_dir),
+        "raw_devices": devices(spark, sf_dir), "raw_cards": cards(spark, sf_dir),
+        "raw_rule_hits": rule_hits(spark, sf_dir), "raw_investigator_notes": notes(spark, sf_dir),
+    }

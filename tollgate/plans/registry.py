@@ -111,13 +111,6 @@ def fitted(spark: SparkSession, sf: str) -> model.ScoringModel:
 
 # --- sources and sinks ---------------------------------------------------------------
 
-def _raw_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {
-        "raw_transactions": fixtures.raw_transactions(spark, sf), "raw_merchants": fixtures.merchants(spark, sf),
-        "raw_devices": fixtures.devices(spark, sf), "raw_cards": fixtures.cards(spark, sf),
-    }
-
-
 def _as_csv(spark: SparkSession, table: str, df: DataFrame) -> str:
     path = f"{shared_folder(spark)}/csv-{uuid4().hex}/{table}"
     raw_csv.write_raw(df, path)
@@ -133,7 +126,7 @@ def a01_csv_scan(spark, sf):
 @query
 def a06_load_reconciliation(spark, sf):
     stored, loaded = {}, {}
-    for name, df in _raw_tables(spark, sf).items():
+    for name, df in fixtures.raw_tables(spark, sf).items():
         path = _as_csv(spark, name, df)
         rows = raw_csv.read_raw(spark, path, name)
         loaded[name] = raw_csv.store_counted(rows, lambda out: out.write.parquet(f"{path}-stored"))

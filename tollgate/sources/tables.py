@@ -10,9 +10,12 @@ from pyspark.sql import types as T
 from tollgate.schemas import RAW_COLUMNS, raw_schema
 
 
-def create_database(spark: SparkSession, database: str) -> None:
-    """Create the database and its empty raw tables where they do not exist yet."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """Create the database and its empty raw tables where they do not exist yet.
+
+    ``location`` is a folder all executors reach; without it the session's warehouse holds the tables.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}" + (f" LOCATION '{location}'" if location else ""))
     for table in RAW_COLUMNS:
         if not spark.catalog.tableExists(f"{database}.{table}"):
             empty = spark.createDataFrame([], raw_schema(table))
