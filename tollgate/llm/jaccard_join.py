@@ -12,9 +12,9 @@ Prefixes are extended by 30 % so that they reach p. A set whose rare shingles re
 pairs is heavy; only heavy sets look for partners through pairs, so unrelated light texts with a common
 passage never meet. A set that does not reach p with pairs either is indexed by its frequent shingles singly as well.
 
-All pairs of a small key are compared. In a large key all sets are compared with one pivot first; most of a group of
-near copies is then one component, and only sets still in different components are compared further, so a large group
-costs about one comparison a member. A pair is first tested on the stored prefixes, then on two bytes of every
+All pairs of a small key are compared. In a large key all sets are compared with one pivot first, then with some more, and
+only while they are in different components; a group of near copies soon is one component, so it costs a few
+comparisons a member. A pair is first tested on the stored prefixes, then on two bytes of every
 shingle; both tests are exact in what they reject. The rest is verified on the whole sets.
 
 Texts with equal sets are one node. Nodes and shingles are 64-bit hashes: of n different ones two are
@@ -41,7 +41,9 @@ PERCENT = 85
 FREQUENT = 33
 MARGIN = 1.3
 #: About so many shingles of an all-frequent prefix fall into one group.
-GROUP = 8
+GROUP = 5
+#: Expected pivots of a large key, round by round; the last round takes all that are left.
+PIVOTS = [0, 16, 256, 2**62]
 
 
 @dataclass(frozen=True)
@@ -87,13 +89,14 @@ def _keys(rows: DataFrame, join: Join) -> DataFrame:
         F.sort_array(frequent).alias("f"), F.collect_list(F.when(~F.col("frequent"), F.col("token"))).alias("rare"))
     # Shingles that no other prefix has are not among the rows; they are rare and count too.
     n_rare = F.col("length") - F.size("f")
-    both = F.array(F.lit(0), F.lit(1))
-    sized = per_set.withColumns({"light": n_rare >= F.col("p"), "bucket": F.explode(F.transform(both, lambda i: join.bucket(F.col("n")) + i))})
+    own = F.array(join.bucket(F.col("n")), join.bucket(F.col("n")) + 1)
+    sized = per_set.withColumn("light", n_rare >= F.col("p")).select("*", F.posexplode(own).alias("second", "bucket"))
     grouped = sized.withColumn("g", F.transform("f", lambda x: F.struct(
         F.pmod(F.shiftrightunsigned(x["token"], 9), join.groups(F.col("bucket"))).alias("g"), x["token"].alias("token"))))
     n_groups = F.size(F.array_distinct(F.transform("g", lambda x: x["g"])))
     grouped = grouped.withColumn("by_pairs", n_rare + F.size("f") - n_groups >= F.col("p"))
-    single = F.transform("rare", lambda t: F.struct(F.xxhash64(F.lit("rare"), F.col("bucket"), t).alias("key"), F.lit(True).alias("searches")))
+    rare = F.when(F.col("second") == 0, F.col("rare")).otherwise(F.array().cast("array<bigint>"))
+    single = F.transform(rare, lambda t: F.struct(F.xxhash64(F.lit("rare"), t).alias("key"), F.lit(True).alias("searches")))
     ordered = F.sort_array("g")
     pairs = F.flatten(F.transform(ordered, lambda x, i: F.transform(
         F.filter(F.slice(ordered, i + 2, F.size(ordered)), lambda y: y["g"] == x["g"]),
@@ -118,11 +121,13 @@ def index_keys(prefixes: DataFrame, join: Join) -> DataFrame:
     return stored(keys.join(kept.select("key", "members"), "key"), "join-index")
 
 
-def _pairs(index: DataFrame, labels: DataFrame | None, join: Join) -> DataFrame:
+def _pairs(index: DataFrame, labels: DataFrame | None, pivots: tuple[int, int], join: Join) -> DataFrame:
     """Pairs a < b to compare, of sizes that can link.
 
-    At first all pairs of a small key, and a large key's pivot with the others. Afterwards, with ``labels`` (node
-    and component; nodes without a row are their own component), pairs of large keys that are still apart.
+    At first all pairs of a small key, and a large key's first set with the others. Afterwards, with ``labels``
+    (node and component; nodes without a row are their own component), further pivots of the large keys that
+    are still apart, with all sets of other components. Which sets are pivots in a round is told by a hash and
+    the size of the key; over all rounds every set is one.
     """
     large = index.where(F.col("members") >= join.frequent)
     if labels is None:
@@ -136,7 +141,9 @@ def _pairs(index: DataFrame, labels: DataFrame | None, join: Join) -> DataFrame:
         marked = large.join(labels, "node", "left").withColumn("component", F.coalesce("component", F.col("node")))
         apart = marked.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
         open_keys = marked.join(apart.select("key"), "key")
-        left = open_keys.where("searches").select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
+        turn = F.pmod(F.xxhash64(F.lit("turn"), "node"), F.lit(1 << 30)) / (1 << 30) * F.col("members")
+        chosen = open_keys.where(F.col("searches") & (turn >= pivots[0]) & (turn < pivots[1]))
+        left = chosen.select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
         right = open_keys.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
         met = left.join(right, "key").where("cx <> cy").select("x", "nx", "y", "ny")
     sized = 100 * F.least("nx", "ny") >= join.percent * F.greatest("nx", "ny")
@@ -214,8 +221,10 @@ def link_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
     prefixes = stored(prefixes.select("node", "n_shingles", "prefix").dropDuplicates(["node"]), "node-prefixes")
     index = index_keys(prefixes, join)
     labels, links, opened = None, [], []
-    for _ in range(2):
-        pairs = stored(_pairs(index, labels, join), "pairs")
+    for pivots in zip([0, *PIVOTS], PIVOTS):
+        pairs = stored(_pairs(index, labels, pivots, join), "pairs")
+        if labels is not None and pairs.isEmpty():
+            continue
         hopeful = stored(_not_rejected(pairs, prefixes, join), "hopeful-pairs")
         _open(hopeful, opened, docs, nodes, join)
         links.append(stored(_verified(hopeful, opened, join), "links"))
