@@ -19,10 +19,10 @@ rows; other columns are left out.
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +56,16 @@ BLOCK_LAYOUT = ("block bigint, doc_ids array<bigint>, held array<boolean>, lengt
                 "classes binary, words array<binary>, n_train array<bigint>")
 
 
+def squeezed(numbers: np.ndarray) -> bytes:
+    """Small non-negative numbers in few bytes: their four byte planes one after the other, deflated."""
+    return zlib.compress(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unsqueezed(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Blocks of texts as numbers into the block's own word list, with the training count of each word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,8 +78,8 @@ def packed(docs: DataFrame) -> DataFrame:
             flat = np.concatenate(tokens)
             train = np.repeat(~np.array(held), lengths)
             counts = np.bincount(flat[train], minlength=len(numbers))
-            classes = np.array([crc32(w) % CLASSES for w in numbers], "<u2")
-            values = [[number], [ids], [held], [lengths], [flat.astype("<i4").tobytes()], [classes.tobytes()], [list(numbers)], [counts.tolist()]]
+            classes = np.array([zlib.crc32(w) % CLASSES for w in numbers], "<u2")
+            values = [[number], [ids], [held], [lengths], [squeezed(flat)], [classes.tobytes()], [list(numbers)], [counts.tolist()]]
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, BLOCKS)], schema=BLOCKS)
 
         for batch in batches:
@@ -169,7 +179,7 @@ def _round(blocks: DataFrame, model: Model) -> Model:
         for batch in batches:
             for row in batch.to_pylist():
                 lengths, train = np.array(row["lengths"]), ~np.array(row["held"])
-                classes = np.frombuffer(row["classes"], "<u2")[np.frombuffer(row["tokens"], "<i4")]
+                classes = np.frombuffer(row["classes"], "<u2")[unsqueezed(row["tokens"])]
                 chosen = classes[np.repeat(train, lengths)]
                 if len(chosen):
                     emissions, moves, starts = _expected(current, chosen, lengths[train])
@@ -248,7 +258,7 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             for i in range(len(batch)):
                 row = batch.slice(i, 1)
                 lengths = np.array(row.column("lengths")[0].as_py())
-                tokens = np.frombuffer(row.column("tokens")[0].as_py(), "<i4")
+                tokens = unsqueezed(row.column("tokens")[0].as_py())
                 word_classes = np.frombuffer(row.column("classes")[0].as_py(), "<u2").astype(np.int32)
                 c = np.zeros(len(word_classes))
                 found = row.column("known")[0].values
