@@ -16,6 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tollgate.plans import registry, stages  # noqa: E402
 from tollgate.session import build_session  # noqa: E402
+from tollgate.sources.shared import remove_run_folder  # noqa: E402
 
 HEADLINE = [
     "b11_staged_table", "c08_enriched_table", "d_card_features_table", "d08_distinct_merchants_last_24h",
@@ -52,6 +53,7 @@ def main() -> None:
         "metric": "total_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf"),
     }))
+    remove_run_folder(spark)
     spark.stop()
 
 

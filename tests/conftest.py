@@ -6,6 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tollgate.session import build_session  # noqa: E402
+from tollgate.sources.shared import remove_run_folder  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -17,6 +18,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_run_folder(session)
     session.stop()
 
 

@@ -108,13 +108,13 @@ QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 def box_summary(df: DataFrame, value: str, by: str) -> DataFrame:
     """Box-plot numbers per group: quartiles, whiskers at 1.5 IQR, outlier count.
 
-    ``by`` takes few values, so the per-group quartiles are a broadcast of a few rows.
+    The per-group quartiles are one row per group; their measured size decides how they are joined.
     """
     counts = value_counts(df, value, [by])
     boxes = quantiles_of_counts(counts, QUARTILES, [by])
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
-    return counts.join(F.broadcast(boxes), by).groupBy(by).agg(
+    return counts.join(boxes, by).groupBy(by).agg(
         F.sum("rows").alias("rows"),
         F.min("value").alias("min"),
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
