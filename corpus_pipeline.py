@@ -12,6 +12,9 @@ from tollgate.llm import bpe_codec, jaccard_join, language_id, mixing, secrets
 from tollgate.llm.common import stored, table
 from tollgate.llm.queries import WORD_TOKENIZER
 
+#: Near duplicates of the pipeline: five-word shingles at 80 %. The four words and 85 % of op6 are that query's own.
+NEAR = jaccard_join.Join(shingle=5, percent=80)
+
 
 def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is rejected go: no text, no letters, or far from every language learned."""
@@ -20,7 +23,7 @@ def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents stays, the one with the smallest id."""
-    return jaccard_join.one_of_each(docs)
+    return jaccard_join.one_of_each(docs, NEAR)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -325,6 +325,23 @@ def test_join_of_no_rows_and_one_of_each(no_docs, odd_docs, odd_rows):
     assert ids[1] == 1 and not ids[2] and ids[4] == ids[5] == ids[7] == 1
 
 
+def test_near_duplicates_of_the_pipeline_are_five_words_at_80_percent(spark, sf_dir):
+    rnd = random.Random(4)
+    base = [f"w{i}" for i in range(500)]
+    footer = [f"f{i}" for i in range(100)]
+    scattered = list(base)
+    for k in range(11):
+        scattered[20 + 42 * k] = f"c{k}"
+    apart = list(base)
+    for k in range(14):
+        apart[20 + 33 * k] = f"d{k}"
+    texts = [(1, base), (2, base + footer), (3, scattered), (4, apart), (5, [rnd.choice(base) for _ in range(300)])]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts], "doc_id bigint, text string")
+    # Five-word Jaccard to the first: 0.832, 0.800, 0.75. By four words at 85 % all would stay.
+    kept = corpus_pipeline.near_duplicates(spark, docs, sf_dir)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 5]
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(60)]
     star = [(1000, 1000 + i) for i in range(1, 50)]
