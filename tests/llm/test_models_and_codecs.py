@@ -325,6 +325,18 @@ def test_join_of_no_rows_and_one_of_each(no_docs, odd_docs, odd_rows):
     assert ids[1] == 1 and not ids[2] and ids[4] == ids[5] == ids[7] == 1
 
 
+def test_one_row_of_each_group_whatever_its_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(1, a, "s"), (None, a, "s"), (None, a, "t"), (1, a, "s"), (1, a, "u"), (None, b, "s"), (None, b, "s"), (None, b + " more", "s"),
+            (2, c, "s"), (2, c, "s"), (2, d, "s"), (3, d, "s"), (None, None, "s"), (None, " ", "s"), (None, " ", "s"), (4, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)
+    kept = [(r.doc_id, r.text) for r in jaccard_join.one_of_each(docs).collect()]
+    with_words = sorted(((i, (t or "")[0]) for i, t in kept if (t or "").strip()), key=str)
+    assert with_words == [(1, "a"), (2, "c"), (2, "d"), (None, "b")]
+    assert sorted(map(str, (k for k in kept if not (k[1] or "").strip()))) == sorted(
+        map(str, [(None, None), (None, " "), (None, " "), (4, "")]))
+
+
 def test_near_duplicates_of_the_pipeline_are_five_words_at_80_percent(spark, sf_dir):
     rnd = random.Random(4)
     base = [f"w{i}" for i in range(500)]

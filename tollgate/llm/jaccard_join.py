@@ -33,7 +33,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import ascii_lower, shingles, stored, whole
+from tollgate.llm.common import SPACE, ascii_lower, shingles, stored, whole
 from tollgate.llm.components import connected_components
 
 SHINGLE = 4
@@ -238,12 +238,31 @@ def link_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, join: Join = Join()) -> DataFrame:
-    """The documents, one of each group: the one whose id names the component.
+    """The documents, exactly one row of each group: the one with the smallest id, a null id last, then the smallest key.
 
-    Texts without words stay, each; so do the rows of a component without any id, and rows that repeat the kept id.
+    A row's key is a 64-bit hash of all its columns, nulls marked; rows with equal keys are copies in every column, of
+    which any one stays. Texts without words stay, each.
     """
-    found = link_components(docs, join).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    key = F.xxhash64(*[part for c in docs.columns for part in (F.col(c), F.col(c).isNull())])
+    # Linked by row key instead of id, so that missing and repeated ids tell rows apart like any others.
+    linked = link_components(docs.select(key.alias("doc_id"), "text"), join).where("n_shingles > 0")
+    members = linked.select(F.col("doc_id").alias("key"), "component_id").distinct()
+    rows = docs.select(key.alias("key"), F.col("doc_id").alias("id")).groupBy("key").agg(
+        F.any_value("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key", "copies"))
+    found = members.join(rows, "key").groupBy("component_id").agg(first.alias("first"))
+    found = stored(found.select(F.col("first.key").alias("keep"), F.col("first.copies").alias("copies")), "kept-rows")
     # The row travels as one value, so its columns cannot clash with those added here.
-    boxed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("own"))
-    kept = boxed.join(found.select(F.col("doc_id").alias("keep")), F.col("own").eqNullSafe(F.col("keep")))
-    return kept.select("row.*")
+    has_words = whole("text").rlike(f"[^{SPACE[1:-2]}]")
+    boxed = docs.where(has_words).select(F.struct(*docs.columns).alias("row"), key.alias("own"))
+
+    def opened(keys: DataFrame) -> DataFrame:
+        return boxed.join(keys.select("keep"), F.col("own") == F.col("keep"))
+
+    kept = docs.where(~has_words).unionAll(opened(found.where("copies = 1")).select("row.*"))
+    repeated = found.where("copies > 1")
+    if not repeated.isEmpty():
+        # Stored before the grouping, so that a key with very many copies can be split in the join.
+        copies = stored(opened(repeated).select("own", "row"), "repeated-rows")
+        kept = kept.unionAll(copies.groupBy("own").agg(F.any_value("row").alias("row")).select("row.*"))
+    return kept
