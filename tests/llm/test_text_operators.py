@@ -118,6 +118,25 @@ def test_redaction(odd_docs, odd_rows, no_docs):
     assert got.count() == len(odd_rows) and secrets.redact(no_docs, secrets.new_ledger(no_docs)).count() == 0
 
 
+def test_redaction_takes_whole_private_keys(spark):
+    body = "\n".join("MIIEvQ+/" * 8 for _ in range(20)) + "\nAb0="
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0011AABB\n\n"
+    cases = {
+        f"see\n{begin}\n{body}\n{end}\nand so on": "see\n[SECRET]\nand so on",
+        f"{begin}\r\n{headers}{body}\n{end} x \U0001f600": "[SECRET] x \U0001f600",
+        f"a {begin}\n{body}\nSome words, then.": "a [SECRET]Some words, then.",
+        f"{begin}\n{headers}{body}": "[SECRET]",
+        f"{begin}\n{body}\n{begin}\n{body}\n{end}.": "[SECRET][SECRET].",
+        f"key: |\n  {begin}\n  " + body.replace("\n", "\n  "): "key: |\n  [SECRET]",
+        '{"k": "' + begin + "\\n" + body.replace("\n", "\\n") + '"}': '{"k": "[SECRET]"}',
+        f"a line {begin} starts a key.": "a line [SECRET] starts a key.",
+    }
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in secrets.redact(docs, secrets.new_ledger(docs)).collect()}
+    assert got == dict(enumerate(cases.values()))
+
+
 def shingles_of(text):
     found = words_of("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     return {tuple(found[i:i + 5]) for i in range(max(1, len(found) - 4))} if found else set()

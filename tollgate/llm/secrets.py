@@ -37,6 +37,16 @@ class Rule:
     begins: str
 
 
+#: A private key from its BEGIN line through its END line; no other line of five dashes may be between them. Without an END line:
+#: headers and base64 lines up to the end of the last one, or, where the lines are indented, joined by spaces or escaped,
+#: base64 characters and what joins them. The header alone where no key follows.
+PEM = (
+    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:"
+    r"[^-]*(?:-{1,4}[^-]+){0,16}-----END [A-Z ]{0,40}PRIVATE KEY-----"
+    r"|(?:[\r\n]+[A-Za-z-]+:\x20[^\r\n]*){0,9}[\r\n]+[A-Za-z0-9+/=][A-Za-z0-9+/=\r\n]*(?:[\r\n]|\z)"
+    r"|(?:[\x20\t\r\n]|\\[rnt])+[A-Za-z0-9+/=]{20}[A-Za-z0-9+/=\\\x20\t\r\n]*"
+    r"|)"
+)
 #: Kinds in the order in which equal starts are listed; the first three are the base rules.
 RULES = [
     Rule("assign", 1,
@@ -44,7 +54,7 @@ RULES = [
          r"""|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8, ""),
     Rule("access", 1, r"AKIA[A-Z0-9]+", 0, 16, "AKIA"),
     Rule("hex", 1, r"[0-9a-f]+", 0, 32, ""),
-    Rule("pem", 1, r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 27, "PRIVATE KEY"),
+    Rule("pem", 2, PEM, 0, 27, "PRIVATE KEY"),
     Rule("hosted", 1, r"(?:gh[pousr]_|glpat-|xox[abprs]-)[A-Za-z0-9_-]{16,}", 0, 20, ""),
 ]
 BASE = ["assign", "access", "hex"]
