@@ -118,6 +118,25 @@ def test_language_of_odd_rows(odd_docs, odd_rows, no_docs):
     assert language_id.accepted(clash).columns == clash.columns
 
 
+def test_unlearned_languages_and_garbage_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rnd = random.Random(6)
+    odd = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler. " * 3,
+        "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz   ") for _ in range(3000)),
+        "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(1000)),
+    ]
+    clean = [
+        "Good morning.", "The people of the town went to the market in the morning.", "Le chat dort sur la table de la cuisine.",
+        "Die Kinder gehen in die Schule und der Vater geht in das Büro.", "Los niños van a la escuela por la mañana.", "ok",
+    ]
+    more = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(odd + clean)], docs.schema)
+    rows = {r.doc_id: r.rejected for r in language_id.identify(docs.unionAll(more)).collect()}
+    assert [rows[-1 - i] for i in range(len(odd + clean))] == [True] * len(odd) + [False] * len(clean)
+    assert sum(r for i, r in rows.items() if i >= 0) <= 0.02 * len(rows)
+
+
 def tokens_of(text):
     return [*(text or "").encode().lower().split(), b""]
 
