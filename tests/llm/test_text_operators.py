@@ -205,6 +205,17 @@ def test_mix_reaches_its_targets(request, table):
     assert again == {(r.doc_id, r.size, r.taken) for r in got}
 
 
+def test_repeated_rows_are_documents_each(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 4)
+    rows = [(None, None, "a")] * 9 + [(1, "", "a")] * 2 + [(1, "x y z", "a")] * 3 + [(None, "x y", None)] * 13 + [(2, "q " * 300, "b")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)
+    got = mixing.words_taken(docs).collect()
+    want = Counter((i, len(words_of(t))) for i, t, _ in rows)
+    assert Counter((r.doc_id, r.size) for r in got) == want
+    starts = [(r.source, r.start + k) for r in mixing.placed_documents(docs).collect() for k in range(r.size)]
+    assert len(starts) == len(set(starts)) == sum(len(words_of(t)) for _, t, _ in rows)
+
+
 def test_blocks_are_full_and_permutations_are_bijections(spark, documents):
     slots = mixing.mix(documents).where("shard is not null").groupBy("shard", "slot").agg(F.sum("words_used").alias("n")).collect()
     sources = documents.select("source").distinct().count()

@@ -78,12 +78,26 @@ def source_targets(sizes: DataFrame, weights: list[float] = WEIGHTS, most: float
 def placed_documents(docs: DataFrame) -> DataFrame:
     """doc_id, source, size in words, and the place of the first word in the source's stream.
 
-    The order of a stream is a fixed shuffle of its documents.
+    The order of a stream is a fixed shuffle of its documents. Copies in doc_id, source and text are placed as one and
+    unfolded, one behind the other; so copies without words have one start.
     """
     sized = docs.select(
         "doc_id", "source", F.size(words(whole("text"))).cast("bigint").alias("size"), F.xxhash64("text").alias("_text"))
-    sized = stored(sized, "sizes")
-    return running_start(sized, ["source"], "size", ["doc_id", "_text"], "start").drop("_text")
+    counted = stored(sized.groupBy("doc_id", "source", "size", "_text").agg(F.count(F.lit(1)).alias("_n")), "sizes")
+    all_words = counted.withColumn("_words", F.col("size") * F.col("_n"))
+    placed = stored(running_start(all_words, ["source"], "_words", ["doc_id", "_text"], "_first"), "copies")
+
+    def unfolded(rows: DataFrame, first: Column, last: Column) -> DataFrame:
+        each = rows.withColumn("_k", F.explode(F.sequence(first, last)))
+        return each.select("doc_id", "source", "size", (F.col("_first") + F.col("_k") * F.col("size")).alias("start"))
+
+    # Many copies are unfolded in chunks, so that no task unfolds a third of all rows.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    few, many = placed.where(F.col("_n") <= CHUNK), placed.where(F.col("_n") > CHUNK)
+    chunks = many.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(CHUNK).cast("bigint"))))
+    spread = chunks.repartition(tasks, "doc_id", "source", "_text", "_chunk")
+    return unfolded(few, F.lit(0).cast("bigint"), F.col("_n") - 1).unionAll(
+        unfolded(spread, F.col("_chunk"), F.least(F.col("_chunk") + CHUNK, F.col("_n")) - 1))
 
 
 def source_plan(placed: DataFrame, block: int = BLOCK, weights: list[float] = WEIGHTS, most: float = MOST) -> DataFrame:
@@ -159,10 +173,16 @@ def mix(docs: DataFrame, block: int = BLOCK, weights: list[float] = WEIGHTS, mos
     ``words_used`` words of the document from ``first_word`` on (0-based) go to that slot, in the order of ``in_block``.
     """
     placed = stored(placed_documents(docs), "placed")
-    plan = stored(source_plan(placed, block, weights, most), "plan")
+    return _mixed(placed, stored(source_plan(placed, block, weights, most), "plan"), block, per_shard)
+
+
+def _beside_plan(placed: DataFrame, plan: DataFrame) -> DataFrame:
     facts = plan.select(F.col("source").alias("_source"), "rank", "source_size", "target")
-    ranked = placed.join(facts, placed["source"].eqNullSafe(facts["_source"])).drop("_source")
-    parts = block_parts(ranked, block)
+    return placed.join(facts, placed["source"].eqNullSafe(facts["_source"])).drop("_source")
+
+
+def _mixed(placed: DataFrame, plan: DataFrame, block: int, per_shard: int) -> DataFrame:
+    parts = block_parts(_beside_plan(placed, plan), block)
     # There are as many slots as blocks; the optimizer sees only the few rows they are unfolded from.
     joined = parts.join(slots(plan, block, per_shard).hint("merge"), ["rank", "block"], "left")
     used = F.when(F.col("used") > F.col("_in_block"), F.least(F.col("n_words"), F.col("used") - F.col("_in_block")))
@@ -173,9 +193,14 @@ def mix(docs: DataFrame, block: int = BLOCK, weights: list[float] = WEIGHTS, mos
 
 def words_taken(docs: DataFrame) -> DataFrame:
     """Per document: size, its source's size and target, and the words that the mix takes."""
-    return mix(docs).groupBy("doc_id", "source", "size", "start", "source_size", "target").agg(
-        F.sum("words_used").alias("taken")
-    ).select("doc_id", "size", "source_size", "target", "taken")
+    placed = stored(placed_documents(docs), "placed")
+    plan = stored(source_plan(placed), "plan")
+    mixed = _mixed(placed.where("size > 0"), plan, BLOCK, SLOTS_PER_SHARD)
+    taken = mixed.groupBy("doc_id", "source", "size", "start", "source_size", "target").agg(F.sum("words_used").alias("taken"))
+    # Copies without words have equal starts; no grouping may fold them.
+    wordless = _beside_plan(placed.where("size = 0"), plan).withColumn("taken", F.lit(0).cast("bigint"))
+    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    return taken.select(*columns).unionAll(wordless.select(*columns))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
