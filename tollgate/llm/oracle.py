@@ -63,4 +63,32 @@ SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER
 FROM d LEFT JOIN named ON d.doc_id = named.doc_id GROUP BY d.doc_id
 """
 
-SQL = {"op6_jaccard_join": JACCARD, "op7_warc_archive": WARC, "op9_secret_scan": SECRETS}
+TRIE = """
+WITH bits AS (SELECT range(0, 8) AS eight), ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL), sums AS (
+  SELECT conv_id, CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+    lambda s, c: list_reduce(list_prepend(xor(s, c), CAST(eight AS BIGINT[])), lambda x, b: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 9 AS BIGINT) AS h
+  FROM ids, bits
+), t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos,
+    coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), kinds AS (SELECT role, text, row_number() OVER (ORDER BY role, text) AS kind, strlen(text) AS bytes FROM (SELECT DISTINCT role, text FROM t)),
+own AS (
+  SELECT s.conv_id, s.h, coalesce(list(k.kind ORDER BY t.pos), []) AS kinds FROM sums s JOIN t USING (conv_id) JOIN kinds k USING (role, text) GROUP BY ALL
+), rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(b.kinds, [])[1:o.h], o.kinds[o.h + 1:]) AS p FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5
+), nodes AS (
+  SELECT p[1:d] AS node, d, min(conv_id) AS conv_id, count(*) AS n, coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(p) = d), '') AS ends
+  FROM (SELECT conv_id, p, unnest(range(0, len(p) + 1)) AS d FROM rebuilt) GROUP BY ALL
+), sized AS (
+  SELECT n.*, n.node[1:d - 1] AS up, coalesce(k.bytes, 0) AS bytes FROM nodes n LEFT JOIN kinds k ON k.kind = n.node[d]
+), kids AS (SELECT up, count(*) AS c FROM sized WHERE d > 0 GROUP BY up), below AS (
+  SELECT node[1:a] AS node, sum((n - 1) * bytes) AS saved, count(*) FILTER (kids.up IS NULL) AS leaves
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM sized) s LEFT JOIN kids ON kids.up = s.node GROUP BY ALL
+)
+SELECT s.conv_id, CAST(s.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(s.n AS BIGINT) AS n_convs, CAST(coalesce(kids.c, 0) AS BIGINT) AS n_children,
+  CAST(b.leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, sha256(s.ends) AS ends_sha256
+FROM sized s JOIN below b ON b.node = s.node LEFT JOIN sized p ON p.node = s.up AND s.d > 0 LEFT JOIN kids ON kids.up = s.node
+"""
+
+SQL = {"op11_prefix_trie": TRIE, "op6_jaccard_join": JACCARD, "op7_warc_archive": WARC, "op9_secret_scan": SECRETS}

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm import (
-    bpe_codec, fingerprint, hmm, jaccard_join, language_id, mixing, oracle, quality, secrets, token_counts, warc,
+    bpe_codec, fingerprint, hmm, jaccard_join, language_id, mixing, oracle, piece_codec, prefix_trie, quality, runs, secrets,
+    token_counts, warc,
 )
 from tollgate.llm.common import table
 
@@ -68,10 +69,34 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_edited(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.build_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(table(spark, sf_dir, "documents"), planted=True)
+    best = runs.longest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), "collapsed_sha256")
+
+
+def op13_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path(PIECE_TOKENIZER)
+    encoded = piece_codec.encode_documents(table(spark, sf_dir, "documents"), model)
+    return piece_codec.decode_documents(encoded, model).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_source_mixing, op2_quality_rules, op3_hidden_markov_model, op4_bpe_round_trip, op5_language_id,
-        op6_jaccard_join, op7_warc_archive, op8_token_counts, op9_secret_scan, op10_fingerprints)
+        op6_jaccard_join, op7_warc_archive, op8_token_counts, op9_secret_scan, op10_fingerprints,
+        op11_prefix_trie, op12_periodic_runs, op13_piece_round_trip)
 }
 
 
