@@ -7,7 +7,7 @@ when none is left. Where a merge opens a pair that is better than the one merged
 segment wait for the next round, so every vocabulary gives exactly the order of one merge at a time.
 
 Short words that were encoded lately are remembered, ``REMEMBERED`` at most. A task holds one Arrow batch, the remembered words and
-the arrays of the batch's new words. The vocabulary is broadcast; its size is that of the model file.
+the words and arrays of about ``GROUP_CHARS`` characters of text, or of one longer text. The vocabulary is broadcast; its size is that of the model file.
 
 Defined cases: null is the empty text; an empty text has no ids and decodes to the empty text; very long texts and unbroken words are
 encoded whole; repeated rows are encoded each; an empty table gives no rows; columns other than doc_id and text (of ids: doc_id and
@@ -29,7 +29,7 @@ MARK = "▁"
 REMEMBERED = 1 << 18
 #: Longer words are not remembered.
 LONG_WORD = 64
-#: New words are merged in groups of about so many characters; a longer word is a group of its own.
+#: Texts are cut, and new words merged, in groups of about so many characters; what is longer is a group of its own.
 GROUP_CHARS = 1 << 20
 NO_PAIR = np.iinfo(np.int32).max
 FOREIGN = -1
@@ -210,7 +210,7 @@ class Encoder(dict):
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.words(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        new = self._learn(list({w for words in cut for w in words} - self.keys()))
+        new = self._learn([w for w in set().union(*cut) if w not in self])
         if len(self) + len(new) > REMEMBERED:
             kept = {w: self[w] for words in cut for w in words if w in self}
             self.clear()
@@ -266,6 +266,17 @@ class Decoder:
         return text[1:] if lead is not None and self.v.leads[lead] else text
 
 
+def _groups(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """The texts of a batch in groups, each with the place of its first."""
+    first, group, chars = 0, [], 0
+    for i, text in enumerate(texts):
+        group.append(text.as_py())
+        chars += len(group[-1])
+        if chars >= GROUP_CHARS or i + 1 == len(texts):
+            yield first, group
+            first, group, chars = i + 1, [], 0
+
+
 def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
     """doc_id and ids (array of int) of every whole text, without begin or end ids."""
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary(model_path))
@@ -273,23 +284,26 @@ def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary.value)
         for batch in batches:
-            found = encoder.encode(batch.column("text").to_pylist())
-            starts = np.cumsum([0, *map(len, found)], dtype=np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(starts), pa.array(np.concatenate([np.zeros(0, np.int32), *found])))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
+            for first, texts in _groups(batch.column("text")):
+                found = encoder.encode(texts)
+                starts = np.cumsum([0, *map(len, found)], dtype=np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(starts), pa.array(np.concatenate(found)))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, len(texts)), ids], ["doc_id", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", whole("text").alias("text")).mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, model_path: str) -> DataFrame:
-    """doc_id, ids and text of every list of ids; null is the empty list."""
+    """doc_id, ids and text of every list of ids; null is the empty list and gives the empty text."""
     vocabulary = encoded.sparkSession.sparkContext.broadcast(Vocabulary(model_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(vocabulary.value)
         for batch in batches:
-            texts = [decoder.decode(ids.as_py() or []) for ids in batch.column("ids")]
+            lists = batch.column("ids")
+            flat, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_pylist()
+            texts = [decoder.decode(flat[a:b].tolist()) for a, b in zip(offsets, offsets[1:])]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
