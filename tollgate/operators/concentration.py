@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.operators.ranking import global_positions
+from tollgate.operators.ranking import unique_positions
 
 PARETO_PCT = 80
 
@@ -21,7 +21,7 @@ def merchant_totals(df: DataFrame) -> DataFrame:
 
 def pareto(df: DataFrame) -> DataFrame:
     """Merchants by falling fraud count with rank (from 1) and cumulative share of all fraud."""
-    ranked = global_positions(merchant_totals(df), "total_fraud_txns", "merchant_id_clean")
+    ranked = unique_positions(merchant_totals(df), "total_fraud_txns", "merchant_id_clean")
     share = F.col("running_key") / F.nullif(F.col("total_key"), F.lit(0)) * 100
     return ranked.select(
         "merchant_id_clean", "total_txns", "total_fraud_txns", "fraud_rate",

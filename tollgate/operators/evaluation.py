@@ -87,17 +87,16 @@ def classification_report(df: DataFrame, threshold: float = THRESHOLD) -> DataFr
 
 
 def score_steps(df: DataFrame) -> DataFrame:
-    """Per distinct score, highest first: own and cumulative fraud and non-fraud rows."""
+    """Per distinct score, highest first: own, next and cumulative fraud and non-fraud rows."""
     per_score = labelled(df).groupBy("risk_score").agg(
         F.count_if(F.col("is_fraud")).alias("pos"), F.count_if(~F.col("is_fraud")).alias("neg")
     )
     steps = ranking.running_totals(
-        per_score.withColumn("one", F.lit(1).cast("bigint")), "risk_score", ["pos", "neg", "one"], descending=True
-    )
+        per_score, "risk_score", ["pos", "neg"], descending=True, following=["pos", "neg"])
     return steps.select(
-        F.col("risk_score").alias("threshold"), "pos", "neg", F.col("before_one").alias("step"),
-        "before_pos", (F.col("before_pos") + F.col("pos")).alias("tp"),
-        (F.col("before_neg") + F.col("neg")).alias("fp"),
+        F.col("risk_score").alias("threshold"), "pos", "neg", "next_pos", "next_neg", "before_pos",
+        (F.col("before_pos") + F.col("before_neg") == 0).alias("highest"),
+        (F.col("before_pos") + F.col("pos")).alias("tp"), (F.col("before_neg") + F.col("neg")).alias("fp"),
         "total_pos", "total_neg",
     )
 
@@ -116,25 +115,21 @@ def roc_curve(df: DataFrame, drop_intermediate: bool = True) -> DataFrame:
     """
     steps = score_steps(df)
     if drop_intermediate:
-        following = steps.select(
-            (F.col("step") - 1).alias("step"), F.col("pos").alias("next_pos"), F.col("neg").alias("next_neg")
-        )
         bends = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
-        ends = (F.col("step") == 0) | F.col("next_pos").isNull()
-        steps = steps.join(following, "step", "left").where(ends | bends)
+        steps = steps.where(F.col("highest") | F.col("next_pos").isNull() | bends)
     origin = F.struct(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     point = F.struct(
         "threshold", _ratio(F.col("fp"), F.col("total_neg")).alias("fpr"),
         _ratio(F.col("tp"), F.col("total_pos")).alias("tpr"),
     )
-    points = F.when(F.col("step") == 0, F.array(origin, point)).otherwise(F.array(point))
+    points = F.when(F.col("highest"), F.array(origin, point)).otherwise(F.array(point))
     return steps.select(F.inline(points)).orderBy(F.desc("threshold"))
 
 
 def precision_recall_points(df: DataFrame) -> DataFrame:
     precision = _ratio(F.col("tp"), F.col("tp") + F.col("fp"))
     recall = _ratio(F.col("tp"), F.col("total_pos"))
-    return score_steps(df).select("threshold", precision.alias("precision"), recall.alias("recall"), "step")
+    return score_steps(df).select("threshold", precision.alias("precision"), recall.alias("recall"), "highest")
 
 
 def precision_recall_curve(df: DataFrame) -> DataFrame:
@@ -142,7 +137,7 @@ def precision_recall_curve(df: DataFrame) -> DataFrame:
     closing = F.struct(F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"),
                        F.lit(0.0).alias("recall"))
     point = F.struct("threshold", "precision", "recall")
-    points = F.when(F.col("step") == 0, F.array(point, closing)).otherwise(F.array(point))
+    points = F.when(F.col("highest"), F.array(point, closing)).otherwise(F.array(point))
     return precision_recall_points(df).select(F.inline(points)).orderBy(F.asc_nulls_last("threshold"))
 
 
