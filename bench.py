@@ -43,7 +43,7 @@ def main() -> None:
         action()
         seconds[name] = round(time.perf_counter() - start, 3)
 
-    for stage in ("enriched", "features", "risk"):
+    for stage in ("enriched", "features", "risk", "ledger"):
         timed(f"store_{stage}", lambda: stages.stage_table(spark, sf_dir, stage))
     timed("j05_fit_ensemble", lambda: registry.fitted(spark, sf_dir))
     for name in HEADLINE:

@@ -1,4 +1,7 @@
 import itertools
+import math
+import time
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -188,7 +191,7 @@ def test_shapley_values_against_all_orders():
         return share * expected(x, known, left) + (1 - share) * expected(x, known, right)
 
     rows = np.array([[0.2, 1.0], [0.8, 1.0], [0.8, 3.0]])
-    got = forest_shap.shapley_values(forest_shap.subset_expectations([tree], rows), 2)
+    got = forest_shap.path_shapley([tree], rows)
     for x, values in zip(rows, got):
         want = np.zeros(2)
         for order in itertools.permutations(range(2)):
@@ -198,6 +201,123 @@ def test_shapley_values_against_all_orders():
         assert values[0] == pytest.approx(expected(x, set())) and list(values[1:]) == pytest.approx(list(want))
 
 
+def subset_shapley(trees, rows):
+    """Base and Shapley values from the expectations of all subsets of known features."""
+    features = rows.shape[1]
+
+    def expected(tree, known, node=0):
+        if tree["left"][node] < 0:
+            return np.full(len(rows), tree["value"][node])
+        left, right, feature = tree["left"][node], tree["right"][node], tree["feature"][node]
+        a, b = expected(tree, known, left), expected(tree, known, right)
+        if known >> feature & 1:
+            return np.where(rows[:, feature] <= tree["threshold"][node], a, b)
+        share = tree["weight"][left] / tree["weight"][node]
+        return share * a + (1 - share) * b
+
+    means = [sum(expected(tree, known) for tree in trees) / len(trees) for known in range(2 ** features)]
+    result = np.zeros((len(rows), features + 1))
+    result[:, 0] = means[0]
+    for i in range(features):
+        for known in range(2 ** features):
+            if not known >> i & 1:
+                size = bin(known).count("1")
+                share = math.factorial(size) * math.factorial(features - size - 1) / math.factorial(features)
+                result[:, i + 1] += share * (means[known | 1 << i] - means[known])
+    return result
+
+
+def random_tree(rnd, features, depth):
+    """Splits on any feature, also twice on one path."""
+    tree = {name: [] for name in ("left", "right", "feature", "threshold", "weight", "value")}
+
+    def grow(level, weight):
+        place = len(tree["left"])
+        for name, value in (("left", -1), ("right", -1), ("feature", -1), ("threshold", 0.0), ("weight", weight), ("value", rnd.random())):
+            tree[name].append(value)
+        if level and (level == depth or rnd.random() < 0.9):
+            share = rnd.uniform(0.1, 0.9)
+            tree["feature"][place], tree["threshold"][place] = int(rnd.integers(features)), rnd.random()
+            tree["left"][place] = grow(level - 1, weight * share)
+            tree["right"][place] = grow(level - 1, weight * (1 - share))
+        return place
+
+    grow(depth, 1000.0)
+    return {name: np.asarray(values) for name, values in tree.items()}
+
+
+def test_shapley_values_by_paths_equal_those_by_subsets(fitted):
+    from tollgate.operators.forest import as_arrays
+
+    rnd = np.random.default_rng(1)
+    rows = np.column_stack([rnd.integers(0, 23, 40), rnd.integers(0, 4, 40), rnd.random(40), rnd.integers(0, 2, 40), rnd.integers(0, 2, 40)]).astype(float)
+    trees = as_arrays(fitted.trees[:10])
+    assert np.abs(forest_shap.path_shapley(trees, rows) - subset_shapley(trees, rows)).max() < 1e-9
+    for features in (1, 3, 7):
+        trees = [random_tree(rnd, features, 6) for _ in range(4)]
+        rows = rnd.random((30, features))
+        assert np.abs(forest_shap.path_shapley(trees, rows) - subset_shapley(trees, rows)).max() < 1e-9
+
+
+def test_shapley_values_of_fifteen_features():
+    from tollgate.operators.forest import forest_output
+
+    rnd = np.random.default_rng(2)
+    trees, rows = [random_tree(rnd, 15, 9) for _ in range(20)], rnd.random((500, 15))
+    start = time.perf_counter()
+    got = forest_shap.path_shapley(trees, rows)
+    assert time.perf_counter() - start < 10
+    assert np.abs(got.sum(axis=1) - forest_output(trees, rows)).max() < 1e-9
+
+
+def test_scores_by_interval_equal_scores_by_row(spark, table, fitted):
+    from tollgate.operators.forest import add_forest_score, forest_score
+
+    filled = model.impute(table, MODEL_FEATURES).withColumn("_keep", F.lit(1))
+    both = add_forest_score(filled, fitted.trees, MODEL_FEATURES, "mine").withColumn("theirs", forest_score(spark, fitted.trees, MODEL_FEATURES))
+    assert both.columns == [*filled.columns, "mine", "theirs"] and both.count() == 3000
+    assert both.select(F.max(F.abs(F.col("mine") - F.col("theirs")))).first()[0] < 1e-12
+
+
+def test_no_small_node_is_split(table, fitted):
+    """The library's own forest splits small nodes; ours does not, and answers like it elsewhere."""
+    from tollgate.operators.forest import fold_small_nodes, rows_per_node
+
+    known = model.training_rows(table, MODEL_FEATURES)
+    assert all(r["small_splits"] == 0 and r["adds_up"] and r["root_rows"] == known.count() for r in model.node_report(table, fitted).collect())
+    counts = rows_per_node(known, fitted.trees, MODEL_FEATURES)
+    values = known.toPandas()
+    tree = fitted.trees[0]
+    reach = {0: np.ones(len(values), bool)}
+    for node, left in enumerate(tree["left"]):
+        assert reach[node].sum() == counts[0][node]
+        if left >= 0:
+            goes_left = values[MODEL_FEATURES[tree["feature"][node]]].to_numpy(float) <= tree["threshold"][node]
+            reach[left], reach[tree["right"][node]] = reach[node] & goes_left, reach[node] & ~goes_left
+    folded = fold_small_nodes(fitted.trees, counts, 10**9)
+    assert all(t["left"] == [-1] and t["value"] == tree["value"][:1] for t, tree in zip(folded, fitted.trees))
+    assert fold_small_nodes(fitted.trees, counts, 0) == fitted.trees
+
+
+def test_importances_equal_the_library(table, tmp_path):
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    from tollgate.operators.forest import importances_of, trees_of
+
+    inputs = VectorAssembler(inputCols=MODEL_FEATURES, outputCol="inputs").transform(model.training_rows(table, MODEL_FEATURES))
+    forest = RandomForestClassifier(featuresCol="inputs", labelCol="label", numTrees=7, seed=3).fit(inputs)
+    got = importances_of(trees_of(table.sparkSession, forest), len(MODEL_FEATURES))
+    assert got == pytest.approx(list(forest.featureImportances.toArray()), abs=1e-9)
+
+
+def test_regression_is_at_its_minimum(table, fitted):
+    slopes = {r["feature"]: r["slope"] for r in model.regression_gradient(table, fitted).collect()}
+    assert set(slopes) == {"(intercept)", *MODEL_FEATURES} and max(map(abs, slopes.values())) < 1e-6
+    moved = replace(fitted, intercept=fitted.intercept + 0.01)
+    assert max(abs(r["slope"]) for r in model.regression_gradient(table, moved).collect()) > 1e-4
+
+
 def test_texts(table, fitted):
     row = table.where("txn_id_clean = 't0'")
     shap = model_texts.explain_by_contributions(row, fitted).first()["explanations"]

@@ -90,3 +90,116 @@ def thresholds_of(trees: list[Tree], features: int) -> list[list[float]]:
             if left >= 0:
                 found[feature].add(threshold)
     return [sorted(values) for values in found]
+
+
+def interval_columns(values: list[Column], limits: list[list[float]]) -> dict[str, Column]:
+    """Per value the number of thresholds below it, which is all that the forest sees of it."""
+    return {
+        f"_v{i}": sum((F.when(value > limit, 1).otherwise(0) for limit in limits[i]), F.lit(0))
+        for i, value in enumerate(values)
+    }
+
+
+def interval_values(part: pd.DataFrame, limits: list[list[float]]) -> np.ndarray:
+    """A value for every interval number: its upper end, or one beyond the last threshold."""
+    return np.column_stack([
+        np.append(edge, (edge[-1] if edge else 0.0) + 1.0)[part[f"_v{i}"].to_numpy()] for i, edge in enumerate(limits)])
+
+
+def many_tasks(spark: SparkSession) -> int:
+    """Combinations of intervals are few but costly: they are spread by count, not by bytes."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def add_forest_score(df: DataFrame, trees: list[Tree], inputs: list[str], name: str) -> DataFrame:
+    """Add the forest's fraud probability; the trees are walked once per combination of intervals.
+
+    Rows share their combination with many others: with at most 31 thresholds per number and one per flag there are at
+    most 32^3 x 2^2 combinations however large the table is, so what is joined back is small and its
+    measured size decides how.
+    """
+    spark = df.sparkSession
+    limits = thresholds_of(trees, len(inputs))
+    shared = spark.sparkContext.broadcast((trees, limits))
+    intervals = interval_columns([F.col(c) for c in inputs], limits)
+    keyed = df.withColumns(intervals)
+
+    def output(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        trees, edges = shared.value
+        arrays = as_arrays(trees)
+        for part in batches:
+            yield part.assign(**{name: forest_output(arrays, interval_values(part, edges))})
+
+    layout = ", ".join([*[f"{v} int" for v in intervals], f"{name} double"])
+    outputs = keyed.select(*intervals).distinct().repartition(many_tasks(spark)).mapInPandas(output, layout)
+    return keyed.join(outputs, list(intervals), "left").drop(*intervals)
+
+
+def rows_per_node(df: DataFrame, trees: list[Tree], inputs: list[str]) -> list[list[int]]:
+    """Rows of ``df`` that pass each node of each tree, from one reading.
+
+    Equal combinations of intervals are added up first; what is collected has the size of the forest.
+    """
+    spark = df.sparkSession
+    limits = thresholds_of(trees, len(inputs))
+    shared = spark.sparkContext.broadcast((trees, limits))
+    intervals = interval_columns([F.col(c) for c in inputs], limits)
+    counted = df.select(*[value.alias(v) for v, value in intervals.items()]).groupBy(*intervals).agg(F.count(F.lit(1)).alias("rows"))
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        trees, edges = shared.value
+        arrays = as_arrays(trees)
+        totals = [np.zeros(len(tree["left"]), np.int64) for tree in arrays]
+        for part in batches:
+            values, weight = interval_values(part, edges), part["rows"].to_numpy()
+            everyone = np.arange(len(part))
+            for tree, total in zip(arrays, totals):
+                at, here = np.zeros(len(part), np.int64), everyone
+                np.add.at(total, at, weight)
+                while len(here := here[tree["left"][at[here]] >= 0]):
+                    node = at[here]
+                    goes_left = values[here, tree["feature"][node]] <= tree["threshold"][node]
+                    at[here] = np.where(goes_left, tree["left"][node], tree["right"][node])
+                    np.add.at(total, at[here], weight[here])
+        yield pd.concat([
+            pd.DataFrame({"tree": k, "node": np.flatnonzero(total), "rows": total[total > 0]}) for k, total in enumerate(totals)])
+
+    counts = [[0] * len(tree["left"]) for tree in trees]
+    walked = counted.repartition(many_tasks(spark)).mapInPandas(walk, "tree int, node int, rows bigint")
+    for r in walked.groupBy("tree", "node").agg(F.sum("rows").alias("rows")).collect():
+        counts[r["tree"]][r["node"]] = r["rows"]
+    return counts
+
+
+def fold_small_nodes(trees: list[Tree], counts: list[list[int]], least: int) -> list[Tree]:
+    """The trees without splits of nodes that fewer than ``least`` rows reach; such a node answers itself."""
+    folded = []
+    for tree, rows in zip(trees, counts):
+        kept: Tree = {name: [] for name in tree}
+        waiting = [(0, None, None)]  # node, the place of its parent, the side
+        while waiting:
+            node, parent, side = waiting.pop()
+            place = len(kept["left"])
+            if parent is not None:
+                kept[side][parent] = place
+            for name in tree:
+                kept[name].append(tree[name][node])
+            if tree["left"][node] >= 0 and rows[node] >= least:
+                waiting += [(tree["right"][node], place, "right"), (tree["left"][node], place, "left")]
+            else:
+                kept["left"][place] = kept["right"][place] = -1
+        folded.append(kept)
+    return folded
+
+
+def importances_of(trees: list[Tree], features: int) -> list[float]:
+    """Share of each feature in the impurity that splits take away, each tree counted alike."""
+    total = np.zeros(features)
+    for tree in as_arrays(trees):
+        inner = np.flatnonzero(tree["left"] >= 0)
+        impurity = tree["weight"] * 2 * tree["value"] * (1 - tree["value"])
+        gain = np.zeros(features)
+        np.add.at(gain, tree["feature"][inner], impurity[inner] - impurity[tree["left"][inner]] - impurity[tree["right"][inner]])
+        if gain.sum() > 0:
+            total += gain / gain.sum()
+    return (total / total.sum() if total.sum() > 0 else total).tolist()

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tollgate.operators.forest import Tree, forest_score, trees_of
+from tollgate.operators.forest import Tree, add_forest_score, fold_small_nodes, importances_of, rows_per_node, trees_of
 from tollgate.operators.ranking import exact_quantiles
 from tollgate.operators.rules import score_by_rules, with_band
 from tollgate.schemas import MODEL_FEATURES
@@ -27,6 +27,7 @@ from tollgate.sources.shared import path_exists, remove_folder, shared_folder, w
 MODEL_VERSION = "1.0"
 ENSEMBLE_WEIGHTS = {"lr": 0.5, "rf": 0.5}
 LR_ITERATIONS = 1000
+LR_TOLERANCE = 1e-12
 RF_TREES = 100
 RF_DEPTH = 10
 RF_MIN_SPLIT = 50
@@ -99,13 +100,22 @@ def standardise(df: DataFrame, features: list[str], means: list[float], deviatio
     })
 
 
+def training_rows(df: DataFrame, features: list[str]) -> DataFrame:
+    """Labelled rows with imputed features and the label as a number."""
+    return impute(df, features).where(F.col("is_fraud").isNotNull()).select(
+        "txn_id_clean", *features, F.col("is_fraud").cast("double").alias("label"))
+
+
+def class_weight(rows: int, fraud: float) -> Column:
+    """Both classes get half of the total weight, which is the number of rows."""
+    return F.when(F.col("label") == 1, rows / (2 * fraud)).otherwise(rows / (2 * (rows - fraud)))
+
+
 def fit(df: DataFrame, with_forest: bool = True, seed: int = SEED, trees: int = RF_TREES) -> ScoringModel:
     """Train on the labelled rows of ``df``; both classes get equal total weight."""
     spark = df.sparkSession
     features = available_features(df)
-    numbers = impute(df, features).where(F.col("is_fraud").isNotNull()).select(
-        "txn_id_clean", *features, F.col("is_fraud").cast("double").alias("label")
-    )
+    numbers = training_rows(df, features)
     # Training passes over these rows many times: a written table survives a lost executor.
     folder = f"{shared_folder(spark)}/training-{uuid4().hex}"
     numbers = write_and_read(numbers.repartition(FIT_PARTS, *numbers.columns), folder)
@@ -118,22 +128,23 @@ def fit(df: DataFrame, with_forest: bool = True, seed: int = SEED, trees: int =
         raise ValueError(f"training needs labelled rows of both classes; found {fraud:.0f} fraud rows of {rows}")
     means = [facts[f"{c}_mean"] for c in features]
     deviations = [facts[f"{c}_std"] for c in features]
-    weight = F.when(F.col("label") == 1, rows / (2 * fraud)).otherwise(rows / (2 * (rows - fraud)))
     z_names = [f"z_{c}" for c in features]
-    training = standardise(numbers, features, means, deviations).withColumn("weight", weight)
+    training = standardise(numbers, features, means, deviations).withColumn("weight", class_weight(rows, fraud))
 
     regression = LogisticRegression(
         featuresCol="scaled", labelCol="label", weightCol="weight", maxIter=LR_ITERATIONS,
-        regParam=1.0 / rows, standardization=False,
+        regParam=1.0 / rows, standardization=False, tol=LR_TOLERANCE,
     ).fit(VectorAssembler(inputCols=z_names, outputCol="scaled").transform(training))
     found = ScoringModel(features, means, deviations, [float(c) for c in regression.coefficients], float(regression.intercept))
     if with_forest:
         forest = RandomForestClassifier(
             featuresCol="inputs", labelCol="label", weightCol="weight", seed=seed, maxDepth=RF_DEPTH,
-            numTrees=trees, minInstancesPerNode=RF_MIN_SPLIT // 2, featureSubsetStrategy="sqrt",
+            numTrees=trees, featureSubsetStrategy="sqrt",
         ).fit(VectorAssembler(inputCols=features, outputCol="inputs").transform(training))
-        found.trees = trees_of(spark, forest)
-        found.importances = [float(v) for v in forest.featureImportances.toArray()]
+        # The library splits nodes of any size; splits of small ones are undone.
+        grown = trees_of(spark, forest)
+        found.trees = fold_small_nodes(grown, rows_per_node(training, grown, features), RF_MIN_SPLIT)
+        found.importances = importances_of(found.trees, len(features))
     remove_folder(spark, folder)
     return found
 
@@ -148,7 +159,7 @@ def model_scores(df: DataFrame, model: ScoringModel) -> DataFrame:
     """Add ``lr_score`` and, with a forest, ``rf_score``.
 
     The regression is plain column arithmetic, which stays in generated code; the forest
-    walks its arrays in Arrow batches.
+    answers once per combination of threshold intervals.
     """
     inputs = [f"n_{c}" for c in model.features]
     scored = standardise(_with_numbers(df, model.features), inputs, model.means, model.deviations)
@@ -158,7 +169,47 @@ def model_scores(df: DataFrame, model: ScoringModel) -> DataFrame:
     scored = scored.withColumn("lr_score", 1 / (1 + F.exp(-margin)))
     if model.trees is None:
         return scored.select(*df.columns, "lr_score")
-    return scored.select(*df.columns, "lr_score", forest_score(df.sparkSession, model.trees, inputs).alias("rf_score"))
+    return add_forest_score(scored, model.trees, inputs, "rf_score").select(*df.columns, "lr_score", "rf_score")
+
+
+def regression_gradient(df: DataFrame, model: ScoringModel) -> DataFrame:
+    """Is the regression at the minimum of its penalised loss over the labelled rows of ``df``?
+
+    One row per feature and one for the intercept: training rows, mean, deviation, and the slope of the loss there. The loss
+    is strictly convex, so slopes of zero single out one model.
+    """
+    numbers = training_rows(df, model.features)
+    facts = numbers.agg(F.count(F.lit(1)).alias("rows"), F.sum("label").alias("fraud")).first()
+    rows = facts["rows"]
+    z = standardise(numbers, model.features, model.means, model.deviations)
+    margin = sum((F.col(f"z_{f}") * F.lit(c) for f, c in zip(model.features, model.coefficients)), F.lit(model.intercept))
+    error = class_weight(rows, facts["fraud"]) * (1 / (1 + F.exp(-margin)) - F.col("label"))
+    slopes = z.withColumn("_error", error).agg(
+        F.sum("_error").alias("g"), *[F.sum(F.col("_error") * F.col(f"z_{f}")).alias(f"g_{f}") for f in model.features],
+        *[F.avg(f).alias(f"m_{f}") for f in model.features], *[F.stddev_pop(f).alias(f"s_{f}") for f in model.features])
+    none = F.lit(None).cast("double")
+    lines = [F.struct(F.lit("(intercept)").alias("feature"), none.alias("mean"), none.alias("deviation"), (F.col("g") / rows).alias("slope"))]
+    for f, c in zip(model.features, model.coefficients):
+        lines.append(F.struct(F.lit(f).alias("feature"), F.col(f"m_{f}").alias("mean"), F.col(f"s_{f}").alias("deviation"),
+                              ((F.col(f"g_{f}") + F.lit(c)) / rows).alias("slope")))
+    return slopes.select(F.lit(rows).alias("training_rows"), F.inline(F.array(*lines)))
+
+
+def node_report(df: DataFrame, model: ScoringModel) -> DataFrame:
+    """Per tree, over the labelled rows of ``df``: rows at the root, inner nodes with too few rows, and whether
+    every inner node's rows and weight are those of its two children.
+    """
+    counts = rows_per_node(training_rows(df, model.features), model.trees, model.features)
+    lines = []
+    for number, (tree, rows) in enumerate(zip(model.trees, counts)):
+        inner = [i for i, left in enumerate(tree["left"]) if left >= 0]
+
+        def adds_up(values: list) -> bool:
+            return all(abs(values[i] - values[tree["left"][i]] - values[tree["right"][i]]) <= 1e-6 * (1 + abs(values[i])) for i in inner)
+
+        shares = [w * v for w, v in zip(tree["weight"], tree["value"])]
+        lines.append((number, rows[0], sum(rows[i] < RF_MIN_SPLIT for i in inner), adds_up(rows) and adds_up(tree["weight"]) and adds_up(shares)))
+    return df.sparkSession.createDataFrame(lines, "tree int, root_rows bigint, small_splits bigint, adds_up boolean")
 
 
 def score(df: DataFrame, model: ScoringModel) -> DataFrame:

@@ -65,9 +65,15 @@ def add_risk_history(df: DataFrame) -> DataFrame:
 
 
 def recent_slice(df: DataFrame, days: int = 30) -> DataFrame:
-    """Rows of the last ``days`` days before the newest transaction."""
-    newest = df.select(F.max("txn_ts")).scalar()
-    return df.where(F.col("txn_ts") >= newest - F.make_dt_interval(F.lit(days)))
+    """Rows of the last ``days`` days before the newest transaction.
+
+    The edge is found once, when the frame is made, and enters the plan as a plain value, so that every
+    reading of the slice can push it down to a stored table.
+    """
+    edge = df.agg((F.max("txn_ts") - F.make_dt_interval(F.lit(days))).alias("edge")).first()["edge"]
+    if edge is None:
+        return df.where(F.lit(False))
+    return df.where(F.col("txn_ts") >= F.lit(edge).cast(df.schema["txn_ts"].dataType))
 
 
 def add_risk_history_to_recent(df: DataFrame, days: int = 30) -> DataFrame:

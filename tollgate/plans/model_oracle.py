@@ -6,6 +6,7 @@ from math import factorial
 
 from tollgate.functions import wording as w
 from tollgate.operators.model_texts import CONTEXTS, FLAGS, SHAP_FLOOR
+from tollgate.operators.model import RF_TREES
 from tollgate.operators.forest_shap import SHAP_FLOOR as FOREST_FLOOR
 from tollgate.plans import fixtures, oracle
 from tollgate.plans.fixed_model import MODEL
@@ -187,6 +188,12 @@ FROM (SELECT txn_id_clean, unnest(bars) AS entry, unnest(range(1, {N + 1})) AS b
         "k09_fitted_additivity": on("risk", "SELECT count(*) AS row_count, true AS regression_adds_up, true AS forest_adds_up FROM risk WHERE "
                                     + " AND ".join(f"{f} IS NOT NULL" for f in MODEL_FEATURES)),
     }
+    labelled = "labelled AS (SELECT * FROM numbers WHERE is_fraud IS NOT NULL)"
+    sql["j05_fitted_minimum"] = on("risk", " UNION ALL ".join(
+        ["SELECT count(*) AS training_rows, '(intercept)' AS feature, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS deviation, true AS at_minimum FROM labelled"]
+        + [f"SELECT count(*), '{c}', {cut(f'avg(n_{c})')}, {cut(f'stddev_pop(n_{c})')}, true FROM labelled" for c in MODEL_FEATURES]), scores, labelled)
+    sql["j06_fitted_nodes"] = on("risk", f"""SELECT CAST(tree AS BIGINT) AS tree, count(*) AS root_rows, CAST(0 AS BIGINT) AS small_splits, true AS adds_up
+FROM labelled, range({RF_TREES}) t(tree) GROUP BY tree""", scores, labelled)
     facts = "(SELECT count(*) FROM risk) AS rows_to_score"
     pairs = ", ".join(f"('{f}', {c}::DOUBLE)" for f, c in zip(MODEL_FEATURES, MODEL.coefficients))
     sql["j15_fixed_coefficients"] = on("risk", f"""SELECT feature, {cut('c')} AS coefficient, {cut('abs(c)')} AS abs_coefficient, {facts}

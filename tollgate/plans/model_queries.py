@@ -81,6 +81,19 @@ def j12_fixed_regression_only(spark, sf):
     return plain(model.score_with_regression(risk(spark, sf), MODEL).select(ID, "risk_score", "risk_band"))
 
 
+@query
+def j05_fitted_minimum(spark, sf):
+    """The fitted regression is where its penalised loss over all training rows has its minimum."""
+    df = model.regression_gradient(risk(spark, sf), fitted(spark, sf))
+    return plain(df.withColumn("at_minimum", F.abs("slope") < 1e-6).drop("slope"))
+
+
+@query
+def j06_fitted_nodes(spark, sf):
+    """Every tree of the fitted forest, walked by all training rows: no split of a small node, sums that agree."""
+    return plain(model.node_report(risk(spark, sf), fitted(spark, sf)))
+
+
 def _with_rows(spark, sf, table):
     """Model facts beside the number of rows that the model scores."""
     return table.crossJoin(F.broadcast(risk(spark, sf).agg(F.count(F.lit(1)).alias("rows_to_score"))))

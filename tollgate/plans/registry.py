@@ -94,6 +94,10 @@ def risk(spark: SparkSession, sf: str) -> DataFrame:
     return stage_table(spark, sf, "risk")
 
 
+def ledger(spark: SparkSession, sf: str) -> DataFrame:
+    return stage_table(spark, sf, "ledger")
+
+
 def scored(spark: SparkSession, sf: str) -> DataFrame:
     return rules.score_by_rules(risk(spark, sf))
 
@@ -344,7 +348,7 @@ def e02_card_rolling(spark, sf):
 
 @query
 def e02_card_rolling_ledger(spark, sf):
-    return plain(risk_history.card_history(fixtures.ledger(spark, sf)))
+    return plain(risk_history.card_history(ledger(spark, sf)))
 
 
 @query
@@ -359,7 +363,7 @@ def e04_merchant_rolling(spark, sf):
 
 @query
 def e04_merchant_rolling_ledger(spark, sf):
-    return plain(risk_history.merchant_history(fixtures.ledger(spark, sf)))
+    return plain(risk_history.merchant_history(ledger(spark, sf)))
 
 
 @query
@@ -378,7 +382,7 @@ def e06_merchant_history_joined(spark, sf):
 
 @query
 def e06_history_joined_ledger(spark, sf):
-    df = risk_history.add_risk_history(fixtures.ledger(spark, sf))
+    df = risk_history.add_risk_history(ledger(spark, sf))
     return plain(df.select(ID, *RISK_HISTORY))
 
 
@@ -389,7 +393,7 @@ def e07_recent_slice(spark, sf):
 
 @query
 def e07_recent_slice_ledger(spark, sf):
-    return plain(risk_history.recent_slice(fixtures.ledger(spark, sf)).select(ID, "txn_ts"))
+    return plain(risk_history.recent_slice(ledger(spark, sf)).select(ID, "txn_ts"))
 
 
 @query
@@ -399,7 +403,7 @@ def e08_history_on_recent_slice(spark, sf):
 
 @query
 def e08_history_on_recent_slice_ledger(spark, sf):
-    return plain(risk_history.add_risk_history_to_recent(fixtures.ledger(spark, sf)).select(ID, *RISK_HISTORY))
+    return plain(risk_history.add_risk_history_to_recent(ledger(spark, sf)).select(ID, *RISK_HISTORY))
 
 
 @query

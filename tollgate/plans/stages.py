@@ -50,7 +50,8 @@ def stage_table(spark: SparkSession, sf_dir: str, stage: str) -> DataFrame:
     """A stage as a stored table, written once per application and source folder.
 
     Each stage is a table of its own, as downstream jobs read it: ``enriched``,
-    ``features`` (card features) or ``risk`` (all features).
+    ``features`` (card features), ``risk`` (all features), or ``ledger`` (typed rows over
+    several years), which history reads once per key.
     """
     key = (spark.sparkContext.applicationId, sf_dir, stage)
     if key not in _written:
@@ -61,6 +62,8 @@ def stage_table(spark: SparkSession, sf_dir: str, stage: str) -> DataFrame:
             df = add_card_activity(stage_table(spark, sf_dir, "enriched"))
         elif stage == "risk":
             df = add_risk_history(stage_table(spark, sf_dir, "features"))
+        elif stage == "ledger":
+            df = fixtures.ledger(spark, sf_dir)
         else:
             raise ValueError(stage)
         write_and_read(df, path)
