@@ -65,3 +65,15 @@ def test_large_dimension_is_not_forced_into_a_broadcast(spark, sf_dir):
         assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_collated_keys_join_by_hash_or_sort(spark, sf_dir):
+    """Keys that ignore case and accents still join and group by key, not row by row."""
+    from tollgate.plans import registry
+
+    joined = registry.QUERIES["c01_collated_merchant"](spark, sf_dir)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    plainly = registry.QUERIES["c01_merchant"](spark, sf_dir)
+    assert joined.count() == plainly.count()
+    assert joined.where("merchant_country is not null").count() == plainly.where("merchant_country is not null").count() > 0

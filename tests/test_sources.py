@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tollgate.operators import quality
 from tollgate.schemas import EXTRACT_SCHEMA, RAW_COLUMNS
@@ -63,6 +64,61 @@ def test_reload_append_and_reconcile(spark, transactions, database, tmp_path):
     assert spark.table(f"{database}.raw_transactions").count() == 4
 
 
+def test_a_failing_load_keeps_the_old_tables(spark, transactions, database, tmp_path):
+    raw_csv.reload_raw(spark, {"raw_transactions": transactions}, database)
+    before = {t: spark.table(f"{database}.{t}").count() for t in RAW_COLUMNS}
+    bad = tmp_path / "bad.csv"
+    bad.write_text("card_id,issuer,bin,card_type\nc,i,b,t\n")
+    other = tmp_path / "other.csv"
+    other.write_text(HEADER + "\nt9,,,,,,,,,\n")
+    with pytest.raises(Exception):
+        # The first table is complete beside the old one when the last one fails.
+        raw_csv.reload_raw(spark, {"raw_transactions": str(other), "raw_cards": str(bad)}, database)
+    with pytest.raises(Exception):
+        raw_csv.append_raw(spark, str(bad), "raw_cards", database)
+    assert {t: spark.table(f"{database}.{t}").count() for t in RAW_COLUMNS} == before
+    assert {r["table_name"] for r in tables.list_tables(spark, database).collect()} == set(RAW_COLUMNS)
+
+
+def test_a_failing_stage_keeps_the_old_table(spark, database):
+    name = f"{database}.stage"
+    tables.replace_table(spark.range(5).toDF("x"), name)
+    fails = spark.range(2000).repartition(8).select(F.when(F.col("id") == 1999, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("x"))
+    with pytest.raises(Exception):
+        tables.replace_table(fails, name)
+    assert sorted(r["x"] for r in spark.table(name).collect()) == [0, 1, 2, 3, 4]
+    # The new rows may be computed from the old ones.
+    assert tables.replace_table(spark.table(name).where("x > 2"), name).count() == 2
+    assert [t.name for t in spark.catalog.listTables(database) if "__" in t.name] == []
+    # What a failed write has left does not stand in the way.
+    with pytest.raises(Exception):
+        tables.replace_table(fails, f"{database}.fresh")
+    assert tables.replace_table(spark.range(3).toDF("x"), f"{database}.fresh").count() == 3
+
+
+def test_a_swap_that_stopped_halfway_is_recovered(spark, database):
+    name = f"{database}.stage"
+    tables.replace_table(spark.range(5).toDF("x"), name)
+    staged, _ = tables.write_beside(spark.range(7).toDF("x"), name)
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__old_1")
+    assert tables.recover_swaps(spark, database) == ["stage"] and spark.table(name).count() == 5
+    assert {t.name for t in spark.catalog.listTables(database)} == {*RAW_COLUMNS, "stage"}
+
+
+def test_a_file_is_appended_once(spark, database, tmp_path):
+    path = tmp_path / "mar.csv"
+    path.write_text(HEADER + "\nt4,,,,,,,,,\nt5,,,,,,,,,\n")
+    again = tmp_path / "apr.csv"
+    again.write_text(HEADER + "\nt6,,,,,,,,,\n")
+    got = [raw_csv.append_raw_once(spark, str(p), "raw_transactions", database) for p in (path, path, again, again, path)]
+    assert got == [2, 0, 1, 0, 0] and spark.table(f"{database}.raw_transactions").count() == 3
+    # A load on record whose rows never went in is made good.
+    spark.createDataFrame([("raw_cards", "c.csv", 0, 1)], spark.table(f"{database}.raw_loads").schema).write.mode("append").saveAsTable(f"{database}.raw_loads")
+    cards = tmp_path / "c.csv"
+    cards.write_text("card_id,bin,issuer,card_type\nc,b,i,t\n")
+    assert [raw_csv.append_raw_once(spark, str(cards), "raw_cards", database) for _ in range(2)] == [1, 0]
+
+
 def test_catalog_checks_and_stage_run(spark, database):
     names = {r["table_name"] for r in tables.list_tables(spark, database).collect()}
     assert names == set(RAW_COLUMNS)

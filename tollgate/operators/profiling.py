@@ -39,19 +39,30 @@ def label_distribution(df: DataFrame) -> DataFrame:
     return counts.select("label", "row_count", percent(F.col("row_count"), total).alias("row_pct")).orderBy("label")
 
 
+FAMILIES = {
+    "numeric": (T.NumericType,), "string": (T.StringType,), "boolean": (T.BooleanType,),
+    "datetime": (T.DateType, T.TimestampType, T.TimestampNTZType),
+}
+
+
 def type_families(df: DataFrame) -> DataFrame:
     """Columns per type family."""
-    families = {
-        "numeric": (T.NumericType,), "string": (T.StringType,), "boolean": (T.BooleanType,),
-        "datetime": (T.DateType, T.TimestampType, T.TimestampNTZType),
-    }
     rows = [
         (name, sum(isinstance(field.dataType, kinds) for field in df.schema.fields))
-        for name, kinds in families.items()
+        for name, kinds in FAMILIES.items()
     ]
     return df.sparkSession.createDataFrame(rows, "type_family string, column_count int")
 
 
+def family_values(df: DataFrame) -> DataFrame:
+    """Columns per type family, and how many values they hold in all rows."""
+    names = {field.name: family for field in df.schema.fields for family, kinds in FAMILIES.items() if isinstance(field.dataType, kinds)}
+    family = F.create_map(*[F.lit(text) for pair in names.items() for text in pair])
+    present = missing_counts(df, list(names)).groupBy(family[F.col("column_name")].alias("type_family")).agg(
+        F.count(F.lit(1)).cast("int").alias("column_count"), F.sum(F.col("row_count") - F.col("null_count")).alias("value_count"))
+    return type_families(df).select("type_family").join(present, "type_family", "left").fillna(0)
+
+
 def missing_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """NULL rows and their share per column: every column in one pass."""
     columns = columns or df.columns

@@ -28,6 +28,14 @@ def required_columns(df: DataFrame, required: list[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column_name string, present boolean")
 
 
+def required_values(df: DataFrame, required: list[str]) -> DataFrame:
+    """Required columns, whether the frame has them, and in how many rows they hold a value."""
+    counts = df.agg(*[(F.count(c) if c in df.columns else F.lit(0).cast("bigint")).alias(f"n{i}") for i, c in enumerate(required)])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(c in df.columns).alias("present"), F.col(f"n{i}").alias("value_count"))
+        for i, c in enumerate(required)])))
+
+
 def null_rates(df: DataFrame, columns: list[str]) -> DataFrame:
     """NULL rows per feature; OK under half."""
     rate = F.col("null_count") / F.nullif(F.col("row_count"), F.lit(0)) * 100

@@ -11,7 +11,7 @@ from tollgate.operators.forest_shap import SHAP_FLOOR as FOREST_FLOOR
 from tollgate.plans import fixtures, oracle
 from tollgate.plans.fixed_model import MODEL
 from tollgate.plans.oracle import filled, fixed, on, quoted
-from tollgate.schemas import EXTRACT_COLUMNS, MODEL_FEATURES, RAW_COLUMNS
+from tollgate.schemas import EXTRACT_COLUMNS, MODEL_FEATURES, RAW_COLUMNS, risk_columns
 
 N = len(MODEL_FEATURES)
 
@@ -228,6 +228,16 @@ test_part AS (SELECT ordered.* EXCLUDE (place) FROM ordered, sizes WHERE place >
     return sql
 
 
+def _families() -> dict[str, list[str]]:
+    """Columns of the feature table by type family."""
+    numeric = ["amount", "amt_last_24h", "txn_hour", "is_emulator", "amount_vs_card_avg"]
+    numeric += [c for c in risk_columns() if c.endswith(("_1h", "_24h", "_30d")) and c not in numeric]
+    datetime = ["txn_ts", "txn_date"]
+    boolean = [c for c in risk_columns() if c.startswith("is_") and not c.endswith(("_raw", "_clean")) and c not in numeric]
+    known = {*numeric, *datetime, *boolean}
+    return {"numeric": numeric, "string": [c for c in risk_columns() if c not in known], "boolean": boolean, "datetime": datetime}
+
+
 def _sources() -> dict[str, str]:
     raw = RAW_COLUMNS["raw_transactions"]
     texts = {"raw_transactions": fixtures.RAW_TRANSACTIONS, "raw_merchants": fixtures.MERCHANTS, "raw_devices": fixtures.DEVICES,
@@ -241,6 +251,9 @@ def _sources() -> dict[str, str]:
         "a04_truncate_and_reload": report,
         "a06_load_reconciliation": report,
         "a05_append": f"SELECT 2 * count(*) AS stored_rows, count(*) AS first_read, count(*) AS second_read FROM {merchants}",
+        "a04_failed_reload": " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, count(*) AS row_count, true AS reload_failed FROM ({text})" for name, text in texts.items()),
+        "a05_append_once": f"SELECT 2 * count(*) AS stored_rows, count(*) AS load_0, CAST(0 AS BIGINT) AS load_1, count(*) AS load_2 FROM {merchants}",
         "a07_table_scan": f"SELECT * FROM {cards}",
         "a08_recreate_table": f"SELECT device_id, os FROM ({fixtures.DEVICES})",
         "a09_database_and_raw_tables": " UNION ALL ".join(
@@ -253,11 +266,11 @@ FROM (SELECT *, coalesce(txn_id_clean LIKE '%7', false) AS bad FROM (SELECT {',
         "a13_catalog_checks": f"""SELECT t.*, CAST(6 AS BIGINT) AS tables_listed, (SELECT count(*) FROM {cards}) AS row_count
 FROM (VALUES ('raw_cards', true, 'card_id', true), ('raw_cards', true, 'bin', true), ('raw_cards', true, 'no_such_column', false),
   ('no_such_table', false, 'card_id', false)) t(table_name, table_exists, column_name, column_exists)""",
-        # Layout of the feature table: columns of each family.
-        "m03_type_families": on("risk", """SELECT t.*, (SELECT count(*) FROM risk) AS row_count
-FROM (VALUES ('numeric', CAST(15 AS BIGINT)), ('string', 30), ('boolean', 8), ('datetime', 2)) t(type_family, column_count)"""),
-        "n02_required_columns": on("risk", """SELECT t.*, (SELECT count(*) FROM risk) AS row_count
-FROM (VALUES ('txns_last_24h', true), ('merchant_fraud_rate_30d', true), ('no_such_column', false)) t(column_name, present)"""),
+        "m03_type_families": on("risk", " UNION ALL ".join(
+            f"SELECT '{family}' AS type_family, CAST({len(columns)} AS BIGINT) AS column_count, {' + '.join(f'count({c})' for c in columns)} AS value_count FROM risk"
+            for family, columns in _families().items())),
+        "n02_required_columns": on("risk", """SELECT 'txns_last_24h' AS column_name, true AS present, count(txns_last_24h) AS value_count FROM risk
+UNION ALL SELECT 'merchant_fraud_rate_30d', true, count(merchant_fraud_rate_30d) FROM risk UNION ALL SELECT 'no_such_column', false, 0"""),
     }
 
 

@@ -30,6 +30,11 @@ FRACTIONS = {
 }
 
 
+# Merchant keys in several spellings, as the queries over collated keys write them.
+MIXED_KEY = """CASE WHEN right(txn_id_clean, 1) IN ('0', '1', '2', '3') THEN upper(merchant_id_clean)
+  WHEN right(txn_id_clean, 1) IN ('4', '5', '6') THEN 'ḿ' || merchant_id_clean[2:] ELSE merchant_id_clean END"""
+
+
 def show(names) -> str:
     """Select items in the plain types the Spark side returns."""
     items = []
@@ -426,6 +431,9 @@ def oracle_sql() -> dict[str, str]:
   coalesce(s.country_std <> CASE trim(k.card_type) WHEN 'DEBIT' THEN 'IN' WHEN 'CREDIT' THEN 'US' END, false)
     AS is_foreign_transaction
 FROM stg s LEFT JOIN cards k ON s.card_id_clean = k.card_id""")
+    sql["c01_collated_merchant"] = on("stg merchants", f"""SELECT s.txn_id_clean, nullif(trim(m.mcc), '') AS merchant_category,
+  nullif(trim(m.country), '') AS merchant_country, nullif(trim(m.risk_tier), '') AS merchant_risk_tier
+FROM (SELECT txn_id_clean, {MIXED_KEY} AS k FROM stg) s LEFT JOIN merchants m ON s.k COLLATE NOCASE.NOACCENT = m.merchant_id""")
     sql["c08_enriched_table"] = on("enr", f"SELECT {show(enriched_columns())} FROM enr")
 
     # card activity
@@ -531,6 +539,11 @@ WHERE {VIEW} AND merchant_risk_tier = 'HIGH' AND country_std = 'IN' AND NOT is_f
   count(*) FILTER (is_fraud) AS fraud_count, count(is_fraud) AS total_count,
   round_even(count(*) FILTER (is_fraud) / nullif(count(is_fraud), 0) * 100, 2) AS fraud_rate
 FROM risk WHERE merchant_id_clean IS NOT NULL AND merchant_risk_tier IS NOT NULL GROUP BY ALL
+ORDER BY fraud_count DESC, merchant_id, risk_tier LIMIT 20""")
+    sql["h03_collated_merchants"] = on("risk", f"""SELECT strip_accents(lower({MIXED_KEY})) AS merchant_id, merchant_risk_tier AS risk_tier,
+  count(*) FILTER (is_fraud) AS fraud_count, count(is_fraud) AS total_count,
+  round_even(count(*) FILTER (is_fraud) / nullif(count(is_fraud), 0) * 100, 2) AS fraud_rate
+FROM risk WHERE merchant_id_clean IS NOT NULL AND merchant_risk_tier IS NOT NULL GROUP BY ALL
 ORDER BY fraud_count DESC, merchant_id, risk_tier LIMIT 20""")
     sql["h04_top_cards"] = on("scored", """SELECT card_id_clean AS card_id,
   count(*) FILTER (is_fraud) AS fraud_count, count(is_fraud) AS total_count,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tollgate.functions import formatting
+from tollgate.functions.cleaning import collate_keys
 from tollgate.operators import (
     analytics,
     card_activity,
@@ -39,7 +40,7 @@ from tollgate.operators import (
 from tollgate.plans import fixtures, stages
 from tollgate.plans.stages import stage_table
 from tollgate.schemas import CARD_ACTIVITY, EXTRACT_COLUMNS, MODEL_FEATURES, RISK_HISTORY
-from tollgate.sources import extract_csv, raw_csv
+from tollgate.sources import extract_csv, raw_csv, tables
 from tollgate.sources.shared import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,7 +134,7 @@ def a06_load_reconciliation(spark, sf):
     for name, df in fixtures.raw_tables(spark, sf).items():
         path = _as_csv(spark, name, df)
         rows = raw_csv.read_raw(spark, path, name)
-        loaded[name] = raw_csv.store_counted(rows, lambda out: out.write.parquet(f"{path}-stored"))
+        loaded[name] = tables.store_counted(rows, lambda out: out.write.parquet(f"{path}-stored"))
         stored[name] = spark.read.parquet(f"{path}-stored")
     return plain(raw_csv.load_report(stored, loaded))
 
@@ -215,6 +216,22 @@ def c01_merchant(spark, sf):
     return df.select(ID, "merchant_category", "merchant_country", "merchant_risk_tier")
 
 
+def mixed_keys(df: DataFrame) -> DataFrame:
+    """Merchant keys written in several ways: upper case, with an accent, plain."""
+    last = F.right(ID, F.lit(1))
+    key = F.col("merchant_id_clean")
+    return df.withColumn("merchant_id_clean", F.when(last.isin(*"0123"), F.upper(key)).when(
+        last.isin(*"456"), F.concat(F.lit("ḿ"), F.substring(key, 2, 100))).otherwise(key))
+
+
+@query
+def c01_collated_merchant(spark, sf):
+    """Keys that differ in case and accents find their merchant."""
+    df = collate_keys(mixed_keys(stages.staged(spark, sf)), ["merchant_id_clean"])
+    merchants = collate_keys(fixtures.merchants(spark, sf), ["merchant_id"])
+    return enrichment.add_merchant(df, merchants).select(ID, "merchant_category", "merchant_country", "merchant_risk_tier")
+
+
 @query
 def c02_device(spark, sf):
     df = enrichment.add_device(stages.staged(spark, sf), fixtures.devices(spark, sf))
@@ -537,6 +554,14 @@ def h03_top_merchants(spark, sf):
     return plain(analytics.top_risky_merchants(risk(spark, sf)))
 
 
+@query
+def h03_collated_merchants(spark, sf):
+    """Spellings of one merchant are one group; shown in lower case without accents."""
+    found = analytics.top_risky_merchants(collate_keys(mixed_keys(risk(spark, sf)), ["merchant_id_clean"]))
+    shown = F.translate(F.lower(F.collate("merchant_id", "UTF8_BINARY")), "ḿ", "m")
+    return plain(found.withColumn("merchant_id", shown))
+
+
 @query
 def h04_top_cards(spark, sf):
     return plain(analytics.top_risky_cards(scored(spark, sf)))

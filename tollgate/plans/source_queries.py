@@ -64,6 +64,33 @@ def a05_append(spark, sf):
         {"first_read": F.lit(read[0]).cast("bigint"), "second_read": F.lit(read[1]).cast("bigint")})
 
 
+@query
+def a04_failed_reload(spark, sf):
+    """A reload that fails at one file leaves every table as it was."""
+    database = _database(spark)
+    paths = {name: _as_csv(spark, name, df) for name, df in fixtures.raw_tables(spark, sf).items()}
+    raw_csv.reload_raw(spark, paths, database)
+    try:
+        # The merchants' file has other columns than the table of cards.
+        raw_csv.reload_raw(spark, paths | {"raw_devices": f"{paths['raw_devices']}-none", "raw_cards": paths["raw_merchants"]}, database)
+        failed = False
+    except Exception:
+        failed = True
+    return _row_counts(spark, database).withColumn("reload_failed", F.lit(failed))
+
+
+@query
+def a05_append_once(spark, sf):
+    """A file that is on record is not added again; another one is."""
+    database = _database(spark)
+    path = _as_csv(spark, "raw_merchants", fixtures.merchants(spark, sf))
+    other = f"{path}-more"
+    raw_csv.write_raw(fixtures.merchants(spark, sf), other)
+    added = [raw_csv.append_raw_once(spark, p, "raw_merchants", database) for p in (path, path, other)]
+    return spark.table(f"{database}.raw_merchants").agg(F.count(F.lit(1)).alias("stored_rows")).withColumns(
+        {f"load_{i}": F.lit(n).cast("bigint") for i, n in enumerate(added)})
+
+
 @query
 def a07_table_scan(spark, sf):
     database = _database(spark)
@@ -125,12 +152,10 @@ def a13_catalog_checks(spark, sf):
 
 @query
 def m03_type_families(spark, sf):
-    df = risk(spark, sf)
-    return plain(profiling.type_families(df).crossJoin(F.broadcast(df.agg(F.count(F.lit(1)).alias("row_count")))))
+    """Columns and stored values per type family."""
+    return plain(profiling.family_values(risk(spark, sf)))
 
 
 @query
 def n02_required_columns(spark, sf):
-    df = risk(spark, sf)
-    found = quality.required_columns(df, ["txns_last_24h", "merchant_fraud_rate_30d", "no_such_column"])
-    return found.crossJoin(F.broadcast(df.agg(F.count(F.lit(1)).alias("row_count"))))
+    return quality.required_values(risk(spark, sf), ["txns_last_24h", "merchant_fraud_rate_30d", "no_such_column"])
