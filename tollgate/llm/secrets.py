@@ -8,7 +8,7 @@ the findings back to all paths.
 
 Defined cases: a null text is the empty blob; paths may be null or repeat and each row gets
 its blob's findings; an empty table gives no rows; columns other than the id and the text pass through
-``redact`` and are left out by ``scan``. A match that fails its length rule uses up its
+``redact`` and are left out by ``scan``. Very long texts are scanned whole. A match that fails its length rule uses up its
 characters: the next match starts after it.
 """
 
@@ -39,12 +39,13 @@ class Rule:
 
 #: A private key from its BEGIN line through its END line; no other line of five dashes may be between them. Without an END line:
 #: headers and base64 lines up to the end of the last one, or, where the lines are indented, joined by spaces or escaped,
-#: base64 characters and what joins them. The header alone where no key follows.
+#: base64 characters and what joins them. The header alone where no key follows. What joins them is one class of characters, because
+#: a choice between alternatives that repeats would take a frame of the stack for every character.
 PEM = (
     r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:"
-    r"[^-]*(?:-{1,4}[^-]+){0,16}-----END [A-Z ]{0,40}PRIVATE KEY-----"
-    r"|(?:[\r\n]+[A-Za-z-]+:\x20[^\r\n]*){0,9}[\r\n]+[A-Za-z0-9+/=][A-Za-z0-9+/=\r\n]*(?:[\r\n]|\z)"
-    r"|(?:[\x20\t\r\n]|\\[rnt])+[A-Za-z0-9+/=]{20}[A-Za-z0-9+/=\\\x20\t\r\n]*"
+    r"[^-]*(?:-{1,4}[^-]+){0,200}-----END [A-Z ]{0,40}PRIVATE KEY-----"
+    r"|(?:[\r\n]+[A-Za-z-]+:\x20[^\r\n]*){0,100}[\r\n]+[A-Za-z0-9+/=][A-Za-z0-9+/=\r\n]*(?:[\r\n]|\z)"
+    r"|[\x20\t\r\n\\][\x20\t\r\n\\rnt]*[A-Za-z0-9+/=]{20}[A-Za-z0-9+/=\\\x20\t\r\n]*"
     r"|)"
 )
 #: Kinds in the order in which equal starts are listed; the first three are the base rules.
@@ -54,9 +55,11 @@ RULES = [
          r"""|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8, ""),
     Rule("access", 1, r"AKIA[A-Z0-9]+", 0, 16, "AKIA"),
     Rule("hex", 1, r"[0-9a-f]+", 0, 32, ""),
-    Rule("pem", 2, PEM, 0, 27, "PRIVATE KEY"),
+    Rule("pem", 3, PEM, 0, 27, "PRIVATE KEY"),
     Rule("hosted", 1, r"(?:gh[pousr]_|glpat-|xox[abprs]-)[A-Za-z0-9_-]{16,}", 0, 20, ""),
 ]
+#: Matches of a text are added up in blocks of so many.
+BLOCK = 512
 BASE = ["assign", "access", "hex"]
 FINDING = "array<struct<kind:string,start:bigint,stop:bigint>>"
 
@@ -72,12 +75,26 @@ def _spans(text: Column, rule: Rule) -> Column:
         gaps = F.split(text, pattern, -1)
         sized = F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda whole_match, gap: F.struct(
             F.char_length(gap).cast("bigint").alias("gap"), F.char_length(whole_match).cast("bigint").alias("length")))
-        return let(sized, lambda s: F.transform(
-            F.filter(F.sequence(F.lit(1), F.size(s)), lambda i: _long_enough(F.element_at(found, i), rule)),
-            lambda i: let(
-                F.aggregate(F.slice(s, 1, i), F.lit(0).cast("bigint"), lambda t, x: t + x["gap"] + x["length"]),
-                lambda stop: F.struct(
-                    F.lit(rule.kind).alias("kind"), (stop - F.element_at(s, i)["length"]).alias("start"), stop.alias("stop")))))
+        zero = F.lit(0).cast("bigint")
+
+        def total(part: Column) -> Column:
+            return F.aggregate(part, zero, lambda t, x: t + x["gap"] + x["length"])
+
+        def spans(s: Column, before: Column) -> Column:
+            def span(i: Column) -> Column:
+                block = F.floor((i - 1) / BLOCK).cast("int")
+                stop = F.element_at(before, block + 1) + total(F.slice(s, block * BLOCK + 1, i - block * BLOCK))
+                return let(stop, lambda e: F.struct(
+                    F.lit(rule.kind).alias("kind"), (e - F.element_at(s, i)["length"]).alias("start"), e.alias("stop")))
+
+            return F.transform(F.filter(F.sequence(F.lit(1), F.size(s)), lambda i: _long_enough(F.element_at(found, i), rule)), span)
+
+        # Where every block of matches begins, from the blocks' totals: no match adds up all those before it.
+        blocks = let(sized, lambda s: F.struct(s.alias("s"), F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(s) - 1) / BLOCK).cast("int")), lambda b: total(F.slice(s, b * BLOCK + 1, F.lit(BLOCK)))).alias("totals")))
+        begun = let(blocks, lambda x: F.struct(x["s"].alias("s"), F.transform(
+            F.sequence(F.lit(0), F.size(x["totals"]) - 1), lambda b: F.aggregate(F.slice(x["totals"], F.lit(1), b), zero, lambda t, y: t + y)).alias("before")))
+        return let(begun, lambda x: spans(x["s"], x["before"]))
 
     none = F.array().cast(FINDING)
     seen = text.rlike(pattern) if not rule.begins else text.contains(rule.begins) & text.rlike(pattern)
