@@ -70,12 +70,17 @@ def _sets(docs: DataFrame, join: Join) -> Column:
     return F.sort_array(F.array_distinct(shingles(ascii_lower(whole("text")), join.shingle)))
 
 
+def _row_key() -> Column:
+    """Tells rows apart whose ids are missing or repeated; rows that share it are checked by their sets."""
+    return F.xxhash64("doc_id", whole("text"))
+
+
 def shingle_prefixes(docs: DataFrame, join: Join) -> DataFrame:
-    """doc_id, n_shingles, the node (a hash of the set) and the extended prefix of every text."""
+    """doc_id, n_shingles, the node (a hash of the set), the extended prefix and a row key of every text."""
     n = F.size("_set").cast("bigint")
     length = F.least(n, F.ceil(MARGIN * join.needed(n)) + 2)
-    return docs.select("doc_id", _sets(docs, join).alias("_set")).select(
-        "doc_id", n.alias("n_shingles"), F.when(n > 0, F.xxhash64("_set")).alias("node"),
+    return docs.select("doc_id", _row_key().alias("row"), _sets(docs, join).alias("_set")).select(
+        "doc_id", "row", n.alias("n_shingles"), F.when(n > 0, F.xxhash64("_set")).alias("node"),
         F.slice("_set", F.lit(1), length.cast("int")).alias("prefix"))
 
 
@@ -176,15 +181,15 @@ def _not_rejected(pairs: DataFrame, prefixes: DataFrame, join: Join) -> DataFram
 
 
 def _open(pairs: DataFrame, opened: list[DataFrame], docs: DataFrame, nodes: DataFrame, join: Join) -> None:
-    """Add to ``opened`` the whole sets of the nodes in ``pairs`` that it lacks. ``nodes``: node and the text that stands for it."""
+    """Add to ``opened`` the whole sets of the nodes in ``pairs`` that it lacks. ``nodes``: node and the row that stands for it."""
     ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     for before in opened:
         ids = ids.join(before.select("node"), "node", "left_anti")
-    wanted = stored(ids.join(nodes, "node").select("node", "rep"), "wanted")
-    texts = docs.select(F.col("doc_id").alias("_id"), "text").join(wanted, F.col("_id").eqNullSafe(F.col("rep")))
+    wanted = stored(ids.join(nodes, "node").select("node", "row"), "wanted")
+    texts = docs.select(_row_key().alias("row"), "text").join(wanted, "row")
     # Stored before the test, or the planner would join by it and take the sets of all texts.
     sets = stored(texts.select("node", _sets(texts, join).alias("set")), "opened-sets")
-    # With repeated ids a text that is not the node's, or the same one again, may come along.
+    # With repeated rows the same text may come along again.
     opened.append(sets.where(F.xxhash64("set") == F.col("node")).dropDuplicates(["node"]))
 
 
@@ -214,10 +219,10 @@ def _verified(pairs: DataFrame, opened: list[DataFrame], join: Join) -> DataFram
 def link_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest doc_id reachable by links."""
     own = stored(shingle_prefixes(docs, join), "shingle-prefixes")
-    nodes = stored(own.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep")), "nodes")
-    # One text stands for its node. The id is part of the key, so copies spread over the tasks.
-    reps = nodes.select(F.col("node").alias("_node"), "rep")
-    prefixes = own.join(reps, (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("rep")))
+    nodes = stored(own.where("node is not null").groupBy("node").agg(
+        F.min("doc_id").alias("rep"), F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("row")), "nodes")
+    # One text stands for its node. The row is part of the key, so copies spread over the tasks.
+    prefixes = own.join(nodes.select("node", "row"), ["node", "row"])
     prefixes = stored(prefixes.select("node", "n_shingles", "prefix").dropDuplicates(["node"]), "node-prefixes")
     index = index_keys(prefixes, join)
     labels, links, opened = None, [], []
