@@ -93,7 +93,7 @@ def test_remembered_words_are_bounded(vocabulary, library, monkeypatch):
     for _ in range(30):
         texts = [" ".join("".join(rnd.choice("abcdé") for _ in range(rnd.randint(1, 90))) for _ in range(20)) for _ in range(3)]
         assert [ids.tolist() for ids in encoder.encode(texts)] == library.encode(texts)
-        assert len(encoder) <= 50
+        assert len(encoder.known) <= 50
 
 
 def test_better_pairs_opened_by_a_merge_go_first():

@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame
 from tollgate.llm.common import whole
 
 MARK = "▁"
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 16
 #: Longer words are not remembered.
 LONG_WORD = 64
 #: Texts are cut, and new words merged, in groups of about so many characters; what is longer is a group of its own.
-GROUP_CHARS = 1 << 20
+GROUP_CHARS = 1 << 18
 NO_PAIR = np.iinfo(np.int32).max
 FOREIGN = -1
 
@@ -83,9 +83,38 @@ class Vocabulary:
         self.words = rf"{MARK}*[^{MARK}\n]+|{MARK}+|\n" if apart else r"(?s).+"
 
 
-def _look_up(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    place = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
-    return place, (keys[place] == wanted if len(keys) else np.zeros(len(wanted), bool))
+class Places:
+    """Finds keys in an array by open addressing, all asked keys at once."""
+
+    FACTOR, FREE = np.uint64(0x9E3779B97F4A7C15), -1
+
+    def __init__(self, keys: np.ndarray):
+        bits = max(4, (4 * len(keys)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.places = np.full(1 << bits, self.FREE, np.int64), np.zeros(1 << bits, np.int64)
+        waiting, slot = np.arange(len(keys)), self._slot(keys)
+        while len(waiting):
+            first = np.zeros(len(waiting), bool)
+            first[np.unique(slot, return_index=True)[1]] = True
+            first &= self.keys[slot] == self.FREE
+            self.keys[slot[first]], self.places[slot[first]] = keys[waiting[first]], waiting[first]
+            waiting, slot = waiting[~first], (slot[~first] + 1) & self.last
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * self.FACTOR) >> self.shift).astype(np.int64)
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of every key, and whether it is there."""
+        slot = self._slot(wanted)
+        met = self.keys[slot]
+        known = met == wanted
+        going = np.flatnonzero(~known & (met != self.FREE))
+        while len(going):
+            slot[going] = (slot[going] + 1) & self.last
+            met = self.keys[slot[going]]
+            known[going] = found = met == wanted[going]
+            going = going[~found & (met != self.FREE)]
+        return self.places[slot], known
 
 
 class Merger:
@@ -93,15 +122,16 @@ class Merger:
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
+        self.pairs, self.joined = Places(vocabulary.keys), Places(vocabulary.joined)
         self.symbol_of = np.full(0x110000, FOREIGN, np.int32)
         self.symbol_of[list(vocabulary.chars)] = list(vocabulary.chars.values())
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        place, known = _look_up(self.v.keys, left.astype(np.int64) << 32 | right)
+        place, known = self.pairs.find(left.astype(np.int64) << 32 | right)
         return np.where(known & (left >= 0) & (right >= 0), self.v.ranks[place], NO_PAIR)
 
     def pair_symbols(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        return self.v.merged[_look_up(self.v.keys, left.astype(np.int64) << 32 | right)[0]]
+        return self.v.merged[self.pairs.find(left.astype(np.int64) << 32 | right)[0]]
 
     def _merges(self, symbol, rank, segment) -> tuple[np.ndarray, np.ndarray]:
         """Places to merge in this round, and the symbols they become."""
@@ -138,7 +168,7 @@ class Merger:
         point = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
         word_ends = np.cumsum([len(w) for w in words])
         cut = np.zeros(len(point), bool)
-        cut[1:] = ~_look_up(self.v.joined, point[:-1] << 21 | point[1:])[1]
+        cut[1:] = ~self.joined.find(point[:-1] << 21 | point[1:])[1]
         cut[0] = True
         cut[word_ends[:-1]] = True
         segment = np.cumsum(cut)
@@ -189,12 +219,12 @@ class Merger:
         return [packed[a:b] for a, b in zip([0, *stops], stops)]
 
 
-class Encoder(dict):
-    """Ids of whole texts; the dictionary holds the ids (as bytes) of words seen lately."""
+class Encoder:
+    """Ids of whole texts; ``known`` holds the ids (as bytes) of words seen lately."""
 
     def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
         self.merger = Merger(vocabulary)
+        self.known: dict[str, bytes] = {}
         self.words = re.compile(vocabulary.words).findall
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
@@ -210,18 +240,17 @@ class Encoder(dict):
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.words(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        new = self._learn([w for w in set().union(*cut) if w not in self])
-        if len(self) + len(new) > REMEMBERED:
-            kept = {w: self[w] for words in cut for w in words if w in self}
-            self.clear()
-            self.update(kept)
-        self.update(new)
-        out = [np.frombuffer(b"".join(map(self.__getitem__, words)), np.int32) for words in cut]
+        seen = set().union(*cut)
+        new = self._learn(list(seen.difference(self.known)))
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known = {w: self.known[w] for w in seen.intersection(self.known)}
+        self.known.update(new)
+        out = [np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32) for words in cut]
         for word in new:
             if len(word) > LONG_WORD:
-                del self[word]
-        if len(self) > REMEMBERED:
-            self.clear()
+                del self.known[word]
+        if len(self.known) > REMEMBERED:
+            self.known = {}
         return out
 
 
