@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tollgate.sources.shared import shared_folder, write_and_read
+from tollgate.sources.shared import remove_folder, shared_folder, write_and_read
 
 #: Runs of these separate words.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -19,9 +20,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Tables written for the result that is being built; None where they live to the end of the run.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and go on from the written rows."""
-    return write_and_read(df, f"{shared_folder(df.sparkSession)}/llm/{name}-{uuid4().hex}")
+    path = f"{shared_folder(df.sparkSession)}/llm/{name}-{uuid4().hex}"
+    if (written := _written.get()) is not None:
+        written.append(path)
+    return write_and_read(df, path)
+
+
+def settled(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Store what ``build`` returns and remove every table stored on the way there.
+
+    Nothing that is used later may read a table stored inside ``build``.
+    """
+    inner: list[str] = []
+    token = _written.set(inner)
+    try:
+        result = build()
+        _written.reset(token)
+        return stored(result, name)
+    finally:
+        if _written.get() is inner:
+            _written.reset(token)
+        for path in inner:
+            remove_folder(spark, path)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -2,15 +2,19 @@
 
 Two texts link when the Jaccard similarity of their sets of four-word shingles is at least 85 %. Sets are
 ordered by shingle hash. Linked sets x and y share at least ceil(0.85 |x|) shingles, so p = |x| - ceil(0.85 |x|) + 1
-shingles of x cannot all be missing from y. What a prefix of x must therefore share depends on how frequent its shingles are:
+shingles of x cannot all be missing from y. Which prefix of x that means depends on how frequent its shingles are:
 
-* a rare shingle (in fewer than ``FREQUENT`` prefixes) is indexed alone and counts 1 towards p;
-* frequent shingles are dealt by hash into small groups and indexed by pairs (2-token combinations) of
-  a group; c of them in one group count c - 1, since two sets without a common pair share one of the group at most.
+* Rare shingles are indexed alone. A shingle is frequent if ``FREQUENT`` of the prefixes have it, counted once over the
+  prefixes that all sets begin with and once over the extended ones.
+* A set that does not have p rare shingles in its prefix gets a longer one, first as long as its share of rare ones asks
+  for, then the whole set. With p rare shingles in its prefix it is light, otherwise heavy; a heavy set's prefix is the whole set.
+* Heavy sets also index their frequent shingles, those of the first prefix, by 2-token combinations: they are dealt by hash into small groups and
+  paired inside a group; c of them in one group count c - 1 towards p, since two sets without a common pair share one
+  of the group at most. Where that does not reach p either, they are indexed singly as well.
 
-Prefixes are extended by 30 % so that they reach p. A set whose rare shingles reach p alone is light. A set that needs its
-pairs is heavy; only heavy sets look for partners through pairs, so unrelated light texts with a common
-passage never meet. A set that does not reach p with pairs either is indexed by its frequent shingles singly as well.
+Two light sets meet by a rare shingle of the one whose prefix ends first, a light and a heavy set by one of
+the light set's (the heavy one indexes all of its own), two heavy sets by a combination. So members of a family with a common core that
+all have many words of their own never meet.
 
 All pairs of a small key are compared. In a large key all sets are compared with one pivot first, then with some more, and
 only while they are in different components; a group of near copies soon is one component, so it costs a few
@@ -33,7 +37,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import SPACE, ascii_lower, shingles, stored, whole
+from tollgate.llm.common import SPACE, ascii_lower, settled, shingles, stored, whole
 from tollgate.llm.components import connected_components
 
 SHINGLE = 4
@@ -76,7 +80,7 @@ def _row_key() -> Column:
 
 
 def shingle_prefixes(docs: DataFrame, join: Join) -> DataFrame:
-    """doc_id, n_shingles, the node (a hash of the set), the extended prefix and a row key of every text."""
+    """doc_id, n_shingles, the node (a hash of the set), the first prefix and a row key of every text."""
     n = F.size("_set").cast("bigint")
     length = F.least(n, F.ceil(MARGIN * join.needed(n)) + 2)
     return docs.select("doc_id", _row_key().alias("row"), _sets(docs, join).alias("_set")).select(
@@ -84,46 +88,92 @@ def shingle_prefixes(docs: DataFrame, join: Join) -> DataFrame:
         F.slice("_set", F.lit(1), length.cast("int")).alias("prefix"))
 
 
-def _keys(rows: DataFrame, join: Join) -> DataFrame:
-    """Index keys of the shared prefix shingles: key, node, n and whether the key may be used by this set to search.
+def _crowded(prefixes: DataFrame, join: Join) -> DataFrame:
+    """Shingles that many of these prefixes have."""
+    tokens = prefixes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    return tokens.where(F.col("df") >= join.frequent).select("token")
 
-    ``rows``: node, n, p, token, at (place in the prefix), length (of the prefix), frequent.
+
+def _rare_counts(prefixes: DataFrame, frequent: DataFrame) -> DataFrame:
+    """``prefixes`` that have frequent shingles, with the number of the others as ``n_rare``."""
+    held = prefixes.select("node", F.explode("prefix").alias("token")).join(frequent, "token").groupBy("node").agg(
+        F.count(F.lit(1)).alias("n_frequent"))
+    return prefixes.join(held, "node").withColumn("n_rare", F.size("prefix") - F.col("n_frequent")).drop("n_frequent")
+
+
+def _longer(short: DataFrame, docs: DataFrame, nodes: DataFrame, join: Join, length: Column) -> DataFrame:
+    """node, n_shingles and a prefix of ``length`` of the sets in ``short``, read from their texts again."""
+    wanted = stored(short.select("node", length.cast("int").alias("length")).join(nodes, "node").select("node", "row", "length"), "short-sets")
+    texts = docs.select(_row_key().alias("row"), "text").join(wanted, "row")
+    sets = texts.select("node", "length", _sets(texts, join).alias("_set")).where(F.xxhash64("_set") == F.col("node"))
+    cut = sets.select("node", F.size("_set").cast("bigint").alias("n_shingles"), F.slice("_set", F.lit(1), F.col("length")).alias("prefix"))
+    # With repeated rows the same text may come along again.
+    return cut.dropDuplicates(["node"])
+
+
+def extended_prefixes(prefixes: DataFrame, docs: DataFrame, nodes: DataFrame, join: Join) -> tuple[DataFrame, DataFrame]:
+    """The prefixes to index (node, n_shingles, prefix, heavy) and the frequent shingles.
+
+    ``prefixes``: the first prefix of every node. ``nodes``: node and the row that stands for it.
     """
-    frequent = F.collect_list(F.when(F.col("frequent"), F.struct("at", "token")))
-    per_set = rows.groupBy("node", "n", "p", "length").agg(
-        F.sort_array(frequent).alias("f"), F.collect_list(F.when(~F.col("frequent"), F.col("token"))).alias("rare"))
-    # Shingles that no other prefix has are not among the rows; they are rare and count too.
-    n_rare = F.col("length") - F.size("f")
+    p, size = join.needed(F.col("n_shingles")), F.size("prefix")
+    first = stored(_crowded(prefixes, join), "frequent")
+    short = stored(_rare_counts(prefixes, first).where((F.col("n_rare") < p) & (size < F.col("n_shingles"))), "short")
+    length = F.least(F.col("n_shingles"), F.ceil(MARGIN * p * size / F.greatest("n_rare", F.lit(1))) + 2)
+    longer = stored(_longer(short, docs, nodes, join, length), "longer-prefixes")
+    frequent = stored(first.unionAll(_crowded(longer, join)).distinct(), "frequent")
+    now = prefixes.join(longer.select("node"), "node", "left_anti").unionAll(longer.select(*prefixes.columns))
+    short = stored(_rare_counts(now, frequent).where(F.col("n_rare") < p).select("node", "n_shingles", size.alias("length")), "short")
+    full = stored(_longer(short.where(F.col("length") < F.col("n_shingles")), docs, nodes, join, F.col("n_shingles")), "whole-sets")
+    now = now.join(full.select("node"), "node", "left_anti").unionAll(full.select(*now.columns))
+    # Only sets that were short can be heavy, and each of them is whole now.
+    whole_sets = now.join(short.select("node"), "node", "left_semi")
+    heavy = stored(_rare_counts(whole_sets, frequent).where(F.col("n_rare") < p).select("node"), "heavy")
+    marked = now.join(heavy.withColumn("heavy", F.lit(True)), "node", "left")
+    return marked.withColumn("heavy", F.coalesce("heavy", F.lit(False))), frequent
+
+
+def _combinations(heavy: DataFrame, frequent: DataFrame, join: Join) -> DataFrame:
+    """Index keys of the frequent shingles of heavy sets: key, node, n and whether the key may be used by this set to search.
+
+    ``heavy``: node, n and the first prefix.
+    """
+    rows = heavy.select("node", F.explode("prefix").alias("token")).join(frequent, "token")
+    found = rows.groupBy("node").agg(F.sort_array(F.collect_list("token")).alias("f"))
+    per_set = heavy.select("node", "n", F.size("prefix").alias("length")).join(found, "node")
     own = F.array(join.bucket(F.col("n")), join.bucket(F.col("n")) + 1)
-    sized = per_set.withColumn("light", n_rare >= F.col("p")).select("*", F.posexplode(own).alias("second", "bucket"))
-    grouped = sized.withColumn("g", F.transform("f", lambda x: F.struct(
-        F.pmod(F.shiftrightunsigned(x["token"], 9), join.groups(F.col("bucket"))).alias("g"), x["token"].alias("token"))))
+    sized = per_set.select("*", F.explode(own).alias("bucket"))
+    grouped = sized.withColumn("g", F.transform("f", lambda t: F.struct(
+        F.pmod(F.shiftrightunsigned(t, 9), join.groups(F.col("bucket"))).alias("g"), t.alias("token"))))
     n_groups = F.size(F.array_distinct(F.transform("g", lambda x: x["g"])))
-    grouped = grouped.withColumn("by_pairs", n_rare + F.size("f") - n_groups >= F.col("p"))
-    rare = F.when(F.col("second") == 0, F.col("rare")).otherwise(F.array().cast("array<bigint>"))
-    single = F.transform(rare, lambda t: F.struct(F.xxhash64(F.lit("rare"), t).alias("key"), F.lit(True).alias("searches")))
+    grouped = grouped.withColumn("by_pairs", F.col("length") - n_groups >= join.needed(F.col("n")))
     ordered = F.sort_array("g")
     pairs = F.flatten(F.transform(ordered, lambda x, i: F.transform(
         F.filter(F.slice(ordered, i + 2, F.size(ordered)), lambda y: y["g"] == x["g"]),
-        lambda y: F.struct(F.xxhash64(F.lit("pair"), F.col("bucket"), x["token"], y["token"]).alias("key"),
-                           (~F.col("light")).alias("searches")))))
+        lambda y: F.struct(F.xxhash64(F.lit("pair"), F.col("bucket"), x["token"], y["token"]).alias("key"), F.lit(True).alias("searches")))))
     alone = F.transform("g", lambda x: F.struct(F.xxhash64(F.lit("alone"), F.col("bucket"), x["token"]).alias("key"),
-                                                (~F.col("light") & ~F.col("by_pairs")).alias("searches")))
-    return grouped.select("node", "n", F.inline(F.concat(single, pairs, alone)))
+                                                (~F.col("by_pairs")).alias("searches")))
+    return grouped.select("node", "n", F.inline(F.concat(pairs, alone)))
+
 
+def index_keys(indexed: DataFrame, frequent: DataFrame, prefixes: DataFrame, join: Join) -> DataFrame:
+    """Keys that at least two nodes share and one of them searches by.
 
-def index_keys(prefixes: DataFrame, join: Join) -> DataFrame:
-    """Keys that at least two nodes share and one of them searches by. ``prefixes``: one row per node."""
-    rows = prefixes.select("node", F.col("n_shingles").alias("n"), join.needed(F.col("n_shingles")).alias("p"),
-                           F.size("prefix").alias("length"), F.posexplode("prefix").alias("at", "token"))
-    counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = rows.join(counts, "token").select("node", "n", "p", "length", "at", "token", (F.col("df") >= join.frequent).alias("frequent"))
-    keys = stored(_keys(shared, join), "join-keys")
+    ``indexed``: the prefixes to index, ``prefixes``: the first ones.
+    """
+    rows = indexed.select("node", F.col("n_shingles").alias("n"), F.explode("prefix").alias("token"))
+    rare = rows.join(frequent, "token", "left_anti").select(
+        "node", "n", F.xxhash64(F.lit("rare"), "token").alias("key"), F.lit(True).alias("searches"))
+    heavy = prefixes.join(indexed.where("heavy").select("node"), "node", "left_semi").select(
+        "node", F.col("n_shingles").alias("n"), "prefix")
+    counts = rare.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    shared = rare.join(counts.select("key"), "key").select("node", "n", "key", "searches")
+    keys = stored(shared.unionAll(_combinations(heavy, frequent, join)), "join-keys")
     # Keys with the same members, told by two hashes of them, ask the same; one of them is kept.
     alike = [F.bit_xor(F.xxhash64(F.lit(k), "node", "searches")).alias(f"_alike{k}") for k in (0, 1)]
     useful = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.max("searches").alias("searched"), *alike)
     kept = useful.where("members > 1 and searched").groupBy("members", "_alike0", "_alike1").agg(F.min("key").alias("key"))
-    return stored(keys.join(kept.select("key", "members"), "key"), "join-index")
+    return keys.join(kept.select("key", "members"), "key")
 
 
 def _pairs(index: DataFrame, labels: DataFrame | None, pivots: tuple[int, int], join: Join) -> DataFrame:
@@ -216,24 +266,24 @@ def _verified(pairs: DataFrame, opened: list[DataFrame], join: Join) -> DataFram
     return exact.where(100 * common >= join.percent * (F.col("na") + F.col("nb") - common)).select("a", "b")
 
 
-def link_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
-    """doc_id, n_shingles and component_id, the smallest doc_id reachable by links."""
+def _linked(docs: DataFrame, join: Join) -> DataFrame:
+    spark = docs.sparkSession
     own = stored(shingle_prefixes(docs, join), "shingle-prefixes")
     nodes = stored(own.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("row")), "nodes")
     # One text stands for its node. The row is part of the key, so copies spread over the tasks.
-    prefixes = own.join(nodes.select("node", "row"), ["node", "row"])
-    prefixes = stored(prefixes.select("node", "n_shingles", "prefix").dropDuplicates(["node"]), "node-prefixes")
-    index = index_keys(prefixes, join)
+    one = own.join(nodes.select("node", "row"), ["node", "row"])
+    first = stored(one.select("node", "n_shingles", "prefix").dropDuplicates(["node"]), "node-prefixes")
+    index = settled(spark, lambda: index_keys(*extended_prefixes(first, docs, nodes, join), first, join), "join-index")
     labels, links, opened = None, [], []
     for pivots in zip([0, *PIVOTS], PIVOTS):
-        pairs = stored(_pairs(index, labels, pivots, join), "pairs")
+        pairs = settled(spark, lambda: _pairs(index, labels, pivots, join), "pairs")
         if labels is not None and pairs.isEmpty():
             continue
-        hopeful = stored(_not_rejected(pairs, prefixes, join), "hopeful-pairs")
+        hopeful = stored(_not_rejected(pairs, first, join), "hopeful-pairs")
         _open(hopeful, opened, docs, nodes, join)
-        links.append(stored(_verified(hopeful, opened, join), "links"))
-        labels = connected_components(reduce(DataFrame.unionAll, links))
+        links.append(settled(spark, lambda: _verified(hopeful, opened, join), "links"))
+        labels = settled(spark, lambda: connected_components(reduce(DataFrame.unionAll, links)), "labels")
     marked = own.select("doc_id", "n_shingles", "node").join(labels, "node", "left")
     marked = marked.withColumn("component", F.coalesce("component", "node"))
     # The node numbers are hashes; the smallest document id names the component.
@@ -242,6 +292,11 @@ def link_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
     return named.select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def link_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
+    """doc_id, n_shingles and component_id, the smallest doc_id reachable by links. Stored; the tables on the way there are removed."""
+    return settled(docs.sparkSession, lambda: _linked(docs, join), "linked-documents")
+
+
 def one_of_each(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """The documents, exactly one row of each group: the one with the smallest id, a null id last, then the smallest key.
 
