@@ -105,14 +105,15 @@ def _longer(short: DataFrame, docs: DataFrame, nodes: DataFrame, join: Join, len
     """node, n_shingles and a prefix of ``length`` of the sets in ``short``, read from their texts again."""
     wanted = stored(short.select("node", length.cast("int").alias("length")).join(nodes, "node").select("node", "row", "length"), "short-sets")
     texts = docs.select(_row_key().alias("row"), "text").join(wanted, "row")
-    sets = texts.select("node", "length", _sets(texts, join).alias("_set")).where(F.xxhash64("_set") == F.col("node"))
-    cut = sets.select("node", F.size("_set").cast("bigint").alias("n_shingles"), F.slice("_set", F.lit(1), F.col("length")).alias("prefix"))
+    # Stored before the test, or the planner would join by it and take the sets of all texts.
+    sets = stored(texts.select("node", "length", _sets(texts, join).alias("set")), "short-texts").where(F.xxhash64("set") == F.col("node"))
+    cut = sets.select("node", F.size("set").cast("bigint").alias("n_shingles"), F.slice("set", F.lit(1), F.col("length")).alias("prefix"))
     # With repeated rows the same text may come along again.
     return cut.dropDuplicates(["node"])
 
 
-def extended_prefixes(prefixes: DataFrame, docs: DataFrame, nodes: DataFrame, join: Join) -> tuple[DataFrame, DataFrame]:
-    """The prefixes to index (node, n_shingles, prefix, heavy) and the frequent shingles.
+def extended_prefixes(prefixes: DataFrame, docs: DataFrame, nodes: DataFrame, join: Join) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The prefixes to index, the frequent shingles, and the heavy sets (node, n_rare).
 
     ``prefixes``: the first prefix of every node. ``nodes``: node and the row that stands for it.
     """
@@ -128,19 +129,18 @@ def extended_prefixes(prefixes: DataFrame, docs: DataFrame, nodes: DataFrame, jo
     now = now.join(full.select("node"), "node", "left_anti").unionAll(full.select(*now.columns))
     # Only sets that were short can be heavy, and each of them is whole now.
     whole_sets = now.join(short.select("node"), "node", "left_semi")
-    heavy = stored(_rare_counts(whole_sets, frequent).where(F.col("n_rare") < p).select("node"), "heavy")
-    marked = now.join(heavy.withColumn("heavy", F.lit(True)), "node", "left")
-    return marked.withColumn("heavy", F.coalesce("heavy", F.lit(False))), frequent
+    heavy = stored(_rare_counts(whole_sets, frequent).where(F.col("n_rare") < p).select("node", "n_rare"), "heavy")
+    return now, frequent, heavy
 
 
 def _combinations(heavy: DataFrame, frequent: DataFrame, join: Join) -> DataFrame:
-    """Index keys of the frequent shingles of heavy sets: key, node, n and whether the key may be used by this set to search.
+    """Index keys of the frequent shingles of heavy sets: key, node, n, the largest partner, whether this set searches by the key.
 
-    ``heavy``: node, n and the first prefix.
+    ``heavy``: node, n, most and the first prefix.
     """
     rows = heavy.select("node", F.explode("prefix").alias("token")).join(frequent, "token")
     found = rows.groupBy("node").agg(F.sort_array(F.collect_list("token")).alias("f"))
-    per_set = heavy.select("node", "n", F.size("prefix").alias("length")).join(found, "node")
+    per_set = heavy.select("node", "n", "most", F.size("prefix").alias("length")).join(found, "node")
     own = F.array(join.bucket(F.col("n")), join.bucket(F.col("n")) + 1)
     sized = per_set.select("*", F.explode(own).alias("bucket"))
     grouped = sized.withColumn("g", F.transform("f", lambda t: F.struct(
@@ -153,24 +153,30 @@ def _combinations(heavy: DataFrame, frequent: DataFrame, join: Join) -> DataFram
         lambda y: F.struct(F.xxhash64(F.lit("pair"), F.col("bucket"), x["token"], y["token"]).alias("key"), F.lit(True).alias("searches")))))
     alone = F.transform("g", lambda x: F.struct(F.xxhash64(F.lit("alone"), F.col("bucket"), x["token"]).alias("key"),
                                                 (~F.col("by_pairs")).alias("searches")))
-    return grouped.select("node", "n", F.inline(F.concat(pairs, alone)))
+    return grouped.select("node", "n", "most", F.inline(F.concat(pairs, alone)))
 
 
-def index_keys(indexed: DataFrame, frequent: DataFrame, prefixes: DataFrame, join: Join) -> DataFrame:
+def index_keys(indexed: DataFrame, frequent: DataFrame, heavy: DataFrame, prefixes: DataFrame, join: Join) -> DataFrame:
     """Keys that at least two nodes share and one of them searches by.
 
+    Sets that share a rare shingle meet by it. By combinations a heavy set need only meet sets that share none of its
+    rare ones, so no more than its n - n_rare others, which bounds the partner's size (``most``). Two sets of about the same
+    size that both have 9 % of their own are thus not paired.
+
     ``indexed``: the prefixes to index, ``prefixes``: the first ones.
     """
     rows = indexed.select("node", F.col("n_shingles").alias("n"), F.explode("prefix").alias("token"))
     rare = rows.join(frequent, "token", "left_anti").select(
-        "node", "n", F.xxhash64(F.lit("rare"), "token").alias("key"), F.lit(True).alias("searches"))
-    heavy = prefixes.join(indexed.where("heavy").select("node"), "node", "left_semi").select(
-        "node", F.col("n_shingles").alias("n"), "prefix")
+        "node", "n", F.lit(2**62).alias("most"), F.xxhash64(F.lit("rare"), "token").alias("key"), F.lit(True).alias("searches"))
+    n = F.col("n_shingles")
+    most = F.floor((100 + join.percent) * (n - F.col("n_rare")) / join.percent) - n
+    heavy = prefixes.join(heavy, "node").select("node", n.alias("n"), most.alias("most"), "prefix")
+    heavy = heavy.where(100 * F.col("most") >= join.percent * F.col("n"))
     counts = rare.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = rare.join(counts.select("key"), "key").select("node", "n", "key", "searches")
+    shared = rare.join(counts.select("key"), "key").select("node", "n", "most", "key", "searches")
     keys = stored(shared.unionAll(_combinations(heavy, frequent, join)), "join-keys")
     # Keys with the same members, told by two hashes of them, ask the same; one of them is kept.
-    alike = [F.bit_xor(F.xxhash64(F.lit(k), "node", "searches")).alias(f"_alike{k}") for k in (0, 1)]
+    alike = [F.bit_xor(F.xxhash64(F.lit(k), "node", "most", "searches")).alias(f"_alike{k}") for k in (0, 1)]
     useful = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.max("searches").alias("searched"), *alike)
     kept = useful.where("members > 1 and searched").groupBy("members", "_alike0", "_alike1").agg(F.min("key").alias("key"))
     return keys.join(kept.select("key", "members"), "key")
@@ -185,25 +191,24 @@ def _pairs(index: DataFrame, labels: DataFrame | None, pivots: tuple[int, int],
     the size of the key; over all rounds every set is one.
     """
     large = index.where(F.col("members") >= join.frequent)
+    x, y = (F.struct("node", "n", "most").alias(side) for side in "xy")
     if labels is None:
         small = index.where(F.col("members") < join.frequent)
-        left = small.where("searches").select("key", F.col("node").alias("x"), F.col("n").alias("nx"))
-        met = left.join(small.select("key", F.col("node").alias("y"), F.col("n").alias("ny")), "key").select("x", "nx", "y", "ny")
-        pivots = large.groupBy("key").agg(F.min_by(F.struct("node", "n"), F.when(F.col("searches"), F.col("node"))).alias("pivot"))
-        met = met.unionAll(large.join(pivots, "key").select(
-            F.col("pivot.node").alias("x"), F.col("pivot.n").alias("nx"), F.col("node").alias("y"), F.col("n").alias("ny")))
+        met = small.where("searches").select("key", x).join(small.select("key", y), "key").select("x", "y")
+        pivots = large.groupBy("key").agg(F.min_by(F.struct("node", "n", "most"), F.when(F.col("searches"), F.col("node"))).alias("x"))
+        met = met.unionAll(large.select("key", y).join(pivots, "key").select("x", "y"))
     else:
         marked = large.join(labels, "node", "left").withColumn("component", F.coalesce("component", F.col("node")))
         apart = marked.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
         open_keys = marked.join(apart.select("key"), "key")
         turn = F.pmod(F.xxhash64(F.lit("turn"), "node"), F.lit(1 << 30)) / (1 << 30) * F.col("members")
         chosen = open_keys.where(F.col("searches") & (turn >= pivots[0]) & (turn < pivots[1]))
-        left = chosen.select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-        right = open_keys.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
-        met = left.join(right, "key").where("cx <> cy").select("x", "nx", "y", "ny")
-    sized = 100 * F.least("nx", "ny") >= join.percent * F.greatest("nx", "ny")
-    return met.where((F.col("x") != F.col("y")) & sized).select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        left = chosen.select("key", x, F.col("component").alias("cx"))
+        met = left.join(open_keys.select("key", y, F.col("component").alias("cy")), "key").where("cx <> cy").select("x", "y")
+    nx, ny = F.col("x.n"), F.col("y.n")
+    sized = (100 * F.least(nx, ny) >= join.percent * F.greatest(nx, ny)) & (ny <= F.col("x.most")) & (nx <= F.col("y.most"))
+    return met.where((F.col("x.node") != F.col("y.node")) & sized).select(
+        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
 def _missing_limit(n: Column, m: Column, join: Join) -> Column:
