@@ -138,22 +138,18 @@ def _combinations(heavy: DataFrame, frequent: DataFrame, join: Join) -> DataFram
 
     ``heavy``: node, n, most and the first prefix.
     """
-    rows = heavy.select("node", F.explode("prefix").alias("token")).join(frequent, "token")
-    found = rows.groupBy("node").agg(F.sort_array(F.collect_list("token")).alias("f"))
-    per_set = heavy.select("node", "n", "most", F.size("prefix").alias("length")).join(found, "node")
     own = F.array(join.bucket(F.col("n")), join.bucket(F.col("n")) + 1)
-    sized = per_set.select("*", F.explode(own).alias("bucket"))
-    grouped = sized.withColumn("g", F.transform("f", lambda t: F.struct(
-        F.pmod(F.shiftrightunsigned(t, 9), join.groups(F.col("bucket"))).alias("g"), t.alias("token"))))
-    n_groups = F.size(F.array_distinct(F.transform("g", lambda x: x["g"])))
-    grouped = grouped.withColumn("by_pairs", F.col("length") - n_groups >= join.needed(F.col("n")))
-    ordered = F.sort_array("g")
-    pairs = F.flatten(F.transform(ordered, lambda x, i: F.transform(
-        F.filter(F.slice(ordered, i + 2, F.size(ordered)), lambda y: y["g"] == x["g"]),
-        lambda y: F.struct(F.xxhash64(F.lit("pair"), F.col("bucket"), x["token"], y["token"]).alias("key"), F.lit(True).alias("searches")))))
-    alone = F.transform("g", lambda x: F.struct(F.xxhash64(F.lit("alone"), F.col("bucket"), x["token"]).alias("key"),
-                                                (~F.col("by_pairs")).alias("searches")))
-    return grouped.select("node", "n", "most", F.inline(F.concat(pairs, alone)))
+    rows = heavy.select("node", "n", "most", F.size("prefix").alias("length"), F.explode("prefix").alias("token")).join(frequent, "token")
+    dealt = rows.select("*", F.explode(own).alias("bucket")).withColumn(
+        "g", F.pmod(F.shiftrightunsigned("token", 9), join.groups(F.col("bucket"))))
+    # A row per group of some tokens, so that a very long set is never one row with all its pairs.
+    groups = stored(dealt.groupBy("node", "n", "most", "length", "bucket", "g").agg(F.collect_list("token").alias("t")), "token-groups")
+    n_groups = groups.groupBy("node", "bucket").agg(F.count(F.lit(1)).alias("n_groups"))
+    by_pairs = F.col("length") - F.col("n_groups") >= join.needed(F.col("n"))
+    pairs = F.flatten(F.transform("t", lambda x: F.transform(F.filter("t", lambda y: x < y), lambda y: F.struct(
+        F.xxhash64(F.lit("pair"), F.col("bucket"), x, y).alias("key"), F.lit(True).alias("searches")))))
+    alone = F.transform("t", lambda x: F.struct(F.xxhash64(F.lit("alone"), F.col("bucket"), x).alias("key"), (~by_pairs).alias("searches")))
+    return groups.join(n_groups, ["node", "bucket"]).select("node", "n", "most", F.inline(F.concat(pairs, alone)))
 
 
 def index_keys(indexed: DataFrame, frequent: DataFrame, heavy: DataFrame, prefixes: DataFrame, join: Join) -> DataFrame:
