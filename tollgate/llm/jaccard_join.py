@@ -42,7 +42,7 @@ from tollgate.llm.components import connected_components
 
 SHINGLE = 4
 PERCENT = 85
-FREQUENT = 33
+FREQUENT = 9
 MARGIN = 1.3
 #: About so many shingles of an all-frequent prefix fall into one group.
 GROUP = 5
