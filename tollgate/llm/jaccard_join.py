@@ -119,14 +119,17 @@ def extended_prefixes(prefixes: DataFrame, docs: DataFrame, nodes: DataFrame, jo
     """
     p, size = join.needed(F.col("n_shingles")), F.size("prefix")
     first = stored(_crowded(prefixes, join), "frequent")
-    short = stored(_rare_counts(prefixes, first).where((F.col("n_rare") < p) & (size < F.col("n_shingles"))), "short")
-    length = F.least(F.col("n_shingles"), F.ceil(MARGIN * p * size / F.greatest("n_rare", F.lit(1))) + 2)
+    short = stored(_rare_counts(prefixes, first).where((F.col("n_rare") < p) & (size < F.col("n_shingles"))).select(
+        "node", "n_shingles", "n_rare", size.alias("length")), "short")
+    length = F.least(F.col("n_shingles"), F.ceil(MARGIN * p * F.col("length") / F.greatest("n_rare", F.lit(1))) + 2)
     longer = stored(_longer(short, docs, nodes, join, length), "longer-prefixes")
     frequent = stored(first.unionAll(_crowded(longer, join)).distinct(), "frequent")
-    now = prefixes.join(longer.select("node"), "node", "left_anti").unionAll(longer.select(*prefixes.columns))
+    # Told by the narrow list of short sets, whose size the planner sees; the table of prefixes would be shuffled.
+    now = prefixes.join(short.select("node"), "node", "left_anti").unionAll(longer.select(*prefixes.columns))
     short = stored(_rare_counts(now, frequent).where(F.col("n_rare") < p).select("node", "n_shingles", size.alias("length")), "short")
-    full = stored(_longer(short.where(F.col("length") < F.col("n_shingles")), docs, nodes, join, F.col("n_shingles")), "whole-sets")
-    now = now.join(full.select("node"), "node", "left_anti").unionAll(full.select(*now.columns))
+    part = short.where(F.col("length") < F.col("n_shingles"))
+    full = stored(_longer(part, docs, nodes, join, F.col("n_shingles")), "whole-sets")
+    now = now.join(part.select("node"), "node", "left_anti").unionAll(full.select(*now.columns))
     # Only sets that were short can be heavy, and each of them is whole now.
     whole_sets = now.join(short.select("node"), "node", "left_semi")
     heavy = stored(_rare_counts(whole_sets, frequent).where(F.col("n_rare") < p).select("node", "n_rare"), "heavy")
@@ -163,13 +166,13 @@ def index_keys(indexed: DataFrame, frequent: DataFrame, heavy: DataFrame, prefix
     """
     rows = indexed.select("node", F.col("n_shingles").alias("n"), F.explode("prefix").alias("token"))
     rare = rows.join(frequent, "token", "left_anti").select(
-        "node", "n", F.lit(2**62).alias("most"), F.xxhash64(F.lit("rare"), "token").alias("key"), F.lit(True).alias("searches"))
+        "node", "n", F.xxhash64(F.lit("rare"), "token").alias("key"))
     n = F.col("n_shingles")
     most = F.floor((100 + join.percent) * (n - F.col("n_rare")) / join.percent) - n
     heavy = prefixes.join(heavy, "node").select("node", n.alias("n"), most.alias("most"), "prefix")
     heavy = heavy.where(100 * F.col("most") >= join.percent * F.col("n"))
     counts = rare.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = rare.join(counts.select("key"), "key").select("node", "n", "most", "key", "searches")
+    shared = rare.join(counts.select("key"), "key").select("node", "n", F.lit(2**62).alias("most"), "key", F.lit(True).alias("searches"))
     keys = stored(shared.unionAll(_combinations(heavy, frequent, join)), "join-keys")
     # Keys with the same members, told by two hashes of them, ask the same; one of them is kept.
     alike = [F.bit_xor(F.xxhash64(F.lit(k), "node", "most", "searches")).alias(f"_alike{k}") for k in (0, 1)]
