@@ -49,8 +49,10 @@ def test_quality_verdict_against_numpy(spark, documents):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = quality.judge_quality(docs).toPandas()
     assert not rows.loc[rows.base_failed, "kept"].any()
-    used = rows[~rows.base_failed & rows.distance.notna()]
-    for _, cell in used.groupby("cell"):
+    used = rows[~rows.base_failed]
+    assert used.distance.notna().all()
+    # A cell's distances are of its estimate's own rows where every source of the language is large.
+    for _, cell in used[~used.cell.str.contains("*", regex=False)].groupby("cell"):
         n, chars = np.maximum(cell.n_words, 1), np.maximum(cell.word_chars, 1)
         x = np.column_stack([np.log(n), np.log(chars / n), np.log1p(100 * cell.n_symbols / chars),
                              np.log1p(100 * cell.n_dup_lines / n), np.log1p(10 * cell.n_repeat_words / n)])
@@ -65,6 +67,28 @@ def test_quality_verdict_against_numpy(spark, documents):
     assert good[~good.base_failed].kept.mean() > 0.99
 
 
+def test_small_cells_are_judged_by_wider_estimates(spark):
+    """Junk in a small source, a rare language or a lone text is rejected; plain texts of the same cells stay."""
+    plain = "the quick brown fox number {0} met {1} dogs near a river bank and told them {2} stories about rain wind sun snow and ice until noon on day {3}"
+    junk = " ".join(f"#$%&|<>*#$%&|<>*#$%&|<>*{i}" for i in range(60))
+    rows = [("de", "big", plain.format(i, i * 7 % 31, i * 3 % 17, i * 11 % 29)) for i in range(200)]
+    rows += [("de", "small", plain.format(i, 1, 2, i * i)) for i in range(5)] + [("de", "small", junk)]
+    rows += [("fr", None, plain.format(i, 4, i, 2)) for i in range(3)] + [("fr", None, junk)] + [(None, "x", junk), (None, "x", plain.format(1, 2, 3, 4))]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id bigint, lang string, source string, text string")
+    got = {r.doc_id: r for r in quality.judge_quality(docs).collect()}
+    assert {i: got[i].kept for i in got} == {i: r[2] != junk for i, r in enumerate(rows)}
+    assert all(r.distance is not None for r in got.values())
+    cells = {rows[i][:2]: r.cell for i, r in got.items()}
+    assert cells == {("de", "big"): '{"lang":"de","source":"big"}', ("de", "small"): '{"lang":"de","rest":"*"}',
+                     ("fr", None): '{"all":"*"}', (None, "x"): '{"all":"*"}'}
+    # The language's estimate rests on all its texts, the widest on all texts; a few texts alone are judged as well.
+    few = quality.judge_quality(docs.where("lang = 'fr'")).collect()
+    assert len(few) == 4 and all(r.cell == '{"all":"*"}' and r.distance is not None for r in few)
+    facts = quality._vectors(quality.text_statistics(docs))
+    fed = Counter(c for r in quality._cells(facts, quality.MIN_ROWS).where("not base_failed").collect() for c in r.feeds)
+    assert fed == {'{"lang":"de","source":"big"}': 200, '{"lang":"de","rest":"*"}': 206, '{"all":"*"}': 212}
+
+
 def test_quality_of_no_rows(no_docs):
     assert quality.judge_quality(no_docs).count() == 0
 
@@ -216,6 +240,30 @@ def test_repeated_rows_are_documents_each(spark, monkeypatch):
     assert len(starts) == len(set(starts)) == sum(len(words_of(t)) for _, t, _ in rows)
 
 
+def test_shards_are_drawn_and_say_where_documents_go(spark):
+    """Shards' source counts are draws without replacement from the quotas; the query's shards are those of the mix."""
+    words = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: F.concat(F.lit("w"), i)), " ")
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), words.alias("text"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"))
+    placed = mixing.placed_documents(docs)
+    slots = mixing.slots(mixing.source_plan(placed), per_shard=50).toPandas()
+    assert not slots.duplicated(["shard", "slot"]).any()
+    counts = slots.groupby(["shard", "rank"]).size().unstack(fill_value=0)
+    total = slots["rank"].value_counts()
+    n, last = len(slots), slots["shard"].max()
+    assert (counts.drop(last).sum(axis=1) == 50).all() and counts.sum().to_dict() == total.to_dict()
+    for rank, k in total.items():
+        share = k / n
+        spread = 50 * share * (1 - share) * (n - 50) / (n - 1)
+        drawn = counts.drop(last)[rank]
+        assert abs(drawn.mean() - 50 * share) < 4 * (spread / len(drawn)) ** 0.5 + 1 and 0.4 < drawn.var() / spread < 2.2
+    mixed = mixing.mix(docs).where("words_used > 0").toPandas().groupby("doc_id")["shard"].agg(["size", "min", "max"])
+    got = mixing.words_taken(docs).toPandas().set_index("doc_id")
+    assert len(got) == 3000 and (got.n_parts > 0).sum() == len(mixed) and got[got.n_parts == 0].first_shard.isna().all()
+    seen = got[got.n_parts > 0].sort_index()
+    assert (seen[["n_parts", "first_shard", "last_shard"]].astype(int).to_numpy() == mixed.sort_index().to_numpy()).all()
+    assert seen.last_shard.max() > 0
+
+
 def test_blocks_are_full_and_permutations_are_bijections(spark, documents):
     slots = mixing.mix(documents).where("shard is not null").groupBy("shard", "slot").agg(F.sum("words_used").alias("n")).collect()
     sources = documents.select("source").distinct().count()

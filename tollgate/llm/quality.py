@@ -6,10 +6,13 @@ minimum-covariance-determinant estimates: from several robust starts, concentrat
 steps keep the rows nearest to the current estimate and estimate anew, and the start whose
 scatter ends with the smallest determinant wins. All rows take part in every step.
 
+Estimates are made at three levels: language and source, language, all texts. A text is judged by the
+narrowest that rests on ``min_rows`` texts or more, or else by the one of all texts, whatever their number: the
+floors of the scatter keep it regular, so every text that passes the base limits has a distance.
+
 Defined cases: null or empty texts have no words and fail the base limits; a null language
-or source is a cell of its own; cells with fewer than ``min_rows`` texts are joined to one
-cell of their language, and a cell that is still too small rejects nothing. Repeated rows count as often
-as they occur. An empty table gives no rows. Other columns are left out by ``text_statistics``.
+or source is one of its own. Repeated rows count as often as they occur. Very long texts are read whole. An empty table
+gives no rows. Other columns are left out by ``text_statistics``.
 """
 
 from __future__ import annotations
@@ -89,11 +92,24 @@ def _vectors(facts: DataFrame) -> DataFrame:
 
 
 def _cells(rows: DataFrame, min_rows: int) -> DataFrame:
-    """Add ``cell``: language and source as one text, small sources of a language together."""
+    """Add ``cell``, the estimate that judges a text, and ``feeds``, the estimates that it takes part in.
+
+    The estimate of a language is made where a source of it is small, the one of all texts where a language is.
+    """
     fine, coarse = F.to_json(F.struct("lang", "source")), F.to_json(F.struct("lang", F.lit("*").alias("rest")))
-    counts = rows.groupBy(fine.alias("_fine")).agg(F.count_if(~F.col("base_failed")).alias("_n"))
-    joined = rows.withColumn("_fine", fine).join(counts, "_fine")
-    return joined.withColumn("cell", F.when(F.col("_n") >= min_rows, F.col("_fine")).otherwise(coarse)).drop("_fine", "_n")
+    everything = F.lit('{"all":"*"}')
+    counts = _small(rows.groupBy(fine.alias("_fine"), coarse.alias("_coarse")).agg(
+        F.count_if(~F.col("base_failed")).alias("_n")), "cell-counts")
+    languages = _small(counts.groupBy("_coarse").agg(
+        F.sum("_n").alias("_all"), F.max(F.col("_n") < min_rows).alias("_parted")), "language-counts")
+    rare_languages = languages.agg(F.max(F.col("_all") < min_rows)).first()[0]
+    enough, spoken = F.col("_n") >= min_rows, F.col("_all") >= min_rows
+    feeds = F.array(F.when(enough, F.col("_fine")), F.when(F.col("_parted") & spoken, F.col("_coarse")),
+                    F.when(F.lit(bool(rare_languages)), everything))
+    told = _small(counts.join(languages, "_coarse").select(
+        "_fine", F.when(enough, F.col("_fine")).when(spoken, F.col("_coarse")).otherwise(everything).alias("cell"),
+        F.array_compact(feeds).alias("feeds")), "cell-levels")
+    return rows.withColumn("_fine", fine).join(told, "_fine").drop("_fine")
 
 
 def _estimates(rows: DataFrame, z: list[Column], by: list[str], weight: Column | None = None) -> DataFrame:
@@ -199,8 +215,9 @@ def judge_quality(docs: DataFrame, cutoff: float = CUTOFF, min_rows: int = MIN_R
     """Statistics of every text with ``base_failed``, its squared ``distance`` and the verdict ``kept``."""
     facts = stored(_vectors(text_statistics(docs)), "statistics")
     rows = stored(_cells(facts, min_rows), "cells")
-    estimates = robust_estimates(rows.where(~F.col("base_failed")))
-    judged = rows.join(estimates, "cell", "left").withColumn("distance", F.when(F.col("n") >= 2 * P, _distance()))
+    estimates = robust_estimates(rows.where(~F.col("base_failed")).select(F.explode("feeds").alias("cell"), *VECTOR))
+    # Without an estimate there is no text that passes the base limits.
+    judged = rows.join(estimates, "cell", "left").withColumn("distance", _distance())
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
