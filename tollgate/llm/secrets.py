@@ -60,6 +60,8 @@ RULES = [
 ]
 #: Matches of a text are added up in blocks of so many.
 BLOCK = 512
+#: Characters in a piece of a text that secrets are cut out of.
+PIECE = 4096
 BASE = ["assign", "access", "hex"]
 FINDING = "array<struct<kind:string,start:bigint,stop:bigint>>"
 
@@ -164,6 +166,40 @@ def span_list(findings: Column) -> Column:
     return F.array_join(F.transform(findings, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
 
 
+def _without(text: Column, found: Column, mark: str) -> Column:
+    """The text with a mark for every run of overlapping spans; ``found`` is in order of start.
+
+    Where earlier spans end is added up by blocks of spans, and clear parts come from pieces of the text, so the
+    work per span is bounded: it does not grow with the text or the spans before.
+    """
+    zero = F.lit(0).cast("bigint")
+
+    def last_stop(part: Column) -> Column:
+        return F.aggregate(part, zero, lambda t, x: F.greatest(t, x["stop"]))
+
+    def clear(pieces: Column, start: Column, stop: Column) -> Column:
+        first, last = F.floor(start / PIECE).cast("int"), F.floor(stop / PIECE).cast("int")
+        return F.substring(F.array_join(F.slice(pieces, first + 1, last - first + 1), ""),
+                           (F.pmod(start, F.lit(PIECE)) + 1).cast("int"), (stop - start).cast("int"))
+
+    def assembled(x: Column) -> Column:
+        def part(i: Column) -> Column:
+            block = F.floor((i - 1) / BLOCK).cast("int")
+            at = F.greatest(F.element_at(x["before"], block + 1), last_stop(F.slice(x["s"], block * BLOCK + 1, i - 1 - block * BLOCK)))
+            return let(F.struct(at.alias("at"), F.element_at(x["s"], i)["start"].alias("start")), lambda y: F.when(
+                y["start"] >= y["at"], F.concat(clear(x["pieces"], y["at"], y["start"]), F.lit(mark))).otherwise(""))
+
+        parts = F.transform(F.sequence(F.lit(1), F.size(x["s"])), part)
+        return F.concat(F.array_join(parts, ""), clear(x["pieces"], last_stop(x["s"]), F.char_length(text).cast("bigint")))
+
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    stops = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / BLOCK).cast("int")),
+                        lambda b: last_stop(F.slice(found, b * BLOCK + 1, F.lit(BLOCK))))
+    before = let(stops, lambda t: F.transform(F.sequence(F.lit(0), F.size(t) - 1), lambda b: F.aggregate(
+        F.slice(t, F.lit(1), b), zero, lambda m, y: F.greatest(m, y))))
+    return let(F.struct(found.alias("s"), before.alias("before"), pieces.alias("pieces")), assembled)
+
+
 def redact(docs: DataFrame, ledger: str, mark: str = "[SECRET]") -> DataFrame:
     """The documents with every secret replaced; overlapping spans become one mark.
 
@@ -174,16 +210,7 @@ def redact(docs: DataFrame, ledger: str, mark: str = "[SECRET]") -> DataFrame:
     boxed = docs.select(F.struct(*docs.columns).alias("row"), F.sha2(whole("text"), 256).alias("blob"))
     marked = boxed.join(found, "blob", "left")
     text = F.col("row.text")
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
-
-    def cut(state: Column, span: Column) -> Column:
-        clear = F.when(span["start"] >= state["at"], F.concat(
-            state["out"], F.substring(text, (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int")),
-            F.lit(mark))).otherwise(state["out"])
-        return F.struct(clear.alias("out"), F.greatest(state["at"], span["stop"]).alias("at"))
-
-    cleaned = let(F.aggregate("found", start, cut), lambda e: F.concat(
-        e["out"], F.substring(text, (e["at"] + 1).cast("int"), F.lit(2**31 - 1))))
+    cleaned = _without(text, F.col("found"), mark)
     out = marked.withColumn("cleaned", F.when(F.col("found").isNotNull(), cleaned))
     changed = {"text": F.col("cleaned"), "n_chars": F.char_length("cleaned").cast("bigint")}
     return out.select(*[
