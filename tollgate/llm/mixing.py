@@ -192,14 +192,19 @@ def _mixed(placed: DataFrame, plan: DataFrame, block: int, per_shard: int) -> Da
 
 
 def words_taken(docs: DataFrame) -> DataFrame:
-    """Per document: size, its source's size and target, and the words that the mix takes."""
+    """Per document: size, its source's size and target, the words that the mix takes, and where the draw puts them:
+    the number of its parts in the output and the first and last shard that have one (null: none)."""
     placed = stored(placed_documents(docs), "placed")
     plan = stored(source_plan(placed), "plan")
     mixed = _mixed(placed.where("size > 0"), plan, BLOCK, SLOTS_PER_SHARD)
-    taken = mixed.groupBy("doc_id", "source", "size", "start", "source_size", "target").agg(F.sum("words_used").alias("taken"))
+    drawn = F.when(F.col("words_used") > 0, F.col("shard"))
+    taken = mixed.groupBy("doc_id", "source", "size", "start", "source_size", "target").agg(
+        F.sum("words_used").alias("taken"), F.count(drawn).alias("n_parts"), F.min(drawn).alias("first_shard"), F.max(drawn).alias("last_shard"))
     # Copies without words have equal starts; no grouping may fold them.
-    wordless = _beside_plan(placed.where("size = 0"), plan).withColumn("taken", F.lit(0).cast("bigint"))
-    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    no = F.lit(None).cast("bigint")
+    wordless = _beside_plan(placed.where("size = 0"), plan).withColumns(
+        {"taken": F.lit(0).cast("bigint"), "n_parts": F.lit(0).cast("bigint"), "first_shard": no, "last_shard": no})
+    columns = ["doc_id", "size", "source_size", "target", "taken", "n_parts", "first_shard", "last_shard"]
     return taken.select(*columns).unionAll(wordless.select(*columns))
 
 
