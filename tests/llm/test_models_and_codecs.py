@@ -76,6 +76,40 @@ def test_transducer_holds_a_bounded_buffer():
     assert ids == Tokenizer.from_file(WORD_PATH).encode(data.decode(), add_special_tokens=False).ids
 
 
+def test_transducer_emits_inside_words():
+    """Byte by byte, tokens come out before the word ends, and what is held stays short whatever the word's length."""
+    vocabulary = bpe_codec.read_vocabulary(WORD_PATH)
+    library = Tokenizer.from_file(WORD_PATH)
+    word, rnd = bpe_codec.WordTransducer(vocabulary), random.Random(5)
+    parts = "inter nation al isation counter revolution aries electro encephalo gram ing ly un break able straße naïve 北京 a e ss th".split()
+    cases = ["".join(rnd.choices(parts, k=rnd.randint(1, 12))) for _ in range(400)]
+    cases += ["".join(rnd.choices("etaoinsrhlaa", k=rnd.randint(1, 60))) for _ in range(400)]
+    cases += ["a" * 3000, "ab" * 1500, "haha" * 700, "é" * 900, "".join(rnd.choices("etaoin", k=20000))]
+    early, total, most = 0, 0, 0
+    for text in cases:
+        text = "".join(c for c in text if c.isalpha())
+        ids = []
+        for b in text.encode():
+            ids += word.feed(bytes([b]))
+            most = max(most, len(word.held))
+        early += len(ids)
+        ids += word.finish()
+        total += len(ids)
+        assert ids == library.encode(text, add_special_tokens=False).ids
+    assert early > total / 2 and most < 256
+
+
+def test_one_unbroken_word_of_a_megabyte():
+    vocabulary = bpe_codec.read_vocabulary(WORD_PATH)
+    encoder, rnd = bpe_codec.Encoder(vocabulary), random.Random(6)
+    text = "".join(rnd.choices("etaoinsrhldcum", k=1_000_000))
+    got, most = [], 0
+    for ids in encoder.stream(text.encode()):
+        got += ids
+        most = max(most, len(encoder.transducer.held))
+    assert most < 512 and got == Tokenizer.from_file(WORD_PATH).encode(text, add_special_tokens=False).ids
+
+
 def test_decoder_keeps_unfinished_characters():
     decoder = bpe_codec.Decoder([b"\xf0\x9f", b"\x98\x80", b"a"])
     assert [decoder.feed([0]), decoder.feed([1, 2]), decoder.feed([0]), decoder.finish()] == ["", "\U0001f600a", "", "�"]

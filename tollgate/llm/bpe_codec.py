@@ -2,9 +2,10 @@
 
 The merge list alone fixes how far a character can influence tokens to its left. A merge
 is undone only by an earlier merge that overlaps its right end, which may itself depend on a still
-earlier one further right; ``sufficient_lookahead`` adds up the longest such chain. The encoder
-keeps that many symbols of a word, emits the tokens that lie before them, and drops what it has emitted: its
-memory does not grow with the text. Most words end long before.
+earlier one further right; ``sufficient_lookahead`` adds up the longest such chain. That is the bound for any text.
+What a given text needs is mostly far less: ``WordTransducer`` follows the chains that its held symbols allow, from
+merges that may still cross their end leftwards over merges of rising rank, emits the tokens that begin before all of
+them, and drops what it has emitted: its memory does not grow with the text.
 
 The decoder is a state machine from ids to bytes to text: it keeps at most the bytes of one
 unfinished character between calls.
@@ -38,6 +39,8 @@ ID_MASK = (1 << ID_BITS) - 1
 NO_MERGE = 1 << 62
 #: Characters of a text that are handled at a time; cut at white space.
 PIECE = 1 << 16
+#: Bytes of a word that the transducer gets at first.
+STEP = 8
 #: White space of the word pattern.
 WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -153,15 +156,56 @@ class WordTransducer:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary, self.held = vocabulary, []
+        self.spelled = dict(enumerate(byte_characters()))
+        self.rank: dict[str, int] = {}
+        self.crossing: dict[str, int] = {}  # beginning of a token -> lowest rank of a merge that makes such a token
+        for merge in vocabulary.merges.values():
+            rank, token = merge >> ID_BITS, vocabulary.tokens[merge & ID_MASK]
+            body = token.removesuffix(vocabulary.suffix)
+            if body == token:
+                self.rank[token] = rank
+            for k in range(1, len(body)):
+                if self.crossing.get(body[:k], NO_MERGE) > rank:
+                    self.crossing[body[:k]] = rank
+        self.longest = max(map(len, self.crossing), default=0) + 1
+
+    def open_from(self, known: str) -> int:
+        """The first place where a merge may begin that depends on what follows ``known``; its length if there is none.
+
+        Such a merge crosses the end, or one of lower rank that begins inside it is such a merge. Places are
+        visited from the right; ``lowest`` has the lowest rank of such merges by the place where they begin.
+        """
+        n, first = len(known), len(known)
+        lowest = [NO_MERGE] * (n + 1)
+        for start in range(n - 1, -1, -1):
+            if first - start > self.longest:
+                break
+            here = self.crossing.get(known[start:], NO_MERGE) if n - start < self.longest else NO_MERGE
+            inside = NO_MERGE
+            for stop in range(start + 2, min(n, start + self.longest) + 1):
+                inside = min(inside, lowest[stop - 1])
+                token = known[start:stop]
+                if (rank := self.rank.get(token)) is not None and inside < rank < here:
+                    here = rank
+                if token not in self.crossing:
+                    break
+            if here != NO_MERGE:
+                lowest[start], first = here, start
+        return first
 
     def feed(self, chunk: bytes) -> list[int]:
         self.held.extend(chunk)
-        look = self.vocabulary.lookahead
-        if len(self.held) < 2 * look + 1024:
+        # The last byte may turn out to be the word's last, which is another symbol.
+        known = bytes(self.held[:-1])
+        if not known:
             return []
-        ids, ends = merged_long([self.vocabulary.inner[b] for b in self.held], self.vocabulary.merges)
-        certain = [i for i, (start, _) in zip(ids, zip([0, *ends], ends)) if start + look <= len(self.held)]
-        self.held = self.held[ends[len(certain) - 1]:] if certain else self.held
+        open_from = max(self.open_from(known.decode("latin-1").translate(self.spelled)), len(known) - self.vocabulary.lookahead)
+        if open_from <= 0:
+            return []
+        symbols = [self.vocabulary.inner[b] for b in known]
+        ids, ends = merged_long(symbols, self.vocabulary.merges)
+        certain = [i for i, start in zip(ids, [0, *ends]) if start < open_from]
+        self.held = self.held[ends[len(certain) - 1]:]
         return certain
 
     def finish(self) -> list[int]:
@@ -192,8 +236,12 @@ class Encoder(dict):
         return packed
 
     def stream(self, data: bytes) -> Iterator[list[int]]:
-        for start in range(0, len(data), 4096):
-            yield self.transducer.feed(data[start:start + 4096])
+        # Short steps first; in a long word they grow, so that what is held is not looked through for every few bytes.
+        start, step = 0, STEP
+        while len(data) - start > step:
+            yield self.transducer.feed(data[start:start + step])
+            start, step = start + step, min(2 * step, 4096)
+        self.transducer.held.extend(data[start:])
         yield self.transducer.finish()
 
     def encode(self, text: str) -> Iterator[bytes]:
