@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -152,6 +153,15 @@ def test_language_of_odd_rows(odd_docs, odd_rows, no_docs):
     assert language_id.accepted(clash).columns == clash.columns
 
 
+def test_accepted_keeps_columns_with_clashing_names(documents):
+    marked = documents.select("*", F.lit(1).alias("score"), F.lit(2).alias("own_score"), F.lit(3).alias("_score"), F.lit("x").alias("Rejected"))
+    got = language_id.accepted(marked)
+    assert got.columns == marked.columns
+    rows = got.collect()
+    assert {(r.score, r.own_score, r._score, r.Rejected) for r in rows} == {(1, 2, 3, "x")}
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in language_id.accepted(documents).collect())
+
+
 def test_unlearned_languages_and_garbage_are_rejected(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     rnd = random.Random(6)
