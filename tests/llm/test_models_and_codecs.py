@@ -451,3 +451,61 @@ def test_pipeline_stages_against_brute_force(spark, documents, sf_dir):
     assert all(r.n_tokens == len(r.ids) and ids_sha(r.ids) == r.ids_sha256 for r in out["bpe_encoding"])
     assert sorted(str(r) for r in corpus_pipeline.run(spark, sf_dir).collect()) == sorted(str(r) for r in out["bpe_encoding"])
     assert mixing and secrets
+
+
+def _labelled_texts(spark, n):
+    """Two languages; the rows behind the first fifth hold letters that no other row has."""
+    rnd = random.Random(11)
+    stems = {"en": "the of and people town market river house".split(), "fr": "le la des gens ville marché rivière maison".split()}
+    rows = []
+    for i in range(n):
+        lang = "en" if i % 2 else "fr"
+        more = [chr(0x3B1 + i % 24) * (1 + i % 5)] if i > n // 5 else []
+        rows.append((i, " ".join(rnd.choices(stems[lang], k=rnd.randint(1, 40)) + more), lang))
+    return rows, spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+
+
+def test_language_model_learns_from_all_texts(spark):
+    """Document frequencies, centroids and limits are those of a plain loop over all training texts, whatever the sample is."""
+    rows, docs = _labelled_texts(spark, 5600)
+    model = language_id.fit(docs, sample=20)
+    letters = language_id.Letters()
+    known = [(text, lang) for i, text, lang in rows if zlib.crc32(str(i).encode()) % 5]
+    assert min(Counter(lang for _, lang in known).values()) > 2000
+    counts = np.array([language_id.gram_counts(text, letters) for text, _ in known])
+    idf = np.log((len(counts) + 1) / ((counts > 0).sum(axis=0) + 1)) + 1
+    assert np.allclose(model.idf, idf, atol=1e-5)
+
+    vectors = language_id.weighted(counts, model.idf)
+    want = np.zeros_like(model.limits)
+    near, classes = {}, {}
+    for number, name in enumerate(model.languages):
+        own = model.centroids[model.owner == number]
+        mine = vectors[[lang == name for _, lang in known]]
+        nearest = (mine @ own.T).argmax(axis=1)
+        for k, centre in enumerate(own):  # after the last round the texts may still change their centre, a few of them
+            mean = mine[nearest == k].mean(axis=0)
+            assert centre @ mean / np.linalg.norm(mean) > 0.99
+        pieces = np.array([language_id.gram_counts(t, letters) for text, lang in known if lang == name for t in language_id.cuts(text)])
+        near[number] = (np.clip((language_id.weighted(pieces, model.idf) @ own.T).max(axis=1), 0, 1) / language_id.STEP).astype(int)
+        classes[number] = language_id.length_class(pieces)
+
+    def farthest(steps):
+        steps = np.sort(steps)
+        return language_id.STEP * steps[int(language_id.FARTHEST * len(steps))]
+
+    for k in range(want.shape[1]):
+        everyone = np.concatenate([near[i][classes[i] == k] for i in near])
+        for i in near:
+            steps = near[i][classes[i] == k]
+            if len(steps):
+                want[i, k] = language_id.SLACK[k] * min(farthest(steps), farthest(everyone)) * len(steps) / (len(steps) + language_id.FEW)
+    assert np.allclose(model.limits, want, atol=0.0021)
+    # A cut for every class that the text is longer than.
+    assert [len(language_id.cuts("ab " * n)) for n in (1, 10, 100)] == [1, 4, 7]
+
+
+def test_language_whose_sample_has_no_letters_is_learned(spark):
+    rows = [(i, "12 34" if i < 4000 else "nine words of plain text are in this row", "en") for i in range(4003)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert language_id.fit(docs, sample=1).languages == ["en"]

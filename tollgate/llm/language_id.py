@@ -1,16 +1,17 @@
 """Language identification by nearest centroid.
 
 A text is a vector of hashed character 1- to 3-grams of its lower-cased letters, weighted by TF-IDF
-(log of the count, inverse document frequency of the training sample) and scaled to length 1.
-Each language has several centroids, found by spherical k-means. The nearest centroid by
+(log of the count, inverse document frequency among all training texts) and scaled to length 1.
+Each language has several centroids, found by spherical k-means over all training texts. The nearest centroid by
 cosine names the language; a text too far from all centroids of that language is rejected. Short texts are farther off than
 long ones, so a language has a limit per length class. It lies under what the farthest percent reach among all
-labelled texts that are not held out and cuts of each length from them, a little under for long texts and far under
+labelled texts that are not held out and a cut of each length from every one of them, a little under for long texts and far under
 for short ones; the fewer there are, the lower it lies.
 Under ``EDGES[0]`` letters and gaps nothing but letters is asked for.
 
-The centroids are fitted on a bounded sample: about ``sample`` labelled texts per language, by hash of the
-id. The limits and the prediction cover all rows and whole texts; prediction uses the text alone.
+Every labelled text that is not held out enters the document frequencies, the centroids and the limits. A bounded
+sample (``sample`` texts per language, by hash of the id and the text) only says where k-means starts. The prediction
+covers all rows and whole texts and uses the text alone.
 
 Defined cases: a null text, or one without letters, is ``und`` with score 0 and rejected; texts with a null
 ``lang`` are not learned from; a null id is not held out; repeated rows are predicted each; without any
@@ -22,7 +23,7 @@ from __future__ import annotations
 import math
 import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,14 +38,16 @@ DIMENSIONS = 4096
 SAMPLE = 600
 CENTROIDS = 4
 ROUNDS = 10
+#: Most rounds of k-means over all texts, from the centres found in the sample; it ends where no centre moves.
+PASSES = 3
+#: Weights are added up as whole numbers of this many to 1, so that the sums do not depend on the order of the texts.
+FINE = 1 << 20
 #: Least letters and gaps of the length classes.
 EDGES = [4, *[12 * 2**k for k in range(12)]]
 #: Per class the share of the farthest percent's similarity that is the limit, times n / (n + FEW) for n texts and cuts.
 #: Short texts on other matters than the learned ones reach half of it or less; below 96 letters some foreign texts pass therefore.
 SLACK = [0.0, 0.4, 0.4, 0.4, 0.7, 0.7, *[0.85] * 8]
 FEW = 20
-#: A language with more texts takes about so many cuts per length class at least, not one of every text.
-CUTS = 2000
 FARTHEST = 0.01
 #: Similarities are counted in steps of this size.
 STEP = 0.001
@@ -80,10 +83,8 @@ def gram_counts(text: str, letters: Letters) -> np.ndarray | None:
     mixed = codes * 0x9E3779B1
     two = mixed[:-1] * 31 + codes[1:] * 0x85EBCA6B + 1
     three = two[:-1] * 131 + codes[2:] * 0xC2B2AE35 + 2
-    counts = np.zeros(DIMENSIONS, np.float32)
-    for grams in (mixed, two, three):
-        counts += np.bincount(((grams ^ (grams >> 15)) >> 3) % DIMENSIONS, minlength=DIMENSIONS)
-    return counts
+    grams = np.concatenate((mixed, two, three))
+    return np.bincount(((grams ^ (grams >> 15)) >> 3) % DIMENSIONS, minlength=DIMENSIONS).astype(np.float32)
 
 
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -121,8 +122,56 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(5)) == 0, F.lit(False))
 
 
+def column_sums(known: DataFrame, languages: list[str], lines: int,
+                enter: Callable[[np.ndarray, int, np.ndarray], None]) -> np.ndarray:
+    """A table of ``lines`` x DIMENSIONS whole numbers, added up over all texts of ``known``.
+
+    ``enter`` gets a task's table, the number of a language and the gram counts of some of its texts.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters, number = Letters(), {name: i for i, name in enumerate(languages)}
+        seen = np.zeros((lines, DIMENSIONS), np.int64)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                found: dict[int, list[np.ndarray]] = {}
+                for lang, text in zip(part.column("lang").to_pylist(), part.column("text")):
+                    if (counts := gram_counts(text.as_py(), letters)) is not None:
+                        found.setdefault(number[lang], []).append(counts)
+                for language, rows in found.items():
+                    enter(seen, language, np.array(rows))
+        line, column = np.nonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(line, pa.int64()), pa.array(column, pa.int64()), pa.array(seen[line, column], pa.int64())],
+                                         ["line", "column", "n"])
+
+    table = known.select("lang", "text").mapInArrow(run, "line bigint, column bigint, n bigint")
+    # At most as many rows as the table has places.
+    sums = table.groupBy("line", "column").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros((lines, DIMENSIONS), np.int64)
+    out[sums["line"].to_numpy(np.int64), sums["column"].to_numpy(np.int64)] = sums["n"].to_numpy(np.int64)
+    return out
+
+
+def moved(known: DataFrame, model: LanguageModel) -> np.ndarray:
+    """The centroids after a round of spherical k-means over all texts of ``known``."""
+    shared = known.sparkSession.sparkContext.broadcast(vars(model))
+
+    def enter(sums: np.ndarray, language: int, counts: np.ndarray) -> None:
+        learned = LanguageModel(**shared.value)
+        own = np.flatnonzero(learned.owner == language)
+        rows = weighted(counts, learned.idf)
+        nearest = own[(rows @ learned.centroids[own].T).argmax(axis=1)]
+        whole_numbers = np.rint(rows * FINE).astype(np.int64)
+        for centre in np.unique(nearest):
+            sums[centre] += whole_numbers[nearest == centre].sum(axis=0)
+
+    sums = column_sums(known, model.languages, len(model.centroids), enter) / FINE
+    length = np.linalg.norm(sums, axis=1, keepdims=True)
+    return np.where(length > 0, sums / np.maximum(length, 1e-12), model.centroids).astype(np.float32)
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel:
-    """Learn from labelled texts that are not held out; ``sample`` bounds the texts per language."""
+    """Learn from all labelled texts that are not held out; ``sample`` texts per language give k-means its start."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     # One row per language, in one file: its size shows that it can be broadcast, and no text is shuffled.
     counts = stored(known.groupBy("lang").count().repartition(1), "language-counts")
@@ -149,14 +198,14 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel:
         chosen = group.sort_values(["draw", "counts"]).head(sample)["counts"]
         return np.array([np.frombuffer(c, np.float32) for c in chosen])
 
-    def document_counts(group: pd.DataFrame) -> pd.DataFrame:
-        counts = of(group)
-        return pd.DataFrame({"n": [len(counts)], "df": [(counts > 0).sum(axis=0).astype(np.float64).tobytes()]})
+    def texts_with(seen: np.ndarray, language: int, counts: np.ndarray) -> None:
+        seen[language] += (counts > 0).sum(axis=0)
+        seen[-1, language % DIMENSIONS] += len(counts)
 
-    # One row per language, of fixed size.
-    per_language = taken.groupBy("lang").applyInPandas(document_counts, "n bigint, df binary").toPandas()
-    n = int(per_language["n"].sum())
-    df = sum((np.frombuffer(x, np.float64) for x in per_language["df"]), np.zeros(DIMENSIONS))
+    texts = {r["lang"]: r["count"] for r in counts.collect()}
+    # Per language and gram the texts that have it; the last line adds up to the texts with letters.
+    frequencies = column_sums(known, sorted(texts), len(texts) + 1, texts_with)
+    n, df = int(frequencies[-1].sum()), frequencies[:-1].sum(axis=0)
     idf = (np.log((n + 1) / (df + 1)) + 1).astype(np.float32)
 
     def centroids(group: pd.DataFrame) -> pd.DataFrame:
@@ -165,12 +214,21 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel:
         return pd.DataFrame({"lang": [group["lang"].iloc[0]], "n": [len(found)], "centroids": [found.astype(np.float32).tobytes()]})
 
     fitted = taken.groupBy("lang").applyInPandas(centroids, "lang string, n bigint, centroids binary").toPandas()
-    fitted = fitted.sort_values("lang")
-    stacked = [np.frombuffer(c, np.float32).reshape(-1, DIMENSIONS) for c in fitted["centroids"]]
+    starts = {lang: np.frombuffer(c, np.float32).reshape(-1, DIMENSIONS) for lang, c in zip(fitted["lang"], fitted["centroids"])}
+    for lang, frequency in zip(sorted(texts), frequencies):
+        if lang not in starts and frequency.any():  # the sample drew nothing with a letter
+            starts[lang] = weighted(frequency[None].astype(np.float32), idf)
+    languages = sorted(starts)
     model = LanguageModel(
-        idf, np.concatenate(stacked) if stacked else np.zeros((0, DIMENSIONS), np.float32),
-        np.repeat(np.arange(len(fitted)), fitted["n"]), fitted["lang"].tolist(), np.zeros((len(fitted), len(EDGES) + 1)))
-    model.limits = rejection_limits(known, model, {r["lang"]: r["count"] for r in counts.collect()})
+        idf, np.concatenate([starts[lang] for lang in languages]) if languages else np.zeros((0, DIMENSIONS), np.float32),
+        np.repeat(np.arange(len(languages)), [len(starts[lang]) for lang in languages]), languages,
+        np.zeros((len(languages), len(EDGES) + 1)))
+    learned = known.where(F.col("lang").isin(languages)) if languages else known
+    for _ in range(PASSES if languages else 0):
+        before, model.centroids = model.centroids, moved(learned, model)
+        if np.array_equal(before, model.centroids):
+            break
+    model.limits = rejection_limits(learned, model)
     return model
 
 
@@ -179,21 +237,20 @@ def length_class(counts: np.ndarray) -> np.ndarray:
     return np.searchsorted(EDGES, (counts.sum(axis=-1, dtype=np.float64) - 3) / 3, side="right")
 
 
-def cuts(text: str, turns: int) -> list[str]:
-    """The text and a cut of it for every length class that it is longer than, or for those of its turn, one in ``turns``."""
+def cuts(text: str) -> list[str]:
+    """The text and a cut of it for every length class that it is longer than."""
     found = [text]
     for k, edge in enumerate(EDGES):
         size = edge + edge // 5
-        if size < len(text) and (len(text) + k) % turns == 0:
+        if size < len(text):
             start = (len(text) * 7919 + k * 104729) % (len(text) - size + 1)
             found.append(text[start:start + size])
     return found
 
 
-def rejection_limits(known: DataFrame, model: LanguageModel, texts: dict[str, int]) -> np.ndarray:
-    """Limits per language and length class, from the similarities of all texts of ``known`` to their own language.
-
-    ``texts`` has their number per language; where it is large, the texts share the length classes among them.
+def rejection_limits(known: DataFrame, model: LanguageModel) -> np.ndarray:
+    """Limits per language and length class, from the similarities of all texts of ``known``, and of a cut of each
+    for every length class under its own, to their own language.
     """
     if not model.languages:
         return model.limits
@@ -202,13 +259,12 @@ def rejection_limits(known: DataFrame, model: LanguageModel, texts: dict[str, in
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, learned = Letters(), LanguageModel(**shared.value)
         number = {name: i for i, name in enumerate(learned.languages)}
-        turns = {name: min(max(texts[name] // CUTS, 1), len(EDGES)) for name in number}
         seen = np.zeros((len(number), len(EDGES) + 1, round(1 / STEP) + 1), np.int64)
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
                 if lang not in number:
                     continue
-                counts = [c for c in (gram_counts(t, letters) for t in cuts(text.as_py(), turns[lang])) if c is not None]
+                counts = [c for c in (gram_counts(t, letters) for t in cuts(text.as_py())) if c is not None]
                 if counts:
                     rows = np.array(counts)
                     near = (weighted(rows, learned.idf) @ learned.centroids[learned.owner == number[lang]].T).max(axis=1)
