@@ -58,3 +58,14 @@ def test_fused_build_equals_the_stage_chain(spark, sf_dir):
     assert chain.columns == fused.columns == risk_columns() and len(risk_columns()) == 55
     assert chain.exceptAll(fused).isEmpty() and fused.exceptAll(chain).isEmpty()
     assert fused.count() == enriched.count()
+
+
+def test_risk_stage_reads_the_wide_rows_once_per_key(spark, sf_dir):
+    """The stored stage has the rows of the chain, and is built without the table of card features."""
+    fresh = f"{sf_dir}/."  # a source folder of its own, so that no stage of it is written yet
+    got = stages.stage_table(spark, fresh, "risk")
+    application = spark.sparkContext.applicationId
+    assert (application, fresh, "features") not in stages._written
+    features = card_activity.add_card_activity(stages.stage_table(spark, fresh, "enriched"))
+    want = risk_history.add_risk_history(features)
+    assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
