@@ -329,3 +329,45 @@ def test_texts(table, fitted):
     bars = model_texts.contribution_bars(row, fitted).orderBy("bar").collect()
     sizes = [abs(b["shap_value"]) for b in bars]
     assert sizes == sorted(sizes, reverse=True) and len(bars) == 5
+
+
+def test_forest_over_many_rows_grows_on_blocks_of_equal_rows(spark, table, monkeypatch):
+    """Beyond the bound the library sees few rows, yet all rows are in them, and the trees hold for the rows themselves."""
+    from pyspark.ml.classification import RandomForestClassifier
+
+    seen = []
+
+    def counted(self, df, plain=RandomForestClassifier.fit):
+        seen.append((df.count(), df.agg(F.sum("weight")).first()[0]))
+        return plain(self, df)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", counted)
+    monkeypatch.setattr(model, "FOREST_ROWS", 300)
+    many = table.unionAll(table).unionAll(table)
+    fresh = model.fit(many, trees=20)
+    labelled = many.where("is_fraud is not null").count()
+    assert seen[0][0] < labelled / 2 and seen[0][1] == pytest.approx(labelled)
+    report = model.node_report(many, fresh).collect()
+    assert len(report) == 20 and all(r["root_rows"] == labelled and r["small_splits"] == 0 and r["adds_up"] for r in report)
+    scored = model.model_scores(many, fresh).groupBy("is_fraud").agg(F.avg("rf_score").alias("s")).collect()
+    by_label = {r["is_fraud"]: r["s"] for r in scored}
+    assert by_label[True] > by_label[False] + 0.2
+
+
+def test_blocks_of_equal_rows_hold_all_rows_and_split_like_them(spark):
+    from tollgate.operators.forest import bin_edges, equal_rows, with_edges
+
+    rows = spark.range(5000).select(
+        (F.col("id") % 1009).cast("double").alias("a"), (F.col("id") % 2).cast("double").alias("b"),
+        (F.col("id") % 3 == 0).cast("double").alias("label"), F.when(F.col("id") % 3 == 0, 1.5).otherwise(0.75).alias("weight"))
+    edges = bin_edges(rows, ["a", "b"])
+    assert all(e == sorted(set(e)) and len(e) <= 32 for e in edges) and edges[0][-1] == 1008.0 and edges[1] == [0.0, 1.0]
+    blocks = equal_rows(rows, ["a", "b"], edges, 10).toPandas()
+    assert blocks["weight"].sum() == pytest.approx(rows.agg(F.sum("weight")).first()[0])
+    assert blocks["weight"].max() <= 15 and not blocks.duplicated(["a", "b", "label", "block"]).any()
+    values = rows.toPandas()
+    low, high = edges[0][4], edges[0][5]
+    tree = {"left": [1, -1, -1], "right": [2, -1, -1], "feature": [0, -1, -1], "threshold": [(low + high) / 2, 0.0, 0.0],
+            "weight": [1.0, 1.0, 1.0], "value": [0.5, 0.5, 0.5]}
+    found = with_edges([tree], edges)[0]["threshold"][0]
+    assert blocks[blocks["a"] <= (low + high) / 2]["weight"].sum() == pytest.approx(values[values["a"] <= found]["weight"].sum())
