@@ -111,6 +111,25 @@ def test_one_unbroken_word_of_a_megabyte():
     assert most < 512 and got == Tokenizer.from_file(WORD_PATH).encode(text, add_special_tokens=False).ids
 
 
+def test_transducer_does_not_repeat_steps(monkeypatch):
+    """Words with the same beginning share its step; ids are the library's, also once what is remembered was given up."""
+    vocabulary, library = bpe_codec.read_vocabulary(WORD_PATH), Tokenizer.from_file(WORD_PATH)
+    rnd, runs = random.Random(8), []
+    for name in ("merged", "merged_long"):
+        plain = getattr(bpe_codec, name)
+        monkeypatch.setattr(bpe_codec, name, lambda symbols, merges, plain=plain: runs.append(1) or plain(symbols, merges))
+    starts, ends = ({"".join(rnd.choices("etaoinsrhlü", k=k)) for _ in range(20)} for k in (9, 5))
+    words = [a + b for a in sorted(starts) for b in sorted(ends)]
+    want = [library.encode(w, add_special_tokens=False).ids for w in words]
+    encoder = bpe_codec.Encoder(vocabulary)
+    assert [[i for ids in encoder.stream(w.encode()) for i in ids] for w in words] == want
+    assert len(runs) < 1.5 * len(words)
+    monkeypatch.setattr(bpe_codec, "REMEMBERED", 7)
+    encoder = bpe_codec.Encoder(vocabulary)
+    assert [[i for ids in encoder.stream(w.encode()) for i in ids] for w in words] == want
+    assert len(encoder.transducer.fed) <= 7 and len(encoder.transducer.ended) <= 7
+
+
 def test_decoder_keeps_unfinished_characters():
     decoder = bpe_codec.Decoder([b"\xf0\x9f", b"\x98\x80", b"a"])
     assert [decoder.feed([0]), decoder.feed([1, 2]), decoder.feed([0]), decoder.finish()] == ["", "\U0001f600a", "", "�"]

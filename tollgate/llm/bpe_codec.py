@@ -24,6 +24,7 @@ import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ from pyspark.sql import DataFrame
 from tollgate.llm.common import whole
 
 REMEMBERED = 1 << 19
+#: Words and held bytes from this length on are not remembered.
+SHORT = 64
 #: A merge is one number, its rank above its token's id: numbers compare like ranks.
 ID_BITS = 20
 ID_MASK = (1 << ID_BITS) - 1
@@ -41,6 +44,8 @@ NO_MERGE = 1 << 62
 PIECE = 1 << 16
 #: Bytes of a word that the transducer gets at first.
 STEP = 8
+#: Symbols from which on a chain is merged with a heap.
+LONG = 48
 #: White space of the word pattern.
 WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -112,7 +117,7 @@ def read_vocabulary(path: str) -> Vocabulary:
 def merged(symbols: list[int], merges: dict[tuple[int, int], int]) -> list[int]:
     """All merges of a short chain, lowest rank first, leftmost first."""
     find = merges.get
-    waiting = [find(pair, NO_MERGE) for pair in zip(symbols, symbols[1:])]
+    waiting = [*map(find, zip(symbols, symbols[1:]), repeat(NO_MERGE))]
     while waiting:
         best = min(waiting)
         if best == NO_MERGE:
@@ -128,8 +133,8 @@ def merged(symbols: list[int], merges: dict[tuple[int, int], int]) -> list[int]:
     return symbols
 
 
-def merged_long(symbols: list[int], merges: dict[tuple[int, int], int]) -> tuple[list[int], list[int]]:
-    """The same for a long chain, with a heap; also where each token ends."""
+def merged_long(symbols: list[int], merges: dict[tuple[int, int], int]) -> list[int]:
+    """The same for a long chain, with a heap."""
     n = len(symbols)
     here, after, before = list(symbols), list(range(1, n + 1)), list(range(-1, n - 1))
     heap = [(merges[pair], i, pair) for i, pair in enumerate(zip(here, here[1:])) if pair in merges]
@@ -147,15 +152,30 @@ def merged_long(symbols: list[int], merges: dict[tuple[int, int], int]) -> tuple
                 heapq.heappush(heap, (found, i, key))
         if before[i] >= 0 and (found := merges.get(key := (here[before[i]], new))) is not None:
             heapq.heappush(heap, (found, before[i], key))
-    starts = [i for i in range(n) if here[i] >= 0]
-    return [here[i] for i in starts], [after[i] for i in starts]
+    return [i for i in here if i >= 0]
+
+
+def all_merged(symbols: list[int], merges: dict[tuple[int, int], int]) -> list[int]:
+    return merged(symbols, merges) if len(symbols) < LONG else merged_long(symbols, merges)
+
+
+def remember(steps: dict, held: bytes, found: tuple) -> None:
+    if len(held) < SHORT:
+        if len(steps) >= REMEMBERED:
+            steps.clear()
+        steps[held] = found
 
 
 class WordTransducer:
-    """Bytes of one word in, ids out as soon as they are certain."""
+    """Bytes of one word in, ids out as soon as they are certain.
+
+    What comes out depends on the bytes held alone, so steps from few bytes are remembered, ``REMEMBERED`` of each kind at most.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary, self.held = vocabulary, []
+        self.fed: dict[bytes, tuple[tuple[int, ...], int]] = {}  # bytes held -> certain ids, the bytes that they take
+        self.ended: dict[bytes, tuple[int, ...]] = {}
         self.spelled = dict(enumerate(byte_characters()))
         self.rank: dict[str, int] = {}
         self.crossing: dict[str, int] = {}  # beginning of a token -> lowest rank of a merge that makes such a token
@@ -168,6 +188,7 @@ class WordTransducer:
                 if self.crossing.get(body[:k], NO_MERGE) > rank:
                     self.crossing[body[:k]] = rank
         self.longest = max(map(len, self.crossing), default=0) + 1
+        self.width = [len(token.removesuffix(vocabulary.suffix)) for token in vocabulary.tokens]
 
     def open_from(self, known: str) -> int:
         """The first place where a merge may begin that depends on what follows ``known``; its length if there is none.
@@ -175,19 +196,22 @@ class WordTransducer:
         Such a merge crosses the end, or one of lower rank that begins inside it is such a merge. Places are
         visited from the right; ``lowest`` has the lowest rank of such merges by the place where they begin.
         """
-        n, first = len(known), len(known)
+        n = first = len(known)
+        crossing, made, longest = self.crossing, self.rank, self.longest
         lowest = [NO_MERGE] * (n + 1)
         for start in range(n - 1, -1, -1):
-            if first - start > self.longest:
+            if first - start > longest:
                 break
-            here = self.crossing.get(known[start:], NO_MERGE) if n - start < self.longest else NO_MERGE
+            here = crossing.get(known[start:], NO_MERGE) if n - start < longest else NO_MERGE
             inside = NO_MERGE
-            for stop in range(start + 2, min(n, start + self.longest) + 1):
-                inside = min(inside, lowest[stop - 1])
+            # A merge that ends at or before ``first`` has none of these inside it.
+            for stop in range(first + 1, min(n, start + longest) + 1):
+                if lowest[stop - 1] < inside:
+                    inside = lowest[stop - 1]
                 token = known[start:stop]
-                if (rank := self.rank.get(token)) is not None and inside < rank < here:
+                if inside < (rank := made.get(token, NO_MERGE)) < here:
                     here = rank
-                if token not in self.crossing:
+                if token not in crossing:
                     break
             if here != NO_MERGE:
                 lowest[start], first = here, start
@@ -195,24 +219,40 @@ class WordTransducer:
 
     def feed(self, chunk: bytes) -> list[int]:
         self.held.extend(chunk)
+        held = bytes(self.held)
+        if (found := self.fed.get(held)) is None:
+            found = self.certain(held)
+            remember(self.fed, held, found)
+        ids, end = found
+        del self.held[:end]
+        return [*ids]
+
+    def certain(self, held: bytes) -> tuple[tuple[int, ...], int]:
+        """The ids that no further byte changes, and how many bytes they take."""
         # The last byte may turn out to be the word's last, which is another symbol.
-        known = bytes(self.held[:-1])
+        known = held[:-1]
         if not known:
-            return []
+            return (), 0
         open_from = max(self.open_from(known.decode("latin-1").translate(self.spelled)), len(known) - self.vocabulary.lookahead)
         if open_from <= 0:
-            return []
-        symbols = [self.vocabulary.inner[b] for b in known]
-        ids, ends = merged_long(symbols, self.vocabulary.merges)
-        certain = [i for i, start in zip(ids, [0, *ends]) if start < open_from]
-        self.held = self.held[ends[len(certain) - 1]:]
-        return certain
+            return (), 0
+        inner, ids, end = self.vocabulary.inner, [], 0
+        for token in all_merged([inner[b] for b in known], self.vocabulary.merges):
+            if end >= open_from:
+                break
+            ids.append(token)
+            end += self.width[token]
+        return tuple(ids), end
 
     def finish(self) -> list[int]:
-        inner, held = self.vocabulary.inner, self.held
-        symbols = [*[inner[b] for b in held[:-1]], self.vocabulary.last[held[-1]]] if held else []
+        held = bytes(self.held)
+        if (ids := self.ended.get(held)) is None:
+            inner = self.vocabulary.inner
+            symbols = [*[inner[b] for b in held[:-1]], self.vocabulary.last[held[-1]]] if held else []
+            ids = tuple(all_merged(symbols, self.vocabulary.merges))
+            remember(self.ended, held, ids)
         self.held = []
-        return merged(symbols, self.vocabulary.merges) if len(symbols) < 48 else merged_long(symbols, self.vocabulary.merges)[0]
+        return [*ids]
 
 
 class Encoder(dict):
@@ -228,8 +268,8 @@ class Encoder(dict):
 
     def __missing__(self, word: str) -> bytes:
         data = word.encode()
-        packed = b"".join(packed_ids(ids) for ids in self.stream(data))
-        if len(data) < 64:
+        packed = b"".join(map(packed_ids, self.stream(data)))
+        if len(data) < SHORT:
             if len(self) >= REMEMBERED:
                 self.clear()
             self[word] = packed
