@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import stored, whole
+from tollgate.llm.common import stored
 
 DIMENSIONS = 4096
 SAMPLE = 600
@@ -308,20 +308,21 @@ def predict(docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFrame
     """Columns ``keep`` and lang_pred, score, rejected."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     names = [f"k{i}" for i in range(len(keep))]
+    # A text that is kept crosses to Python once.
+    read = names[keep.index("text")] if "text" in keep else "_text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, learned = Letters(), LanguageModel(**shared.value)
         for batch in batches:
-            texts = batch.column("_text")
-            found: list[tuple[str, float, bool]] = []
-            for start in range(0, len(texts), 256):
-                found += _predicted(texts.slice(start, 256).to_pylist(), learned, letters)
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in names], pa.array([f[0] for f in found], pa.string()),
-                 pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.bool_())],
-                [*names, "lang_pred", "score", "rejected"])
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                found = _predicted([t or "" for t in part.column(read).to_pylist()], learned, letters)
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(c) for c in names], pa.array([f[0] for f in found], pa.string()),
+                     pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.bool_())],
+                    [*names, "lang_pred", "score", "rejected"])
 
-    kept = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], whole("text").alias("_text"))
+    kept = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], *([] if read in names else [F.col("text").alias(read)]))
     layout = ", ".join([*[f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(keep, names)],
                         "lang_pred string, score double, rejected boolean"])
     out = kept.mapInArrow(run, layout)
