@@ -3,6 +3,7 @@
 import re
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +97,40 @@ def test_language_sample_without_ids_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(language_id, "stored", measured)
     assert language_id.fit(docs, sample=50).languages == ["en", "fr"]
     assert 60 <= sizes[0] <= 250
+
+
+def test_kept_texts_cross_to_python_once(odd_docs):
+    """All columns with the text among them, or the text beside those kept: the same verdicts, and no second copy of the text."""
+    model = language_id.fit(odd_docs)
+    all_columns = language_id.predict(odd_docs, model, odd_docs.columns)
+    assert "_text" not in all_columns._jdf.queryExecution().analyzed().toString()
+    some = language_id.predict(odd_docs, model, ["doc_id"])
+    facts = ["doc_id", "lang_pred", "score", "rejected"]
+    assert sorted(map(str, all_columns.select(facts).collect())) == sorted(map(str, some.select(facts).collect()))
+
+
+def test_linked_sets_share_a_combination_of_their_prefixes():
+    """Random sets around the threshold, small ones too, in any order of all keys: none that link are without a common one, and the keys are few."""
+    rnd = np.random.default_rng(5)
+    low, high = -(1 << 63), (1 << 63) - 1
+
+    def prefix(keys, tags):
+        order = np.lexsort((keys, tags))  # one part a class and deal
+        keys, tags = keys[order], tags[order]
+        return np.concatenate([keys[tags == t][:np.sum(tags == t) - (t >> 4)] for t in np.unique(tags)])
+
+    for join in (jaccard_join.Join(), jaccard_join.Join(shingle=5, percent=80)):
+        sets = []
+        for trial in range(3000):
+            x = np.unique(rnd.integers(low, high, rnd.integers(1, 12 if trial % 2 else 300), dtype=np.int64))
+            kept = rnd.permutation(x)[:max(len(x) - rnd.integers(0, len(x) // 4 + 1), 1)]
+            sets += [x, np.unique(np.concatenate((kept, rnd.integers(low, high, rnd.integers(0, 2 + len(x) // 8), dtype=np.int64))))]
+        keys, tags, counts = jaccard_join.combination_keys(np.concatenate(sets), np.array([*map(len, sets)]), join)
+        ends, linked = np.cumsum(counts)[:-1], 0
+        parts = [prefix(k, t) for k, t in zip(np.split(keys, ends), np.split(tags, ends))]
+        for i in range(0, len(sets), 2):
+            common = len(np.intersect1d(sets[i], sets[i + 1]))
+            if 100 * common >= join.percent * (len(sets[i]) + len(sets[i + 1]) - common):
+                linked += 1
+                assert len(np.intersect1d(parts[i], parts[i + 1]))
+        assert linked > 800 and len(keys) < 0.8 * sum(map(len, sets))

@@ -1,25 +1,21 @@
 """N-gram Jaccard join with token-combination prefixes.
 
-Two texts link when the Jaccard similarity of their sets of four-word shingles is at least 85 %. Sets are
-ordered by shingle hash. Linked sets x and y share at least ceil(0.85 |x|) shingles, so p = |x| - ceil(0.85 |x|) + 1
-shingles of x cannot all be missing from y. Which prefix of x that means depends on how frequent its shingles are:
-
-* Rare shingles are indexed alone. A shingle is frequent if ``FREQUENT`` of the prefixes have it, counted once over the
-  prefixes that all sets begin with and once over the extended ones.
-* A set that does not have p rare shingles in its prefix gets a longer one, first as long as its share of rare ones asks
-  for, then the whole set. With p rare shingles in its prefix it is light, otherwise heavy; a heavy set's prefix is the whole set.
-* Heavy sets also index their frequent shingles, those of the first prefix, by 2-token combinations: they are dealt by hash into small groups and
-  paired inside a group; c of them in one group count c - 1 towards p, since two sets without a common pair share one
-  of the group at most. Where that does not reach p either, they are indexed singly as well.
-
-Two light sets meet by a rare shingle of the one whose prefix ends first, a light and a heavy set by one of
-the light set's (the heavy one indexes all of its own), two heavy sets by a combination. So members of a family with a common core that
-all have many words of their own never meet.
+Two texts link when the Jaccard similarity of their sets of four-word shingles is at least 85 %. So sets of n and m shingles
+that link differ in at most k = (n + m) * 15 / 185 shingles, those that either lacks.
+
+* Sets fall into classes by size. A set takes part in its own class and, where a larger partner may link, in the next one; all sets of
+  a class use the k of its largest pair.
+* In a class the shingles of a set are dealt by hash into g > k groups. What a group holds of a set is one combination of
+  shingles. A shingle that one set lacks spoils one combination, so linked sets have at least g - k combinations in common.
+* Combinations have one order for all sets: rare ones first, by the number of sets that have them, then by hash. Of the k + 1 first ones of the
+  set whose (k + 1)-th comes earlier, one is common, and it is among the k + 1 first ones of the other set too. This prefix is all that is
+  indexed, without those that no other set has. So a set that has k + 1 combinations to itself links with nothing.
+
+A set with too few combinations, because groups got nothing, is dealt again by other bits for partners that have too few as well.
 
 All pairs of a small key are compared. In a large key all sets are compared with one pivot first, then with some more, and
 only while they are in different components; a group of near copies soon is one component, so it costs a few
-comparisons a member. A pair is first tested on the stored prefixes, then on two bytes of every
-shingle; both tests are exact in what they reject. The rest is verified on the whole sets.
+comparisons a member. Two bytes of every shingle are compared first, which is exact in what it rejects. The rest is verified on the whole sets.
 
 Texts with equal sets are one node. Nodes and shingles are 64-bit hashes: of n different ones two are
 equal with a chance of about n^2 / 2^65.
@@ -31,10 +27,13 @@ equal sets; an empty table gives no rows; other columns are left out.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tollgate.llm.common import SPACE, ascii_lower, settled, shingles, stored, whole
@@ -42,10 +41,16 @@ from tollgate.llm.components import connected_components
 
 SHINGLE = 4
 PERCENT = 85
-FREQUENT = 9
-MARGIN = 1.3
-#: About so many shingles of an all-frequent prefix fall into one group.
-GROUP = 5
+#: Members from which on a key is large.
+LARGE = 9
+#: The largest size of a class is about so many times its smallest one.
+SPAN = 1.5
+#: Groups beyond k + 1, as a share of k + 1.
+SPARE = 0.25
+#: A set that lacks combinations is dealt so often; what still lacks some then shares one key with its like.
+DEALS = 5
+#: Shingles that are dealt at a time, one set at least.
+CHUNK = 1 << 18
 #: Expected pivots of a large key, round by round; the last round takes all that are left.
 PIVOTS = [0, 16, 256, 2**62]
 
@@ -54,20 +59,18 @@ PIVOTS = [0, 16, 256, 2**62]
 class Join:
     shingle: int = SHINGLE
     percent: int = PERCENT
-    frequent: int = FREQUENT
-
-    def needed(self, n: Column) -> Column:
-        """p, the prefix that a linked set cannot miss as a whole."""
-        return n - F.floor((self.percent * n + 99) / 100) + 1
+    frequent: int = LARGE
 
-    def bucket(self, n: Column) -> Column:
-        """Sizes of linked sets fall into the same bucket or neighbouring ones."""
-        return F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / self.percent)))
+    def classes(self, largest: int) -> np.ndarray:
+        """The least size of every class, up to two beyond that of ``largest``. Linked sets are in one class or neighbouring ones."""
+        least = [1]
+        while len(least) < 3 or least[-3] <= largest:
+            least.append(max(least[-1] * 100 // self.percent + 1, int(least[-1] * SPAN)))
+        return np.array(least, np.int64)
 
-    def groups(self, bucket: Column) -> Column:
-        """Groups of frequent shingles for sets of this size."""
-        share = MARGIN * (100 - self.percent) / 100 / GROUP
-        return F.greatest(F.floor(F.pow(F.lit(100.0 / self.percent), bucket) * share), F.lit(1))
+    def differing(self, largest: np.ndarray) -> np.ndarray:
+        """k: the shingles, at most, that one of two linked sets of at most this size has and the other lacks."""
+        return 2 * largest * (100 - self.percent) // (100 + self.percent)
 
 
 def _sets(docs: DataFrame, join: Join) -> Column:
@@ -79,106 +82,116 @@ def _row_key() -> Column:
     return F.xxhash64("doc_id", whole("text"))
 
 
-def shingle_prefixes(docs: DataFrame, join: Join) -> DataFrame:
-    """doc_id, n_shingles, the node (a hash of the set), the first prefix and a row key of every text."""
-    n = F.size("_set").cast("bigint")
-    length = F.least(n, F.ceil(MARGIN * join.needed(n)) + 2)
-    return docs.select("doc_id", _row_key().alias("row"), _sets(docs, join).alias("_set")).select(
-        "doc_id", "row", n.alias("n_shingles"), F.when(n > 0, F.xxhash64("_set")).alias("node"),
-        F.slice("_set", F.lit(1), length.cast("int")).alias("prefix"))
-
-
-def _crowded(prefixes: DataFrame, join: Join) -> DataFrame:
-    """Shingles that many of these prefixes have."""
-    tokens = prefixes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    return tokens.where(F.col("df") >= join.frequent).select("token")
-
-
-def _rare_counts(prefixes: DataFrame, frequent: DataFrame) -> DataFrame:
-    """``prefixes`` that have frequent shingles, with the number of the others as ``n_rare``."""
-    held = prefixes.select("node", F.explode("prefix").alias("token")).join(frequent, "token").groupBy("node").agg(
-        F.count(F.lit(1)).alias("n_frequent"))
-    return prefixes.join(held, "node").withColumn("n_rare", F.size("prefix") - F.col("n_frequent")).drop("n_frequent")
-
-
-def _longer(short: DataFrame, docs: DataFrame, nodes: DataFrame, join: Join, length: Column) -> DataFrame:
-    """node, n_shingles and a prefix of ``length`` of the sets in ``short``, read from their texts again."""
-    wanted = stored(short.select("node", length.cast("int").alias("length")).join(nodes, "node").select("node", "row", "length"), "short-sets")
-    texts = docs.select(_row_key().alias("row"), "text").join(wanted, "row")
-    # Stored before the test, or the planner would join by it and take the sets of all texts.
-    sets = stored(texts.select("node", "length", _sets(texts, join).alias("set")), "short-texts").where(F.xxhash64("set") == F.col("node"))
-    cut = sets.select("node", F.size("set").cast("bigint").alias("n_shingles"), F.slice("set", F.lit(1), F.col("length")).alias("prefix"))
-    # With repeated rows the same text may come along again.
-    return cut.dropDuplicates(["node"])
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers whose bits all depend on each other."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def extended_prefixes(prefixes: DataFrame, docs: DataFrame, nodes: DataFrame, join: Join) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The prefixes to index, the frequent shingles, and the heavy sets (node, n_rare).
+def _dealt(values: np.ndarray, sizes: np.ndarray, least: np.ndarray, of_class: np.ndarray, deal: int, join: Join) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The combinations of some sets in one class each: keys, the number of the set of every key, and per set those beyond its
+    prefix, less than 0 for sets that lack combinations.
 
-    ``prefixes``: the first prefix of every node. ``nodes``: node and the row that stands for it.
-    """
-    p, size = join.needed(F.col("n_shingles")), F.size("prefix")
-    first = stored(_crowded(prefixes, join), "frequent")
-    short = stored(_rare_counts(prefixes, first).where((F.col("n_rare") < p) & (size < F.col("n_shingles"))).select(
-        "node", "n_shingles", "n_rare", size.alias("length")), "short")
-    length = F.least(F.col("n_shingles"), F.ceil(MARGIN * p * F.col("length") / F.greatest("n_rare", F.lit(1))) + 2)
-    longer = stored(_longer(short, docs, nodes, join, length), "longer-prefixes")
-    frequent = stored(first.unionAll(_crowded(longer, join)).distinct(), "frequent")
-    # Told by the narrow list of short sets, whose size the planner sees; the table of prefixes would be shuffled.
-    now = prefixes.join(short.select("node"), "node", "left_anti").unionAll(longer.select(*prefixes.columns))
-    short = stored(_rare_counts(now, frequent).where(F.col("n_rare") < p).select("node", "n_shingles", size.alias("length")), "short")
-    part = short.where(F.col("length") < F.col("n_shingles"))
-    full = stored(_longer(part, docs, nodes, join, F.col("n_shingles")), "whole-sets")
-    now = now.join(part.select("node"), "node", "left_anti").unionAll(full.select(*now.columns))
-    # Only sets that were short can be heavy, and each of them is whole now.
-    whole_sets = now.join(short.select("node"), "node", "left_semi")
-    heavy = stored(_rare_counts(whole_sets, frequent).where(F.col("n_rare") < p).select("node", "n_rare"), "heavy")
-    return now, frequent, heavy
-
-
-def _combinations(heavy: DataFrame, frequent: DataFrame, join: Join) -> DataFrame:
-    """Index keys of the frequent shingles of heavy sets: key, node, n, the largest partner, whether this set searches by the key.
-
-    ``heavy``: node, n, most and the first prefix.
+    ``values``: the shingles of all sets, set after set, in ascending order as signed numbers.
     """
-    own = F.array(join.bucket(F.col("n")), join.bucket(F.col("n")) + 1)
-    rows = heavy.select("node", "n", "most", F.size("prefix").alias("length"), F.explode("prefix").alias("token")).join(frequent, "token")
-    dealt = rows.select("*", F.explode(own).alias("bucket")).withColumn(
-        "g", F.pmod(F.shiftrightunsigned("token", 9), join.groups(F.col("bucket"))))
-    # A row per group of some tokens, so that a very long set is never one row with all its pairs.
-    groups = stored(dealt.groupBy("node", "n", "most", "length", "bucket", "g").agg(F.collect_list("token").alias("t")), "token-groups")
-    n_groups = groups.groupBy("node", "bucket").agg(F.count(F.lit(1)).alias("n_groups"))
-    by_pairs = F.col("length") - F.col("n_groups") >= join.needed(F.col("n"))
-    pairs = F.flatten(F.transform("t", lambda x: F.transform(F.filter("t", lambda y: x < y), lambda y: F.struct(
-        F.xxhash64(F.lit("pair"), F.col("bucket"), x, y).alias("key"), F.lit(True).alias("searches")))))
-    alone = F.transform("t", lambda x: F.struct(F.xxhash64(F.lit("alone"), F.col("bucket"), x).alias("key"), (~by_pairs).alias("searches")))
-    return groups.join(n_groups, ["node", "bucket"]).select("node", "n", "most", F.inline(F.concat(pairs, alone)))
-
-
-def index_keys(indexed: DataFrame, frequent: DataFrame, heavy: DataFrame, prefixes: DataFrame, join: Join) -> DataFrame:
-    """Keys that at least two nodes share and one of them searches by.
-
-    Sets that share a rare shingle meet by it. By combinations a heavy set need only meet sets that share none of its
-    rare ones, so no more than its n - n_rare others, which bounds the partner's size (``most``). Two sets of about the same
-    size that both have 9 % of their own are thus not paired.
-
-    ``indexed``: the prefixes to index, ``prefixes``: the first ones.
+    keep = join.differing(least[of_class + 1] - 1) + 1
+    groups = keep + (keep * SPARE).astype(np.int64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    bits = values.view(np.uint64) ^ np.uint64(1 << 63)
+    if deal:
+        bits = _mixed(bits + np.uint64(deal))
+        order = np.lexsort((bits, owner))
+        values, bits = values[order], bits[order]
+    # Groups are ranges of the upper bits, so a set's combinations are stretches of its shingles.
+    group = ((bits >> np.uint64(32)) * groups.astype(np.uint64)[owner]) >> np.uint64(32)
+    first = np.flatnonzero(np.concatenate(([True], (group[1:] != group[:-1]) | (owner[1:] != owner[:-1]))))
+    owner = owner[first]
+    kind = _mixed((of_class[owner] * (DEALS + 1) + deal).astype(np.uint64))
+    keys = _mixed(np.add.reduceat(_mixed(values.view(np.uint64)), first) + kind)
+    return keys, owner, np.bincount(owner, minlength=len(sizes)) - keep
+
+
+def combination_keys(values: np.ndarray, sizes: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The combinations of sets, set after set: their keys and tags, and how many each set has.
+
+    A tag is 16 times the combinations beyond the prefix, plus a number for class and deal. ``values``: all sets' shingles, ascending; no set is empty.
     """
-    rows = indexed.select("node", F.col("n_shingles").alias("n"), F.explode("prefix").alias("token"))
-    rare = rows.join(frequent, "token", "left_anti").select(
-        "node", "n", F.xxhash64(F.lit("rare"), "token").alias("key"))
-    n = F.col("n_shingles")
-    most = F.floor((100 + join.percent) * (n - F.col("n_rare")) / join.percent) - n
-    heavy = prefixes.join(heavy, "node").select("node", n.alias("n"), most.alias("most"), "prefix")
-    heavy = heavy.where(100 * F.col("most") >= join.percent * F.col("n"))
-    counts = rare.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = rare.join(counts.select("key"), "key").select("node", "n", F.lit(2**62).alias("most"), "key", F.lit(True).alias("searches"))
-    keys = stored(shared.unionAll(_combinations(heavy, frequent, join)), "join-keys")
+    least = join.classes(int(sizes.max()))
+    own = np.searchsorted(least, sizes, side="right") - 1
+    found = []
+    for step in (0, 1):
+        # The next class matters to sets that may have a partner in it.
+        chosen = np.flatnonzero(step * join.percent * least[own + 1] <= 100 * sizes)
+        for deal in range(DEALS):
+            if not len(chosen):
+                break
+            inside = np.zeros(len(sizes), bool)
+            inside[chosen] = True
+            keys, owner, beyond = _dealt(values[np.repeat(inside, sizes)], sizes[chosen], least, own[chosen] + step, deal, join)
+            found.append((keys, np.maximum(beyond, 0)[owner] * 16 + step * 8 + deal, chosen[owner]))
+            chosen = chosen[beyond < 0]
+        last = _mixed(((own[chosen] + step) * (DEALS + 1) + DEALS).astype(np.uint64))
+        found.append((last, np.full(len(chosen), step * 8 + DEALS), chosen))
+    keys, tags, owner = (np.concatenate([f[i] for f in found]) for i in range(3))
+    order = np.argsort(owner, kind="stable")
+    return keys[order].view(np.int64), tags[order].astype(np.int32), np.bincount(owner, minlength=len(sizes))
+
+
+def _key_lists(sets: pa.ListArray, join: Join) -> Iterator[tuple[pa.ListArray, pa.ListArray]]:
+    """Keys and tags of sets, for some of the sets at a time."""
+    if not len(sets):
+        return
+    ends = sets.offsets.to_numpy()[1:] - sets.offsets.to_numpy()[0]
+    start, done = 0, 0
+    while start < len(sets):
+        stop = max(int(np.searchsorted(ends, done + CHUNK, side="right")), start + 1)
+        part = sets.slice(start, stop - start)
+        sizes = np.diff(part.offsets.to_numpy()).astype(np.int64)
+        counts = np.zeros(len(part), np.int64)
+        keys, tags = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        if sizes.any():
+            keys, tags, counts[sizes > 0] = combination_keys(part.flatten().to_numpy(), sizes[sizes > 0], join)
+        offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+        yield pa.ListArray.from_arrays(offsets, keys), pa.ListArray.from_arrays(offsets, tags)
+        start, done = stop, int(ends[stop - 1])
+
+
+def indexed_texts(docs: DataFrame, join: Join) -> DataFrame:
+    """doc_id, n_shingles, the node (a hash of the set), a row key, a number and the combinations (keys and tags) of every text."""
+    names = ["doc_id", "row", "n_shingles", "node"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            start = 0
+            for keys, tags in _key_lists(batch.column("set"), join):
+                part = batch.slice(start, len(keys))
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], keys, tags], [*names, "keys", "tags"])
+                start += len(keys)
+
+    n = F.size("set").cast("bigint")
+    sets = docs.select("doc_id", _row_key().alias("row"), _sets(docs, join).alias("set")).select(
+        "doc_id", "row", n.alias("n_shingles"), F.when(n > 0, F.xxhash64("set")).alias("node"), "set")
+    layout = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, row bigint, n_shingles bigint, node bigint, keys array<bigint>, tags array<int>"
+    return sets.mapInArrow(run, layout).withColumn("number", F.monotonically_increasing_id())
+
+
+def index_keys(own: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
+    """key, node, its size n and the key's members, of keys that at least two nodes have in their prefixes. One text indexes its node."""
+    one = own.select("number", "node", "keys", "tags").join(nodes.select("number"), "number", "left_semi")
+    rows = one.select("node", F.inline(F.arrays_zip("keys", "tags"))).toDF("node", "key", "tag")
+    counted = rows.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    common = stored(counted.where("members > 1"), "common-keys")
+    # What no other set has comes first in the order, so of the others as many are left out as are beyond the prefix.
+    own_part = Window.partitionBy("node", "tag")
+    ranked = common.withColumns({
+        "_rank": F.row_number().over(own_part.orderBy("members", "key")), "_held": F.count(F.lit(1)).over(own_part)})
+    keys = stored(ranked.where(F.col("_rank") <= F.col("_held") - F.shiftright("tag", 4)).select("key", "node"), "join-keys")
     # Keys with the same members, told by two hashes of them, ask the same; one of them is kept.
-    alike = [F.bit_xor(F.xxhash64(F.lit(k), "node", "most", "searches")).alias(f"_alike{k}") for k in (0, 1)]
-    useful = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.max("searches").alias("searched"), *alike)
-    kept = useful.where("members > 1 and searched").groupBy("members", "_alike0", "_alike1").agg(F.min("key").alias("key"))
-    return keys.join(kept.select("key", "members"), "key")
+    alike = [F.bit_xor(F.xxhash64(F.lit(k), "node")).alias(f"_alike{k}") for k in (0, 1)]
+    useful = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"), *alike)
+    kept = useful.where("members > 1").groupBy("members", "_alike0", "_alike1").agg(F.min("key").alias("key"))
+    return keys.join(kept.select("key", "members"), "key").join(nodes.select("node", F.col("n_shingles").alias("n")), "node")
 
 
 def _pairs(index: DataFrame, labels: DataFrame | None, pivots: tuple[int, int], join: Join) -> DataFrame:
@@ -190,48 +203,23 @@ def _pairs(index: DataFrame, labels: DataFrame | None, pivots: tuple[int, int],
     the size of the key; over all rounds every set is one.
     """
     large = index.where(F.col("members") >= join.frequent)
-    x, y = (F.struct("node", "n", "most").alias(side) for side in "xy")
+    x, y = ([F.col("node").alias(side), F.col("n").alias(f"n{side}")] for side in "xy")
+    sized = 100 * F.least("nx", "ny") >= join.percent * F.greatest("nx", "ny")
     if labels is None:
         small = index.where(F.col("members") < join.frequent)
-        met = small.where("searches").select("key", x).join(small.select("key", y), "key").select("x", "y")
-        pivots = large.groupBy("key").agg(F.min_by(F.struct("node", "n", "most"), F.when(F.col("searches"), F.col("node"))).alias("x"))
-        met = met.unionAll(large.select("key", y).join(pivots, "key").select("x", "y"))
+        met = small.select("key", *x).join(small.select("key", *y), "key").where(sized & (F.col("x") < F.col("y"))).select("x", "y")
+        first = large.groupBy("key").agg(F.min(F.struct(*x)).alias("first")).select("key", "first.*")
+        met = met.unionAll(large.select("key", *y).join(first, "key").where(sized & (F.col("x") < F.col("y"))).select("x", "y"))
     else:
         marked = large.join(labels, "node", "left").withColumn("component", F.coalesce("component", F.col("node")))
         apart = marked.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
         open_keys = marked.join(apart.select("key"), "key")
         turn = F.pmod(F.xxhash64(F.lit("turn"), "node"), F.lit(1 << 30)) / (1 << 30) * F.col("members")
-        chosen = open_keys.where(F.col("searches") & (turn >= pivots[0]) & (turn < pivots[1]))
-        left = chosen.select("key", x, F.col("component").alias("cx"))
-        met = left.join(open_keys.select("key", y, F.col("component").alias("cy")), "key").where("cx <> cy").select("x", "y")
-    nx, ny = F.col("x.n"), F.col("y.n")
-    sized = (100 * F.least(nx, ny) >= join.percent * F.greatest(nx, ny)) & (ny <= F.col("x.most")) & (nx <= F.col("y.most"))
-    return met.where((F.col("x.node") != F.col("y.node")) & sized).select(
-        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-
-
-def _missing_limit(n: Column, m: Column, join: Join) -> Column:
-    """Shingles of a set of n that a linked set of m may lack."""
-    return n - F.ceil(F.lit(join.percent) * (n + m) / (100 + join.percent))
-
-
-def _not_rejected(pairs: DataFrame, prefixes: DataFrame, join: Join) -> DataFrame:
-    """Pairs that the prefixes do not rule out. Below the smaller prefix end both sets are known in full."""
-    for side in "ab":
-        own = prefixes.select(F.col("node").alias(side), F.col("n_shingles").alias(f"n{side}"), F.col("prefix").alias(f"p{side}"))
-        pairs = pairs.join(own, side)
-
-    def end(side: str) -> Column:  # a set that is its own prefix is known everywhere
-        return F.when(F.size(f"p{side}") == F.col(f"n{side}"), F.lit(2**63 - 1)).otherwise(F.element_at(f"p{side}", -1))
-
-    known = F.least(end("a"), end("b"))
-    ranged = pairs.withColumn("_end", known)
-    cut = {s: F.filter(f"p{s}", lambda t: t <= F.col("_end")) for s in "ab"}
-    tested = ranged.withColumns({"_a": cut["a"], "_b": cut["b"]})
-    common = F.size(F.array_intersect("_a", "_b"))
-    return tested.where(
-        (F.size("_a") - common <= _missing_limit(F.col("na"), F.col("nb"), join))
-        & (F.size("_b") - common <= _missing_limit(F.col("nb"), F.col("na"), join))).select("a", "b")
+        chosen = open_keys.where((turn >= pivots[0]) & (turn < pivots[1]))
+        left = chosen.select("key", *x, F.col("component").alias("cx"))
+        right = open_keys.select("key", *y, F.col("component").alias("cy"))
+        met = left.join(right, "key").where(sized & (F.col("cx") != F.col("cy"))).select("x", "y")
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def _open(pairs: DataFrame, opened: list[DataFrame], docs: DataFrame, nodes: DataFrame, join: Join) -> None:
@@ -272,21 +260,19 @@ def _verified(pairs: DataFrame, opened: list[DataFrame], join: Join) -> DataFram
 
 def _linked(docs: DataFrame, join: Join) -> DataFrame:
     spark = docs.sparkSession
-    own = stored(shingle_prefixes(docs, join), "shingle-prefixes")
+    own = stored(indexed_texts(docs, join), "indexed-texts")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row", "number")
     nodes = stored(own.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("row")), "nodes")
-    # One text stands for its node. The row is part of the key, so copies spread over the tasks.
-    one = own.join(nodes.select("node", "row"), ["node", "row"])
-    first = stored(one.select("node", "n_shingles", "prefix").dropDuplicates(["node"]), "node-prefixes")
-    index = settled(spark, lambda: index_keys(*extended_prefixes(first, docs, nodes, join), first, join), "join-index")
+        F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.min_by(F.struct("row", "number"), order).alias("first")
+    ).select("node", "rep", "n_shingles", "first.row", "first.number"), "nodes")
+    index = settled(spark, lambda: index_keys(own, nodes, join), "join-index")
     labels, links, opened = None, [], []
     for pivots in zip([0, *PIVOTS], PIVOTS):
         pairs = settled(spark, lambda: _pairs(index, labels, pivots, join), "pairs")
         if labels is not None and pairs.isEmpty():
             continue
-        hopeful = stored(_not_rejected(pairs, first, join), "hopeful-pairs")
-        _open(hopeful, opened, docs, nodes, join)
-        links.append(settled(spark, lambda: _verified(hopeful, opened, join), "links"))
+        _open(pairs, opened, docs, nodes, join)
+        links.append(settled(spark, lambda: _verified(pairs, opened, join), "links"))
         labels = settled(spark, lambda: connected_components(reduce(DataFrame.unionAll, links)), "labels")
     marked = own.select("doc_id", "n_shingles", "node").join(labels, "node", "left")
     marked = marked.withColumn("component", F.coalesce("component", "node"))
